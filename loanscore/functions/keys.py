@@ -18,6 +18,7 @@ def member_key(bits: int = 512) -> Column:
     return F.sha2(F.concat_ws("-", *[F.col(c) for c in PROFILE_COLUMNS]), bits)
 
 
+
 def with_member_key(raw: DataFrame, bits: int = 512) -> DataFrame:
     """Add (or replace) ``member_id`` with the derived member key."""
     return raw.withColumn("member_id", member_key(bits))
@@ -28,8 +29,21 @@ def empty_profile_key(bits: int = 512) -> Column:
     return F.sha2(F.lit(""), bits)
 
 
+def profile_text() -> Column:
+    """The text the member key hashes ('' when the whole profile is null)."""
+    return F.concat_ws("-", *[F.col(c) for c in PROFILE_COLUMNS])
+
+
 def drop_empty_profiles(df: DataFrame, key: str = "member_id", bits: int = 512) -> DataFrame:
-    """Remove rows whose profile is wholly null (file footers and junk)."""
+    """Remove rows whose profile is wholly null (file footers and junk).
+
+    When the profile columns are still present the test is on the hashed
+    text (``'' ``), which is cheap and which Catalyst can push below the key
+    projection without evaluating SHA-2 a second time; otherwise it compares
+    the key with the hash of the empty text.
+    """
+    if all(c in df.columns for c in PROFILE_COLUMNS):
+        return df.where(profile_text() != F.lit(""))
     return df.where(F.col(key) != empty_profile_key(bits))
 
 

@@ -20,7 +20,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loanscore.functions.casts import to_int_trunc
 from loanscore.levels import DEFAULT_LEVELS, Levels
 
 Level = str | float
@@ -95,31 +94,60 @@ def sub_grade_points() -> list[tuple[str, str, float]]:
     return out
 
 
-def _grade_arm(g: str, sg: str) -> Callable[[], Column]:
-    return lambda: (c("grade") == g) & (c("sub_grade") == sg)
+@dataclass(frozen=True, eq=False)
+class LookupLadder:
+    """A ladder whose arms are ``key column = k AND guard`` for many keys.
+
+    Compiles to one map lookup instead of one branch per key, which keeps the
+    generated code small (35 sub-grades would otherwise be 70 comparisons).
+    An arm matches when the guard holds and the key is in the table; the
+    result is the same as the chained form because the keys are distinct.
+    """
+
+    name: str
+    key: str
+    guard: Callable[[], Column]
+    table: Sequence[tuple[str, float]]
+    otherwise: Level
+
+    def column(self, levels: Levels = DEFAULT_LEVELS) -> Column:
+        return self.expr(levels).alias(self.name)
+
+    def expr(self, levels: Levels = DEFAULT_LEVELS) -> Column:
+        pairs = []
+        for k, pts in self.table:
+            pairs += [F.lit(k), F.lit(float(pts)).cast("double")]
+        found = F.try_element_at(F.create_map(*pairs), c(self.key))
+        other = levels.value(self.otherwise) if isinstance(self.otherwise, str) else float(self.otherwise)
+        return F.coalesce(F.when(self.guard(), found), F.lit(other).cast("double"))
 
 
-GRADE = Ladder(
+# A sub-grade scores only together with its own letter grade.
+GRADE = LookupLadder(
     "grade_points",
-    [(_grade_arm(g, sg), pts) for g, sg, pts in sub_grade_points()],
+    key="sub_grade",
+    guard=lambda: c("grade") == F.substring(c("sub_grade"), 1, 1),
+    table=[(sg, pts) for _, sg, pts in sub_grade_points()],
     otherwise="no_points",
 )
 
 
-def _emp() -> Column:
-    # emp_length leaves cleaning as digit text; the rules compare it as a number.
-    return to_int_trunc(c("emp_length"))
+def _emp_is(*values: int) -> Column:
+    # emp_length leaves cleaning as the digits of an int (no sign, no leading
+    # zeros), so comparing the text with canonical digits equals comparing
+    # numbers, without parsing on every row.
+    return c("emp_length").isin(*[str(v) for v in values])
 
 
 EXPERIENCE = Ladder(
     "exp_points",
     [
-        (lambda: _emp() == 0, "unacceptable"),
-        (lambda: _emp().isin(1, 2), "very_bad"),
-        (lambda: _emp().isin(3, 4), "bad"),
-        (lambda: _emp().isin(5, 6), "ok"),
-        (lambda: _emp().isin(7, 8), "good"),
-        (lambda: _emp().isin(9, 10), "very_good"),
+        (lambda: _emp_is(0), "unacceptable"),
+        (lambda: _emp_is(1, 2), "very_bad"),
+        (lambda: _emp_is(3, 4), "bad"),
+        (lambda: _emp_is(5, 6), "ok"),
+        (lambda: _emp_is(7, 8), "good"),
+        (lambda: _emp_is(9, 10), "very_good"),
     ],
 )
 

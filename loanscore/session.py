@@ -27,6 +27,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # HotSpot does not JIT-compile methods above 8000 bytes of bytecode;
+        # a larger whole-stage method would run interpreted, so split instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

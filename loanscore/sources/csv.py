@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscore.schema import RAW_FIELDS, raw_schema
+from loanscore.sources.partitioning import spread
 
 
 def read_applications_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -14,7 +15,8 @@ def read_applications_csv(spark: SparkSession, path: str) -> DataFrame:
     The schema is explicit, so nothing is inferred and only the columns a
     query uses are parsed (CSV column pruning).
     """
-    return spark.read.schema(raw_schema()).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    raw = spark.read.schema(raw_schema()).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return spread(raw)
 
 
 def write_applications_csv(df: DataFrame, path: str) -> str:

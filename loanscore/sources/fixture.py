@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscore.schema import RAW_TYPES
+from loanscore.sources.partitioning import spread
 
 # Inner projection: keys, junk flag and helper values.
 INNER = (
@@ -164,7 +165,7 @@ def _outer_expr(name: str, expr: str, string_type: str = "STRING", double_type:
 
 def applications_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw application table (36 used columns, raw types) for ``sf_dir``."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     j = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "inner").select(
         orders["o_orderkey"].alias("o"),

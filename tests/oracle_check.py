@@ -48,6 +48,27 @@ def rows_of_duck(con, sql):
     return cols, sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=_key), rel
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_issues(df, rel):
+    duck = {d[0]: str(d[1]) for d in rel.description}
+    out = []
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck.get(f.name) != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} duck {duck.get(f.name)}")
+    return out
+
+
 def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
@@ -77,15 +98,18 @@ def main(argv):
             print(f"{key:32s} NO-ORACLE rows={len(srows)}")
             continue
         try:
-            dcols, drows, _ = rows_of_duck(con, oracles[key])
+            dcols, drows, rel = rows_of_duck(con, oracles[key])
         except Exception as e:  # noqa: BLE001
             print(f"{key:32s} DUCK-ERROR {type(e).__name__}: {str(e)[:300]}")
             bad += 1
             continue
         issue = ""
+        types = type_issues(df, rel)
+        if types:
+            issue = "types " + "; ".join(types)
         if scols != dcols:
             issue = f"columns spark-only={sorted(set(scols)-set(dcols))} duck-only={sorted(set(dcols)-set(scols))}"
-        elif len(srows) != len(drows):
+        if not issue and len(srows) != len(drows):
             issue = f"rows {len(srows)} vs {len(drows)}"
         elif srows != drows:
             diff = [(a, b) for a, b in zip(srows, drows) if a != b][:1]

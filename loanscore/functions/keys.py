@@ -55,11 +55,13 @@ def recency(issue_d: Column | str = "issue_d", ident: Column | str = "id") -> Co
     map-side partial step (no sort, and a hot member collapses to one
     buffer per task before the shuffle).
 
-    Layout: month index (year*12+month, 0 for null) above bit 33, the id
-    shifted to be non-negative (0 for null) in the low 33 bits.
+    Layout: days since 1970 shifted to be positive (0 for null) above bit
+    33, the id shifted to be non-negative (0 for null) in the low 33 bits.
+    Days up to 2**22 either side of 1970 fit, which covers every date the
+    month parser can produce.
     """
     d = F.col(issue_d) if isinstance(issue_d, str) else issue_d
     i = F.col(ident) if isinstance(ident, str) else ident
-    month = F.coalesce((F.year(d) * 12 + F.month(d)).cast("long"), F.lit(0).cast("long"))
+    day = F.coalesce(F.unix_date(d).cast("long") + F.lit(2**22 + 1), F.lit(0).cast("long"))
     idx = F.coalesce(i.cast("long") + F.lit(2**31 + 1), F.lit(0).cast("long"))
-    return F.shiftleft(month, 33).bitwiseOR(idx)
+    return F.shiftleft(day, 33).bitwiseOR(idx)

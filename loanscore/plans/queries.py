@@ -38,6 +38,18 @@ def keyed(spark: SparkSession, sf_dir: str, bits: int = ORACLE_BITS) -> DataFram
     return with_member_key(applications_from_star(spark, sf_dir), bits)
 
 
+def staged(spark: SparkSession, sf_dir: str, bits: int = ORACLE_BITS) -> DataFrame:
+    """Keyed rows with a profile, written once to the checkpoint folder and read back.
+
+    Used by queries that feed several subject pipelines from the same rows:
+    the raw input is built and keyed once instead of once per branch, and the
+    branches restart from shared storage if an executor is lost.
+    """
+    from loanscore.plans.job import stage_base
+
+    return spark.read.parquet(stage_base(applications_from_star(spark, sf_dir), bits))
+
+
 # ------------------------------------------------------- sources and keys
 
 
@@ -126,7 +138,7 @@ def _personal_clean(k: DataFrame) -> DataFrame:
 
 def _points(mod) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        k = keyed(spark, sf)
+        k = staged(spark, sf) if mod in (payment, loan) else keyed(spark, sf)
         cleaned = mod.clean(mod.details(k), ORACLE_BITS)
         if mod in (payment, loan):
             return unstamped(mod.points(cleaned, _personal_clean(k)))
@@ -145,7 +157,7 @@ def q_grade_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_loan_ladder_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = keyed(spark, sf_dir)
+    k = staged(spark, sf_dir)
     pts = loan.points(loan.clean(loan.details(k), ORACLE_BITS), _personal_clean(k))
     return pts.select(loan.KEY, "annual_inc", "loan_amnt", "tot_hi_cred_lim", "income_points", "credi_line_points")
 
@@ -154,7 +166,7 @@ def q_loan_ladder_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_final_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combine.final_points_joined(keyed(spark, sf_dir), ORACLE_BITS)
+    return combine.final_points_joined(staged(spark, sf_dir), ORACLE_BITS)
 
 
 def q_final_points_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,14 +178,14 @@ def q_final_points_custom_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mdm_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mdm.mdm_view(keyed(spark, sf_dir), ORACLE_BITS)
+    return mdm.mdm_view(staged(spark, sf_dir), ORACLE_BITS)
 
 
 # ---------------------------------------------------------------- quality
 
 
 def q_dq_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = keyed(spark, sf_dir)
+    k = staged(spark, sf_dir)
     return quality.domain_values(
         _personal_clean(k),
         payment.clean(payment.details(k), ORACLE_BITS),
@@ -198,7 +210,7 @@ def q_dq_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_ladder_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = keyed(spark, sf_dir)
+    k = staged(spark, sf_dir)
     per_clean = _personal_clean(k)
     parts = [
         quality.ladder_violations(personal.points(per_clean), quality.PERSONAL_CASES),
@@ -222,7 +234,7 @@ def q_dq_ladder_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = keyed(spark, sf_dir)
+    k = staged(spark, sf_dir)
     s = combine.subject_points(k, ORACLE_BITS)
     col = F.col
     parts = [

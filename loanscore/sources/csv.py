@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscore.schema import RAW_FIELDS, raw_schema
-from loanscore.sources.partitioning import spread
 
 
 def read_applications_csv(spark: SparkSession, path: str) -> DataFrame:
     """Permissive read: a field that does not parse as its type becomes null.
 
     The schema is explicit, so nothing is inferred and only the columns a
-    query uses are parsed (CSV column pruning).
+    query uses are parsed (CSV column pruning). Uncompressed CSV is split by
+    byte range (``spark.sql.files.maxPartitionBytes``), so a large file is
+    read by many tasks without any repartitioning.
     """
-    raw = spark.read.schema(raw_schema()).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return spread(raw)
+    return spark.read.schema(raw_schema()).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
 def write_applications_csv(df: DataFrame, path: str) -> str:

@@ -165,7 +165,10 @@ def _outer_expr(name: str, expr: str, string_type: str = "STRING", double_type:
 
 def applications_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw application table (36 used columns, raw types) for ``sf_dir``."""
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    # prune before spreading, so only the four used columns are read and moved
+    orders = spread(
+        spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    )
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     j = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "inner").select(
         orders["o_orderkey"].alias("o"),

@@ -2,9 +2,10 @@
 
 A small input file with a single row group arrives as one scan task, which
 would run every row-level rule on one core. ``spread`` redistributes such an
-input round-robin over the session's cores. A large input already arrives
-in many splits (``spark.sql.files.maxPartitionBytes``) and is returned
-untouched, so at scale this adds no shuffle.
+input over the session's cores by a hash of the whole row (deterministic on
+retry, so no sort-before-repartition is needed, unlike round-robin). A large
+input already arrives in many splits (``spark.sql.files.maxPartitionBytes``)
+and is returned untouched, so at scale this adds no shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cores when it has fewer partitions than cores.
+    """Hash-distribute ``df`` over the cores when it has fewer partitions than cores.
 
     Only the partition count of the (unexecuted) plan is looked at, which for
     a file scan is the split list computed on the driver.
@@ -21,4 +22,4 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *[df[c] for c in df.columns])

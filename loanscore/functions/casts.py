@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.types import DataType, StringType
 
 # Text accepted as an integer: optional sign, digits, optional fraction
 # (truncated), surrounding blanks. '1e3', '5d' or '.5' are rejected.
@@ -24,13 +24,28 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    """A column name, or SQL expression text, ready to embed in SQL."""
+    return f"`{name}`" if name.isidentifier() else f"({name})"
+
+
+def int_trunc_sql(text: str) -> str:
+    """SQL text of ``to_int_trunc`` for a text-valued column name or expression."""
+    x = _q(text)
+    return f"CASE WHEN {x} RLIKE r'{INT_TEXT}' THEN try_cast(try_cast({x} AS DOUBLE) AS INT) END"
+
+
 def to_double(c: Column | str) -> Column:
     """Text or number to double; malformed text gives null."""
-    return _col(c).try_cast("double")
+    if isinstance(c, str):
+        return F.expr(f"try_cast({_q(c)} AS DOUBLE)")
+    return c.try_cast("double")
 
 
 def to_double_2(c: Column | str) -> Column:
     """Text or number to double rounded to two decimals."""
+    if isinstance(c, str):
+        return F.expr(f"round(try_cast({_q(c)} AS DOUBLE), 2)")
     return F.round(to_double(c), 2)
 
 
@@ -38,21 +53,29 @@ def to_int_trunc(c: Column | str, source_type: DataType | None = None) -> Column
     """Text or number to int, truncating any fraction ('2.9' -> 2).
 
     Numbers are cast directly (overflow gives null). Text must look like a
-    plain decimal first; it is then read as a double and truncated.
+    plain decimal first; it is then read as a double and truncated. A string
+    argument is a column name or SQL expression text.
     """
-    c = _col(c)
-    if source_type is not None and isinstance(source_type, NumericType):
-        return c.try_cast("int")
-    if source_type is not None and not isinstance(source_type, StringType):
+    numeric = source_type is not None and not isinstance(source_type, StringType)
+    if isinstance(c, str):
+        x = _q(c)
+        if numeric:
+            return F.expr(f"try_cast({x} AS INT)")
+        return F.expr(int_trunc_sql(c))
+    if numeric:
         return c.try_cast("int")
     return F.when(c.rlike(INT_TEXT), c.try_cast("double").try_cast("int"))
 
 
 def to_month_date(c: Column | str) -> Column:
     """'Dec-2015' -> 2015-12-01; anything else -> null."""
-    return F.try_to_date(_col(c), MONTH_FORMAT)
+    if isinstance(c, str):
+        return F.expr(f"try_to_date({_q(c)}, '{MONTH_FORMAT}')")
+    return F.try_to_date(c, MONTH_FORMAT)
 
 
 def digits_only(c: Column | str) -> Column:
     """Drop every non-digit character; the result is text."""
-    return F.regexp_replace(_col(c).cast("string"), r"\D", "")
+    if isinstance(c, str):
+        return F.expr(f"regexp_replace(CAST({_q(c)} AS STRING), r'\\D', '')")
+    return F.regexp_replace(c.cast("string"), r"\D", "")

@@ -14,7 +14,7 @@ income and credit-line ladders).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -25,42 +25,40 @@ from loanscore.levels import DEFAULT_LEVELS, Levels
 Level = str | float
 
 
-@dataclass(frozen=True, eq=False)
+def _points_sql(level: Level, levels: Levels) -> str:
+    v = levels.value(level) if isinstance(level, str) else float(level)
+    # exact: the shortest round-trip text of the double, parsed back as a double
+    return f"CAST('{v!r}' AS DOUBLE)"
+
+
+@dataclass(frozen=True)
 class Ladder:
+    """Ordered arms of (SQL condition, level) plus an optional else level.
+
+    Compiles to one SQL ``CASE`` expression, i.e. a single call into the JVM
+    per ladder when the plan is built, and one codegen'd expression at run
+    time.
+    """
+
     name: str
-    arms: Sequence[tuple[Callable[[], Column], Level]]
+    arms: Sequence[tuple[str, Level]]
     otherwise: Level | None = None
 
-    def column(self, levels: Levels = DEFAULT_LEVELS) -> Column:
-        return self.expr(levels).alias(self.name)
+    def sql(self, levels: Levels = DEFAULT_LEVELS) -> str:
+        arms = " ".join(f"WHEN ({cond}) THEN {_points_sql(lv, levels)}" for cond, lv in self.arms)
+        other = _points_sql(self.otherwise, levels) if self.otherwise is not None else "CAST(NULL AS DOUBLE)"
+        return f"CASE {arms} ELSE {other} END"
 
     def expr(self, levels: Levels = DEFAULT_LEVELS) -> Column:
-        def pts(level: Level) -> Column:
-            v = levels.value(level) if isinstance(level, str) else float(level)
-            return F.lit(v).cast("double")
-
-        expr: Column | None = None
-        for cond, level in self.arms:
-            expr = F.when(cond(), pts(level)) if expr is None else expr.when(cond(), pts(level))
-        assert expr is not None
-        if self.otherwise is not None:
-            expr = expr.otherwise(pts(self.otherwise))
-        else:
-            expr = expr.otherwise(F.lit(None).cast("double"))
-        return expr
-
+        return F.expr(self.sql(levels))
 
-def c(name: str) -> Column:
-    return F.col(name)
+    def column(self, levels: Levels = DEFAULT_LEVELS) -> Column:
+        return self.expr(levels).alias(self.name)
 
 
 # ---------------------------------------------------------------- personal
 
-VERIFICATION = Ladder(
-    "verification_points",
-    [(lambda: c("verification_status"), "good")],
-    otherwise="bad",
-)
+VERIFICATION = Ladder("verification_points", [("verification_status", "good")], otherwise="bad")
 
 # Grade letters and the sub-grade digits they combine with.
 GRADE_LETTERS = "ABCDEFG"
@@ -94,60 +92,54 @@ def sub_grade_points() -> list[tuple[str, str, float]]:
     return out
 
 
-@dataclass(frozen=True, eq=False)
+@dataclass(frozen=True)
 class LookupLadder:
-    """A ladder whose arms are ``key column = k AND guard`` for many keys.
+    """A ladder whose arms are ``key = k AND guard`` for many distinct keys.
 
     Compiles to one map lookup instead of one branch per key, which keeps the
     generated code small (35 sub-grades would otherwise be 70 comparisons).
-    An arm matches when the guard holds and the key is in the table; the
-    result is the same as the chained form because the keys are distinct.
+    The result equals the chained form because the keys are distinct.
     """
 
     name: str
     key: str
-    guard: Callable[[], Column]
+    guard: str
     table: Sequence[tuple[str, float]]
     otherwise: Level
 
-    def column(self, levels: Levels = DEFAULT_LEVELS) -> Column:
-        return self.expr(levels).alias(self.name)
+    def sql(self, levels: Levels = DEFAULT_LEVELS) -> str:
+        pairs = ", ".join(f"'{k}', {_points_sql(float(p), levels)}" for k, p in self.table)
+        found = f"try_element_at(map({pairs}), {self.key})"
+        return f"coalesce(CASE WHEN ({self.guard}) THEN {found} END, {_points_sql(self.otherwise, levels)})"
 
     def expr(self, levels: Levels = DEFAULT_LEVELS) -> Column:
-        pairs = []
-        for k, pts in self.table:
-            pairs += [F.lit(k), F.lit(float(pts)).cast("double")]
-        found = F.try_element_at(F.create_map(*pairs), c(self.key))
-        other = levels.value(self.otherwise) if isinstance(self.otherwise, str) else float(self.otherwise)
-        return F.coalesce(F.when(self.guard(), found), F.lit(other).cast("double"))
+        return F.expr(self.sql(levels))
+
+    def column(self, levels: Levels = DEFAULT_LEVELS) -> Column:
+        return self.expr(levels).alias(self.name)
 
 
 # A sub-grade scores only together with its own letter grade.
 GRADE = LookupLadder(
     "grade_points",
     key="sub_grade",
-    guard=lambda: c("grade") == F.substring(c("sub_grade"), 1, 1),
+    guard="grade = substring(sub_grade, 1, 1)",
     table=[(sg, pts) for _, sg, pts in sub_grade_points()],
     otherwise="no_points",
 )
 
-
-def _emp_is(*values: int) -> Column:
-    # emp_length leaves cleaning as the digits of an int (no sign, no leading
-    # zeros), so comparing the text with canonical digits equals comparing
-    # numbers, without parsing on every row.
-    return c("emp_length").isin(*[str(v) for v in values])
-
-
+# emp_length leaves cleaning as the digits of an int (no sign, no leading
+# zeros), so comparing the text with canonical digits equals comparing
+# numbers, without parsing on every row.
 EXPERIENCE = Ladder(
     "exp_points",
     [
-        (lambda: _emp_is(0), "unacceptable"),
-        (lambda: _emp_is(1, 2), "very_bad"),
-        (lambda: _emp_is(3, 4), "bad"),
-        (lambda: _emp_is(5, 6), "ok"),
-        (lambda: _emp_is(7, 8), "good"),
-        (lambda: _emp_is(9, 10), "very_good"),
+        ("emp_length = '0'", "unacceptable"),
+        ("emp_length IN ('1', '2')", "very_bad"),
+        ("emp_length IN ('3', '4')", "bad"),
+        ("emp_length IN ('5', '6')", "ok"),
+        ("emp_length IN ('7', '8')", "good"),
+        ("emp_length IN ('9', '10')", "very_good"),
     ],
 )
 
@@ -155,9 +147,9 @@ EXPERIENCE = Ladder(
 HOME = Ladder(
     "home_points",
     [
-        (lambda: c("home_ownership") == "OWN", "good"),
-        (lambda: c("home_ownership") == "RENT", "ok"),
-        (lambda: c("home_ownership") == "MORTAGE", "bad"),
+        ("home_ownership = 'OWN'", "good"),
+        ("home_ownership = 'RENT'", "ok"),
+        ("home_ownership = 'MORTAGE'", "bad"),
     ],
     otherwise="no_points",
 )
@@ -166,41 +158,27 @@ PERSONAL_LADDERS = (VERIFICATION, GRADE, EXPERIENCE, HOME)
 
 # ----------------------------------------------------------------- payment
 
-
-def _fee() -> Column:
-    return c("total_rec_late_fee")
-
-
 LATE_FEES = Ladder(
     "late_fees_points",
     [
-        (lambda: _fee() >= 40000, "unacceptable"),
-        (lambda: (_fee() >= 25000) & (_fee() < 40000), "very_bad"),
-        (lambda: (_fee() >= 10000) & (_fee() < 25000), "bad"),
-        (lambda: (_fee() >= 5000) & (_fee() < 10000), "ok"),
-        (lambda: (_fee() >= 1000) & (_fee() < 5000), "good"),
-        (lambda: _fee() < 1000, "very_good"),
+        ("total_rec_late_fee >= 40000", "unacceptable"),
+        ("total_rec_late_fee >= 25000 AND total_rec_late_fee < 40000", "very_bad"),
+        ("total_rec_late_fee >= 10000 AND total_rec_late_fee < 25000", "bad"),
+        ("total_rec_late_fee >= 5000 AND total_rec_late_fee < 10000", "ok"),
+        ("total_rec_late_fee >= 1000 AND total_rec_late_fee < 5000", "good"),
+        ("total_rec_late_fee < 1000", "very_good"),
     ],
     otherwise="no_points",
 )
 
-
-def _inst() -> Column:
-    return c("installment")
-
-
-def _monthly_income() -> Column:
-    return c("annual_inc") / 12
-
-
 INSTALLMENT = Ladder(
     "installment_points",
     [
-        (lambda: _inst() * 2 > _monthly_income(), "very_bad"),
-        (lambda: _inst() > _monthly_income(), "bad"),
-        (lambda: _inst() == _monthly_income(), "ok"),
-        (lambda: _inst() < _monthly_income(), "good"),
-        (lambda: _inst() * 2 < _monthly_income(), "very_good"),
+        ("installment * 2 > annual_inc / 12", "very_bad"),
+        ("installment > annual_inc / 12", "bad"),
+        ("installment = annual_inc / 12", "ok"),
+        ("installment < annual_inc / 12", "good"),
+        ("installment * 2 < annual_inc / 12", "very_good"),
     ],
     otherwise="no_points",
 )
@@ -209,24 +187,15 @@ PAYMENT_LADDERS = (LATE_FEES, INSTALLMENT)
 
 # ---------------------------------------------------------------- defaults
 
-
-def _dl() -> Column:
-    return c("delinq_2yrs")
-
-
-def _an() -> Column:
-    return c("acc_now_delinq")
-
-
 DELINQUENCY = Ladder(
     "deliq_points",
     [
-        (lambda: (_dl() == 0) & (_an() == 0), "very_good"),
-        (lambda: (_dl() == 1) & (_an() == 0), "good"),
-        (lambda: (_dl() == 0) & (_an() == 1), "good"),
-        (lambda: (_dl() == 1) & (_an() == 1), "ok"),
-        (lambda: (_dl() == 2) & (_an() >= 1), "bad"),
-        (lambda: (_dl() == 3) & (_an() >= 1), "very_bad"),
+        ("delinq_2yrs = 0 AND acc_now_delinq = 0", "very_good"),
+        ("delinq_2yrs = 1 AND acc_now_delinq = 0", "good"),
+        ("delinq_2yrs = 0 AND acc_now_delinq = 1", "good"),
+        ("delinq_2yrs = 1 AND acc_now_delinq = 1", "ok"),
+        ("delinq_2yrs = 2 AND acc_now_delinq >= 1", "bad"),
+        ("delinq_2yrs = 3 AND acc_now_delinq >= 1", "very_bad"),
     ],
     otherwise="no_points",
 )
@@ -234,19 +203,19 @@ DELINQUENCY = Ladder(
 PUBLIC_RECORDS = Ladder(
     "public_rec_points",
     [
-        (lambda: c("pub_rec_bankruptcies") == 0, "very_good"),
-        (lambda: c("pub_rec_bankruptcies") == 1, "ok"),
-        (lambda: c("pub_rec_bankruptcies") > 1, "unacceptable"),
+        ("pub_rec_bankruptcies = 0", "very_good"),
+        ("pub_rec_bankruptcies = 1", "ok"),
+        ("pub_rec_bankruptcies > 1", "unacceptable"),
     ],
 )
 
 MORTGAGES = Ladder(
     "mort_points",
     [
-        (lambda: c("mort_acc") == 0, "very_good"),
-        (lambda: c("mort_acc") == 1, "ok"),
-        (lambda: c("mort_acc") == 2, "bad"),
-        (lambda: c("mort_acc") > 2, "unacceptable"),
+        ("mort_acc = 0", "very_good"),
+        ("mort_acc = 1", "ok"),
+        ("mort_acc = 2", "bad"),
+        ("mort_acc > 2", "unacceptable"),
     ],
 )
 
@@ -254,26 +223,21 @@ DEFAULTS_LADDERS = (DELINQUENCY, PUBLIC_RECORDS, MORTGAGES)
 
 # --------------------------------------------------------------- inquiries
 
-
-def _mi() -> Column:
-    return c("mnths_since_inq")
-
-
 MONTHS_SINCE_INQUIRY = Ladder(
     "mnth_inq_points",
     [
-        (lambda: _mi() == 0, "very_good"),
-        (lambda: (_mi() > 0) & (_mi() <= 2), "good"),
-        (lambda: (_mi() >= 3) & (_mi() < 4), "ok"),
-        (lambda: (_mi() >= 4) & (_mi() < 6), "bad"),
-        (lambda: (_mi() >= 6) & (_mi() < 9), "very_bad"),
+        ("mnths_since_inq = 0", "very_good"),
+        ("mnths_since_inq > 0 AND mnths_since_inq <= 2", "good"),
+        ("mnths_since_inq >= 3 AND mnths_since_inq < 4", "ok"),
+        ("mnths_since_inq >= 4 AND mnths_since_inq < 6", "bad"),
+        ("mnths_since_inq >= 6 AND mnths_since_inq < 9", "very_bad"),
     ],
     otherwise="no_points",
 )
 
 CHARGE_OFFS = Ladder(
     "charge_off_points",
-    [(lambda: c("chargeoff_within_12_mths") == 0, "very_good")],
+    [("chargeoff_within_12_mths = 0", "very_good")],
     otherwise="unacceptable",
 )
 
@@ -282,12 +246,12 @@ def _count_ladder(name: str, column: str) -> Ladder:
     return Ladder(
         name,
         [
-            (lambda: c(column) == 0, "very_good"),
-            (lambda: c(column) == 1, "good"),
-            (lambda: c(column) == 2, "ok"),
-            (lambda: c(column) == 3, "bad"),
-            (lambda: c(column) == 4, "very_bad"),
-            (lambda: c(column) > 4, "no_points"),
+            (f"{column} = 0", "very_good"),
+            (f"{column} = 1", "good"),
+            (f"{column} = 2", "ok"),
+            (f"{column} = 3", "bad"),
+            (f"{column} = 4", "very_bad"),
+            (f"{column} > 4", "no_points"),
         ],
     )
 
@@ -304,12 +268,12 @@ INQUIRIES_LADDERS = (MONTHS_SINCE_INQUIRY, CHARGE_OFFS, FINANCE_INQUIRIES, YEAR_
 LOAN_STATUS = Ladder(
     "loan_status_points",
     [
-        (lambda: c("loan_status") == "Fully Paid", "very_good"),
-        (lambda: c("loan_status") == "Current", "good"),
-        (lambda: c("loan_status") == "Late", "ok"),
-        (lambda: c("loan_status") == "Charged Off", "unacceptable"),
-        (lambda: c("loan_status") == "In Grace Period", "bad"),
-        (lambda: c("loan_status") == "Default", "very_bad"),
+        ("loan_status = 'Fully Paid'", "very_good"),
+        ("loan_status = 'Current'", "good"),
+        ("loan_status = 'Late'", "ok"),
+        ("loan_status = 'Charged Off'", "unacceptable"),
+        ("loan_status = 'In Grace Period'", "bad"),
+        ("loan_status = 'Default'", "very_bad"),
     ],
     otherwise="no_points",
 )
@@ -317,48 +281,34 @@ LOAN_STATUS = Ladder(
 PURPOSE = Ladder(
     "purpose_points",
     [
-        (lambda: c("purpose").isin("debt_consolidation", "credit_card"), "unacceptable"),
-        (lambda: c("purpose").isin("educational", "house"), "very_good"),
+        ("purpose IN ('debt_consolidation', 'credit_card')", "unacceptable"),
+        ("purpose IN ('educational', 'house')", "very_good"),
     ],
     otherwise="ok",
 )
 
-
-def _inc() -> Column:
-    return c("annual_inc")
-
-
-def _amt() -> Column:
-    return c("loan_amnt")
-
-
 INCOME = Ladder(
     "income_points",
     [
-        (lambda: _inc() < _amt() * 0.5, "unacceptable"),
-        (lambda: (_inc() <= _amt()) & (_inc() < _amt() * 0.5), "very_bad"),
-        (lambda: (_inc() > _amt()) & (_inc() < _amt() * 1.5), "bad"),
-        (lambda: (_inc() > _amt() * 1.5) & (_inc() < _amt() * 2.0), "ok"),
-        (lambda: (_inc() > _amt()) & (_inc() < _amt() * 2.5), "good"),
-        (lambda: _inc() > _amt() * 2.5, "very_good"),
+        ("annual_inc < loan_amnt * 0.5D", "unacceptable"),
+        ("annual_inc <= loan_amnt AND annual_inc < loan_amnt * 0.5D", "very_bad"),
+        ("annual_inc > loan_amnt AND annual_inc < loan_amnt * 1.5D", "bad"),
+        ("annual_inc > loan_amnt * 1.5D AND annual_inc < loan_amnt * 2.0D", "ok"),
+        ("annual_inc > loan_amnt AND annual_inc < loan_amnt * 2.5D", "good"),
+        ("annual_inc > loan_amnt * 2.5D", "very_good"),
     ],
     otherwise="no_points",
 )
 
-
-def _lim() -> Column:
-    return c("tot_hi_cred_lim")
-
-
 CREDIT_LINE = Ladder(
     "credi_line_points",
     [
-        (lambda: _amt() >= _lim() * 2, "unacceptable"),
-        (lambda: _amt() >= _lim() * 2, "very_bad"),
-        (lambda: _amt() >= _lim() * 1.5, "bad"),
-        (lambda: _amt() >= _lim(), "ok"),
-        (lambda: _amt() * 1.5 >= _lim(), "good"),
-        (lambda: _amt() * 2 >= _lim(), "very_good"),
+        ("loan_amnt >= tot_hi_cred_lim * 2", "unacceptable"),
+        ("loan_amnt >= tot_hi_cred_lim * 2", "very_bad"),
+        ("loan_amnt >= tot_hi_cred_lim * 1.5D", "bad"),
+        ("loan_amnt >= tot_hi_cred_lim", "ok"),
+        ("loan_amnt * 1.5D >= tot_hi_cred_lim", "good"),
+        ("loan_amnt * 2 >= tot_hi_cred_lim", "very_good"),
     ],
     otherwise="no_points",
 )

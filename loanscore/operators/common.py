@@ -47,8 +47,7 @@ def fill_zero(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def cap(column: str, limit: int) -> Column:
     """Values above ``limit`` become ``limit``; null stays null."""
-    c = F.col(column)
-    return F.when(c > limit, F.lit(limit)).otherwise(c)
+    return F.expr(f"CASE WHEN `{column}` > {int(limit)} THEN {int(limit)} ELSE `{column}` END")
 
 
 # Raw loan status spellings and what cleaning maps them to.
@@ -58,14 +57,17 @@ LATE_RAW = ("Late (31-120 days)", "Late (16-30 days)")
 STATUS_KEPT = ("Current", "In Grace Period", "Default")
 
 
+def _in(values: Iterable[str]) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
 def normalized_loan_status(column: str = "loan_status") -> Column:
-    s = F.col(column)
-    return (
-        F.when(s.isin(*FULLY_PAID_RAW), F.lit("Full Paid"))
-        .when(s.isin(*CHARGED_OFF_RAW), F.lit("Charged Off"))
-        .when(s.isin(*LATE_RAW), F.lit("Late"))
-        .when(s.isin(*STATUS_KEPT), s)
-        .otherwise(F.lit(None).cast("string"))
+    s = f"`{column}`"
+    return F.expr(
+        f"CASE WHEN {s} IN ({_in(FULLY_PAID_RAW)}) THEN 'Full Paid' "
+        f"WHEN {s} IN ({_in(CHARGED_OFF_RAW)}) THEN 'Charged Off' "
+        f"WHEN {s} IN ({_in(LATE_RAW)}) THEN 'Late' "
+        f"WHEN {s} IN ({_in(STATUS_KEPT)}) THEN {s} ELSE CAST(NULL AS STRING) END"
     )
 
 

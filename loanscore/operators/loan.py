@@ -53,7 +53,7 @@ def type_columns(df: DataFrame) -> dict[str, Column]:
     return {
         "issue_d": to_month_date("issue_d"),
         # ' 36 months' -> ' 36' -> 36
-        "term": to_int_trunc(F.substring("term", 1, 3)),
+        "term": to_int_trunc("substring(term, 1, 3)"),
         "id": to_int_trunc("id", types["id"]),
     }
 
@@ -68,9 +68,10 @@ def filled(typed_df: DataFrame) -> DataFrame:
 
 
 def outlier_columns() -> dict[str, Column]:
+    kept = ", ".join(f"'{p}'" for p in PURPOSES)
     return {
         "loan_status": normalized_loan_status(),
-        "purpose": F.when(F.col("purpose").isin(*PURPOSES), F.col("purpose")).otherwise(F.lit(OTHER_PURPOSE)),
+        "purpose": F.expr(f"CASE WHEN purpose IN ({kept}) THEN purpose ELSE '{OTHER_PURPOSE}' END"),
     }
 
 

@@ -93,14 +93,11 @@ def filled(typed_df: DataFrame) -> DataFrame:
 
 
 def outlier_columns() -> dict[str, Column]:
-    p, i, f = F.col("total_rec_prncp"), F.col("total_rec_int"), F.col("total_rec_late_fee")
     return {
         "loan_status": normalized_loan_status(),
-        "pymnt_plan": F.when(F.col("pymnt_plan") == NOT_A_PLAN, F.lit(None).cast("string")).otherwise(
-            F.col("pymnt_plan")
-        ),
-        "total_pymnt": F.round(p + i + f, 2),
-        "out_prncp": F.round(F.col("loan_amnt") - p, 2),
+        "pymnt_plan": F.expr(f"CASE WHEN pymnt_plan = '{NOT_A_PLAN}' THEN CAST(NULL AS STRING) ELSE pymnt_plan END"),
+        "total_pymnt": F.expr("round(total_rec_prncp + total_rec_int + total_rec_late_fee, 2)"),
+        "out_prncp": F.expr("round(loan_amnt - total_rec_prncp, 2)"),
     }
 
 

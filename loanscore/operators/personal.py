@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
-from loanscore.functions.casts import digits_only, to_double, to_int_trunc, to_month_date
+from loanscore.functions.casts import digits_only, int_trunc_sql, to_double, to_int_trunc, to_month_date
 from loanscore.levels import DEFAULT_LEVELS, Levels
 from loanscore.operators.common import (
     fill_zero,
@@ -94,20 +94,21 @@ def latest(filled_df: DataFrame) -> DataFrame:
 
 def outlier_columns() -> dict[str, Column]:
     """Row-level domain rules; each reads the column's incoming value."""
-    zip5 = F.when(F.length("zip_code") == 5, F.col("zip_code"))
-    bad_zip = (F.substring(zip5, 3, 2) != MASK) & to_int_trunc(F.substring(zip5, 1, 3)).isNull()
-    inc = F.col("annual_inc")
+    zip5 = "CASE WHEN length(zip_code) = 5 THEN zip_code END"
+    bad_zip = f"substring({zip5}, 3, 2) != '{MASK}' AND ({int_trunc_sql(f'substring({zip5}, 1, 3)')}) IS NULL"
+    verified = ", ".join(f"'{v}'" for v in VERIFIED)
+    kept = ", ".join(f"'{v}'" for v in HOME_KEPT)
     return {
-        "addr_state": F.when(F.length("addr_state") == 2, F.col("addr_state")),
-        "verification_status": F.when(F.col("verification_status").isin(*VERIFIED), F.lit(True)).otherwise(
-            F.lit(False)
+        "addr_state": F.expr("CASE WHEN length(addr_state) = 2 THEN addr_state END"),
+        "verification_status": F.expr(f"CASE WHEN verification_status IN ({verified}) THEN true ELSE false END"),
+        "home_ownership": F.expr(
+            f"CASE WHEN home_ownership IN ({kept}) THEN home_ownership ELSE '{HOME_DEFAULT}' END"
         ),
-        "home_ownership": F.when(F.col("home_ownership").isin(*HOME_KEPT), F.col("home_ownership")).otherwise(
-            F.lit(HOME_DEFAULT)
-        ),
-        "zip_code": F.when(bad_zip, F.lit(None).cast("string")).otherwise(zip5),
+        "zip_code": F.expr(f"CASE WHEN {bad_zip} THEN CAST(NULL AS STRING) ELSE {zip5} END"),
         "emp_length": digits_only("emp_length"),
-        "annual_inc": F.when(inc > INCOME_CAP, F.lit(float(INCOME_CAP))).otherwise(inc),
+        "annual_inc": F.expr(
+            f"CASE WHEN annual_inc > {INCOME_CAP} THEN CAST({INCOME_CAP} AS DOUBLE) ELSE annual_inc END"
+        ),
     }
 
 

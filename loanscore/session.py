@@ -30,6 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # HotSpot does not JIT-compile methods above 8000 bytes of bytecode;
         # a larger whole-stage method would run interpreted, so split instead.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Plans are built from many small Column calls; skip the per-call
+        # Python stack capture (only used to decorate error messages).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

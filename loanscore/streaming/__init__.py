@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch job with no stream source, watermark, event-time
+window or stateful operator, so nothing is built here (no operator is added
+that the reference does not have). Incremental runs are served by the batch
+job itself: it reads whatever raw files are present and rewrites its outputs.
+"""

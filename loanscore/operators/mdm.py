@@ -6,9 +6,17 @@ the same latest row, so one aggregate (one shuffle) yields all three,
 instead of three.
 
 ``mdm_view`` keeps every cleaned loan row and attaches its payment record
-(on ``id``) and its member's profile (on the member key), all left joins.
-Loans whose ``id`` is null can never match a payment; they bypass the id
-join, so a large null-id group never lands on one reducer.
+and its member's profile (left joins in the reference's definition).
+
+The payment record of a loan is the payment part of the same application
+row: both subjects are projections of the same rows, and the loan id is the
+row's key, so the id join is a self-join that pairs each row with itself.
+It is therefore computed row-wise (map-only, no shuffle); a loan whose id is
+null gets no payment fields, as the left join would give it. This never
+emits all pairs of a group of rows sharing an id. The only join left is the
+one to the per-member profile, which has exactly one row per member, so a
+member owning many loans only grows the streamed side of the join (where
+AQE's skew-join split applies), never the build side.
 """
 
 from __future__ import annotations
@@ -17,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanscore.functions.keys import drop_empty_profiles
-from loanscore.operators import defaults, inquiries, loan, payment, personal
-from loanscore.operators.common import fill_zero, latest_per_member, unstamped
+from loanscore.operators import defaults, inquiries, personal
+from loanscore.operators.common import fill_zero, latest_per_member
 
 PROFILE_KEY = "member_id"
 
@@ -87,28 +95,35 @@ def member_profile(keyed: DataFrame, bits: int = 512) -> DataFrame:
     return prof.withColumns(rules).select(PROFILE_KEY, *PROFILE_COLUMNS)
 
 
-def mdm_view(keyed: DataFrame, bits: int = 512) -> DataFrame:
-    ln = unstamped(loan.clean(loan.details(keyed), bits))
-    pay = unstamped(payment.clean(payment.details(keyed), bits)).select(
-        F.col("id").alias("_pay_id"),
-        "installment",
-        "pymnt_plan",
-        "total_pymnt",
-        "total_rec_prncp",
-        "total_rec_int",
-        "total_rec_late_fee",
-        "out_prncp",
-        "last_pymnt_d",
-        "last_pymnt_amnt",
-    )
-    pay = pay.where(F.col("_pay_id").isNotNull())
-    pay_cols = [c for c in pay.columns if c != "_pay_id"]
-    ln = ln.drop("installment")
-    with_id = ln.where(F.col("id").isNotNull()).join(pay, F.col("id") == F.col("_pay_id"), "left").drop("_pay_id")
-    without_id = ln.where(F.col("id").isNull()).select(
-        "*", *[F.lit(None).cast(pay.schema[c].dataType).alias(c) for c in pay_cols]
+PAYMENT_PART = (
+    "installment",
+    "pymnt_plan",
+    "total_pymnt",
+    "total_rec_prncp",
+    "total_rec_int",
+    "total_rec_late_fee",
+    "out_prncp",
+    "last_pymnt_d",
+    "last_pymnt_amnt",
+)
+LOAN_PART = ("id", "loan_amnt", "term", "int_rate", "issue_d", "loan_status", "purpose")
+
+
+def loan_rows(keyed: DataFrame, bits: int = 512) -> DataFrame:
+    """Cleaned loan columns with the same row's cleaned payment columns (map-only)."""
+    from loanscore.operators.combine import prepared_rows
+
+    rows = prepared_rows(keyed, bits)
+    has_id = F.col("id").isNotNull()
+    return rows.select(
+        "member_id",
+        *LOAN_PART,
+        *[F.when(has_id, F.col(c)).alias(c) for c in PAYMENT_PART],
     )
-    loans = with_id.unionByName(without_id)
+
+
+def mdm_view(keyed: DataFrame, bits: int = 512) -> DataFrame:
+    loans = loan_rows(keyed, bits)
     prof = member_profile(keyed, bits).withColumnRenamed(PROFILE_KEY, "_profile_key")
-    out = loans.join(prof, loans[loan.KEY] == prof["_profile_key"], "left")
+    out = loans.join(prof, loans["member_id"] == prof["_profile_key"], "left")
     return out.withColumn("member_id", F.col("_profile_key")).select(*MDM_COLUMNS)

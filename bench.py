@@ -78,6 +78,32 @@ def main() -> None:
 
     timed("job", run_job)
 
+    # Optional scale section: BENCH_REPLICAS disjoint copies of the input.
+    replicas = int(os.environ.get("BENCH_REPLICAS", "0"))
+    scale: dict[str, float] = {}
+    if replicas > 1:
+        from loanscore.functions.keys import with_member_key
+        from loanscore.operators import combine
+        from loanscore.sources.fixture import applications_from_tables, replicated_tables
+
+        o, c = replicated_tables(spark, sf_dir, replicas)
+        raw_path = os.path.join(job.scratch_path(spark, "bench-raw"))
+        applications_from_tables(o, c).write.parquet(raw_path)
+        raw = spark.read.parquet(raw_path)
+        keyed = with_member_key(raw, 512)
+        for name, make in (
+            ("fused", lambda: combine.member_scores(keyed, 512)),
+            ("join_form", lambda: combine.final_points_joined(keyed, 512)),
+        ):
+            t0 = time.perf_counter()
+            noop(make())
+            scale[name] = round(time.perf_counter() - t0, 3)
+        t0 = time.perf_counter()
+        cleaned, points = job.default_output_dirs(spark)
+        job.run(spark, raw, cleaned, points)
+        scale["job"] = round(time.perf_counter() - t0, 3)
+        scale["rows"] = raw.count()
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     print(
@@ -90,6 +116,7 @@ def main() -> None:
                 "sf": sf,
                 "cpus": cpus,
                 "cold_first_query": cold,
+                **({"scale": scale} if scale else {}),
             }
         )
     )

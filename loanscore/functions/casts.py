@@ -30,9 +30,20 @@ def _q(name: str) -> str:
 
 
 def int_trunc_sql(text: str) -> str:
-    """SQL text of ``to_int_trunc`` for a text-valued column name or expression."""
+    """SQL text of ``to_int_trunc`` for a text-valued column name or expression.
+
+    'd...d.0' (how counts are usually written) parses its integer part
+    directly, skipping the regular expression; anything else goes through
+    the plain-decimal check and a double. Nothing is cast before a cheap
+    check has passed: a failing cast is slow (it raises internally).
+    """
     x = _q(text)
-    return f"CASE WHEN {x} RLIKE r'{INT_TEXT}' THEN try_cast(try_cast({x} AS DOUBLE) AS INT) END"
+    whole = f"substring({x}, 1, length({x}) - 2)"
+    return (
+        f"CASE WHEN endswith({x}, '.0') AND substring({x}, -3, 1) BETWEEN '0' AND '9' "
+        f"THEN try_cast({whole} AS INT) "
+        f"WHEN {x} RLIKE r'{INT_TEXT}' THEN try_cast(try_cast({x} AS DOUBLE) AS INT) END"
+    )
 
 
 def to_double(c: Column | str) -> Column:
@@ -74,6 +85,13 @@ def to_month_date(c: Column | str) -> Column:
     return F.try_to_date(c, MONTH_FORMAT)
 
 
+def int_digits(c: str) -> Column:
+    """The digits of an int column as text: the same as dropping every
+    non-digit character from its decimal text (only a '-' can occur), without
+    a regular expression."""
+    return F.expr(f"CAST(abs(CAST({_q(c)} AS BIGINT)) AS STRING)")
+
+
 def digits_only(c: Column | str) -> Column:
     """Drop every non-digit character; the result is text."""
     if isinstance(c, str):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
-from loanscore.functions.casts import digits_only, int_trunc_sql, to_double, to_int_trunc, to_month_date
+from loanscore.functions.casts import int_digits, int_trunc_sql, to_double, to_int_trunc, to_month_date
 from loanscore.levels import DEFAULT_LEVELS, Levels
 from loanscore.operators.common import (
     fill_zero,
@@ -105,7 +105,8 @@ def outlier_columns() -> dict[str, Column]:
             f"CASE WHEN home_ownership IN ({kept}) THEN home_ownership ELSE '{HOME_DEFAULT}' END"
         ),
         "zip_code": F.expr(f"CASE WHEN {bad_zip} THEN CAST(NULL AS STRING) ELSE {zip5} END"),
-        "emp_length": digits_only("emp_length"),
+        # emp_length is an int here (cast and filled before deduplication)
+        "emp_length": int_digits("emp_length"),
         "annual_inc": F.expr(
             f"CASE WHEN annual_inc > {INCOME_CAP} THEN CAST({INCOME_CAP} AS DOUBLE) ELSE annual_inc END"
         ),

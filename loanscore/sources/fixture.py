@@ -163,13 +163,10 @@ def _outer_expr(name: str, expr: str, string_type: str = "STRING", double_type:
     return f"CAST(CASE WHEN junk THEN NULL ELSE {expr} END AS {t}) AS {name}"
 
 
-def applications_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw application table (36 used columns, raw types) for ``sf_dir``."""
+def applications_from_tables(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """The raw application table (36 used columns, raw types) from the two tables."""
     # prune before spreading, so only the four used columns are read and moved
-    orders = spread(
-        spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    )
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    orders = spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     j = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "inner").select(
         orders["o_orderkey"].alias("o"),
         customer["c_custkey"].alias("k"),
@@ -183,6 +180,37 @@ def applications_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.selectExpr(*[_outer_expr(n, e) for n, e in COLUMNS])
 
 
+def applications_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw application table for the tables under ``sf_dir``."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return applications_from_tables(orders, customer)
+
+
+def replicated_tables(spark: SparkSession, sf_dir: str, copies: int) -> tuple[DataFrame, DataFrame]:
+    """``copies`` disjoint copies of orders and customer (keys shifted), for scale runs."""
+    from pyspark.sql import functions as F
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    o_span = 10 ** 9
+    c_span = 10 ** 8
+    o_parts, c_parts = [], []
+    for i in range(copies):
+        o_parts.append(
+            orders.withColumn("o_orderkey", F.col("o_orderkey") + i * o_span).withColumn(
+                "o_custkey", F.col("o_custkey") + i * c_span
+            )
+        )
+        c_parts.append(customer.withColumn("c_custkey", F.col("c_custkey") + i * c_span))
+    o, c = o_parts[0], c_parts[0]
+    for x in o_parts[1:]:
+        o = o.unionByName(x)
+    for x in c_parts[1:]:
+        c = c.unionByName(x)
+    return o, c
+
+
 def fixture_sql(orders: str = "orders", customer: str = "customer") -> str:
     """The same table as one SELECT (DuckDB dialect: VARCHAR for text)."""
     inner = ", ".join(f"{e.replace('STRING', 'VARCHAR')} AS {n}" for n, e in INNER)

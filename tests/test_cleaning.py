@@ -147,3 +147,23 @@ def test_raw_schema():
     assert len(RAW_FIELDS) == 151
     assert sum(1 for _, t in RAW_FIELDS if t == "string") == 98
     assert sum(1 for _, t in RAW_FIELDS if t == "double") == 53
+
+
+def test_int_trunc_fast_paths_equal_the_plain_rule(spark):
+    from loanscore.functions.casts import INT_TEXT, int_trunc_sql
+
+    vals = ["36", " 36", "36 ", "-2", "+4", "3.0", "-3.0", " 3.0", "3 .0", "+4.0", ".0", "1e3.0", "2147483647",
+            "2147483648", "2147483647.0", "2147483648.0", "-2147483648.0", "12.50", "7.", "0.0", "00.0", "1.0e0",
+            "abc.0", "1,0", "", " ", "\t5\t", "5.00", "NaN", "Infinity", "0x10", "1_000"]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    plain = f"CASE WHEN x RLIKE r'{INT_TEXT}' THEN try_cast(try_cast(x AS DOUBLE) AS INT) END"
+    got = df.select(F.expr(int_trunc_sql("x")).alias("a"), F.expr(plain).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+
+
+def test_int_digits_equals_regex_strip(spark):
+    from loanscore.functions.casts import digits_only, int_digits
+
+    df = spark.createDataFrame([(v,) for v in [0, 7, -3, 10, -2147483648, 2147483647, None]], "x int")
+    got = df.select(int_digits("x").alias("a"), digits_only(F.col("x")).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]

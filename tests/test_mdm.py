@@ -25,3 +25,21 @@ def test_member_profile_is_one_aggregate(keyed_smoke):
     plan = prof._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(member_id") == 1
     assert prof.count() == prof.select("member_id").distinct().count()
+
+
+def test_sql_view_form_equals_dataframe_form(spark, keyed_smoke):
+    from loanscore.operators import defaults, inquiries, loan, payment, personal
+    from loanscore.operators.common import unstamped
+
+    k = keyed_smoke
+    mdm.register_subject_views(
+        unstamped(loan.clean(loan.details(k), 256)),
+        unstamped(personal.clean(personal.details(k), 256)),
+        unstamped(payment.clean(payment.details(k), 256)),
+        unstamped(defaults.clean(defaults.details(k), 256)),
+        unstamped(inquiries.clean(inquiries.details(k), 256)),
+    )
+    view = mdm.create_mdm_sql_view(spark)
+    frame = mdm.mdm_view(k, 256)
+    assert view.columns == frame.columns
+    assert view.exceptAll(frame).count() == 0 and frame.exceptAll(view).count() == 0

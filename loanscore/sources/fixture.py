@@ -193,8 +193,8 @@ def replicated_tables(spark: SparkSession, sf_dir: str, copies: int) -> tuple[Da
 
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    o_span = 10 ** 9
-    c_span = 10 ** 8
+    o_span = 10 ** 7  # keeps order keys (loan ids) inside the INT range
+    c_span = 10 ** 7
     o_parts, c_parts = [], []
     for i in range(copies):
         o_parts.append(

@@ -14,6 +14,9 @@ Plan (each numbered step is one Spark job):
 8. Points: the fused scorer (one shuffle) writes the member totals.
 
 Every write is distributed (one file per task) unless ``single_file`` is set.
+The two intermediate tables are deleted once every output is committed
+(``keep_intermediate=True`` keeps them), so repeated runs do not leave
+copies of the raw data in the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from loanscore.levels import DEFAULT_LEVELS, DEFAULT_WEIGHTS, Levels, Weights
 from loanscore.operators import combine, defaults, inquiries, loan, mdm, payment, personal
 from loanscore.operators.common import stamp
 from loanscore.schema import USED_COLUMNS
-from loanscore.session import scratch_path
+from loanscore.session import delete_path, scratch_path
 from loanscore.sources import sinks
 
 # Output folder names, one per subject.
@@ -68,6 +71,7 @@ def run(
     weights: Weights = DEFAULT_WEIGHTS,
     single_file: bool = False,
     fmt: str = "csv",
+    keep_intermediate: bool = False,
 ) -> JobOutputs:
     base_path = stage_base(raw, bits)
     base = spark.read.parquet(base_path)
@@ -96,6 +100,9 @@ def run(
 
     points = combine.member_scores(base, bits, levels, weights)
     sinks.save_points(points, points_dir, single_file, fmt)
+    if not keep_intermediate:
+        delete_path(spark, profile_path)
+        delete_path(spark, base_path)
     return JobOutputs(cleaned_dir, points_dir, base_path, profile_path)
 
 

@@ -65,3 +65,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the checkpoint folder (not created)."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on whatever file system it names (HDFS, S3, local)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

@@ -27,3 +27,6 @@ def test_job_outputs(spark):
     assert per.count() == want.count()
     pay = spark.read.option("header", True).csv(os.path.join(cleaned, "Payment"))
     assert pay.count() == raw.where("grade is not null or sub_grade is not null").count()
+    # intermediate tables are removed once the outputs are committed
+    assert not os.path.exists(out.base_table.replace("file:", ""))
+    assert not os.path.exists(out.profile_table.replace("file:", ""))

@@ -96,6 +96,20 @@ def member_profile(keyed: DataFrame, bits: int = 512) -> DataFrame:
     return prof.withColumns(rules).select(PROFILE_KEY, *PROFILE_COLUMNS)
 
 
+INQUIRIES_CLEAN = ("mnths_since_inq", "chargeoff_within_12_mths", "inq_last_12m", "inq_fi")
+
+
+def subjects_from_profile(profile: DataFrame) -> dict[str, DataFrame]:
+    """The cleaned personal, defaults and inquiries subjects (without the
+    load stamp) as projections of one member profile."""
+    k = F.col(PROFILE_KEY)
+    return {
+        "personal": profile.select(k.alias(personal.KEY), *personal.LATEST),
+        "defaults": profile.select(k.alias(defaults.KEY), *defaults.COUNTS),
+        "inquiries": profile.select(k.alias(inquiries.KEY), *INQUIRIES_CLEAN),
+    }
+
+
 PAYMENT_PART = (
     "installment",
     "pymnt_plan",

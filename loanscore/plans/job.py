@@ -25,11 +25,10 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loanscore.functions.keys import drop_empty_profiles, with_member_key
 from loanscore.levels import DEFAULT_LEVELS, DEFAULT_WEIGHTS, Levels, Weights
-from loanscore.operators import combine, defaults, inquiries, loan, mdm, payment, personal
+from loanscore.operators import combine, loan, mdm, payment
 from loanscore.operators.common import stamp
 from loanscore.schema import USED_COLUMNS
 from loanscore.session import delete_path, scratch_path
@@ -57,10 +56,6 @@ def stage_base(raw: DataFrame, bits: int = 512) -> str:
     return path
 
 
-def _subject_from_profile(profile: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
-    return stamp(profile.select(F.col(mdm.PROFILE_KEY).alias(key), *columns))
-
-
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -81,22 +76,9 @@ def run(
 
     profile_path = scratch_path(spark, "profile")
     mdm.member_profile(base, bits).write.mode("overwrite").parquet(profile_path)
-    profile = spark.read.parquet(profile_path)
-    sinks.save_subject(
-        _subject_from_profile(profile, personal.KEY, personal.LATEST), cleaned_dir, "Personal", single_file, fmt
-    )
-    sinks.save_subject(
-        _subject_from_profile(profile, defaults.KEY, defaults.COUNTS), cleaned_dir, "Defaults", single_file, fmt
-    )
-    sinks.save_subject(
-        _subject_from_profile(
-            profile, inquiries.KEY, ("mnths_since_inq", "chargeoff_within_12_mths", "inq_last_12m", "inq_fi")
-        ),
-        cleaned_dir,
-        "Inquires",
-        single_file,
-        fmt,
-    )
+    subjects = mdm.subjects_from_profile(spark.read.parquet(profile_path))
+    for name, folder in (("personal", "Personal"), ("defaults", "Defaults"), ("inquiries", "Inquires")):
+        sinks.save_subject(stamp(subjects[name]), cleaned_dir, folder, single_file, fmt)
 
     points = combine.member_scores(base, bits, levels, weights)
     sinks.save_points(points, points_dir, single_file, fmt)

@@ -50,6 +50,19 @@ def staged(spark: SparkSession, sf_dir: str, bits: int = ORACLE_BITS) -> DataFra
     return spark.read.parquet(stage_base(applications_from_star(spark, sf_dir), bits))
 
 
+def staged_subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Staged keyed rows, plus the per-member cleaned subjects from one staged profile.
+
+    The profile is one aggregate written once; personal, defaults and
+    inquiries are projections of it, so checks that read them several times
+    (with different columns) do not rebuild the aggregate per reader.
+    """
+    k = staged(spark, sf_dir)
+    path = scratch_path(spark, "profile")
+    mdm.member_profile(k, ORACLE_BITS).write.parquet(path)
+    return k, mdm.subjects_from_profile(spark.read.parquet(path))
+
+
 # ------------------------------------------------------- sources and keys
 
 
@@ -210,19 +223,15 @@ def q_dq_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_ladder_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = staged(spark, sf_dir)
-    per_clean = _personal_clean(k)
+    k, subj = staged_subjects(spark, sf_dir)
+    per_clean = subj["personal"]
     parts = [
         quality.ladder_violations(personal.points(per_clean), quality.PERSONAL_CASES),
         quality.ladder_violations(
             payment.points(payment.clean(payment.details(k), ORACLE_BITS), per_clean), quality.PAYMENT_CASES
         ),
-        quality.ladder_violations(
-            defaults.points(defaults.clean(defaults.details(k), ORACLE_BITS)), quality.DEFAULTS_CASES
-        ),
-        quality.ladder_violations(
-            inquiries.points(inquiries.clean(inquiries.details(k), ORACLE_BITS)), quality.INQUIRIES_CASES
-        ),
+        quality.ladder_violations(defaults.points(subj["defaults"]), quality.DEFAULTS_CASES),
+        quality.ladder_violations(inquiries.points(subj["inquiries"]), quality.INQUIRIES_CASES),
         quality.ladder_violations(
             loan.points(loan.clean(loan.details(k), ORACLE_BITS), per_clean), quality.LOAN_CASES
         ),
@@ -234,8 +243,15 @@ def q_dq_ladder_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = staged(spark, sf_dir)
-    s = combine.subject_points(k, ORACLE_BITS)
+    k, subj = staged_subjects(spark, sf_dir)
+    per_clean = subj["personal"]
+    s = {
+        "personal": personal.points(per_clean),
+        "payment": payment.points(payment.clean(payment.details(k), ORACLE_BITS), per_clean),
+        "defaults": defaults.points(subj["defaults"]),
+        "inquiries": inquiries.points(subj["inquiries"]),
+        "loan": loan.points(loan.clean(loan.details(k), ORACLE_BITS), per_clean),
+    }
     col = F.col
     parts = [
         quality.total_mismatches(

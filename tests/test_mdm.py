@@ -43,3 +43,15 @@ def test_sql_view_form_equals_dataframe_form(spark, keyed_smoke):
     frame = mdm.mdm_view(k, 256)
     assert view.columns == frame.columns
     assert view.exceptAll(frame).count() == 0 and frame.exceptAll(view).count() == 0
+
+
+def test_subjects_from_profile_equal_subject_pipelines(keyed_smoke):
+    from loanscore.operators import defaults, inquiries, personal
+    from loanscore.operators.common import unstamped
+
+    derived = mdm.subjects_from_profile(mdm.member_profile(keyed_smoke, 256))
+    for name, mod in (("personal", personal), ("defaults", defaults), ("inquiries", inquiries)):
+        direct = unstamped(mod.clean(mod.details(keyed_smoke), 256))
+        assert derived[name].columns == direct.columns
+        assert derived[name].dtypes == direct.dtypes
+        assert derived[name].exceptAll(direct).count() == 0 and direct.exceptAll(derived[name]).count() == 0

@@ -10,7 +10,8 @@ Two forms with equal results:
   All subjects come from the same rows, the same filter and the same key,
   and all of them take the same latest row, so every row-level rule and
   ladder is evaluated before the shuffle, and the shuffle carries only the
-  member key, a packed recency rank and six numbers per member and task. The
+  member key (as its binary digest), a packed recency rank and six numbers
+  per member and task. The
   aggregate is a hash aggregate with a map-side partial step; a member that
   owns a large share of the rows is reduced to one buffer per task before
   the exchange, so there is no hot reducer.
@@ -135,9 +136,14 @@ def member_scores(
     levels: Levels = DEFAULT_LEVELS,
     weights: Weights = DEFAULT_WEIGHTS,
 ) -> DataFrame:
-    """Fused form: one shuffle from raw rows to the final table."""
+    """Fused form: one shuffle from raw rows to the final table.
+
+    The key crosses the shuffle as its binary digest (``unhex``: 64 bytes for
+    SHA-512 instead of 128 characters) and is turned back into lower-case hex
+    once per member after the aggregate.
+    """
     rows = prepared_rows(keyed, bits).select(
-        F.col("member_id").alias(personal.KEY),
+        F.unhex("member_id").alias("_key"),
         recency("issue_d", "id").alias("_recency"),
         personal.total(levels).alias("_personal"),
         payment.total(levels).alias("_payments"),
@@ -149,7 +155,7 @@ def member_scores(
         F.col("chargeoff_within_12_mths"),
     )
     rank = F.col("_recency")
-    agg = rows.groupBy(personal.KEY).agg(
+    agg = rows.groupBy("_key").agg(
         F.max_by("_personal", rank).alias("total_personal_points"),
         F.max_by("_payments", rank).alias("total_payments_points"),
         F.max_by("_defaults", rank).alias("total_defaults_points"),
@@ -158,7 +164,7 @@ def member_scores(
         F.max_by("_inq_fi", rank).alias("inq_points"),
         *inquiries.rollup_aggs(),
     )
-    agg = agg.withColumn(
+    agg = agg.withColumn(personal.KEY, F.lower(F.hex("_key"))).withColumn(
         "chargeoff_within_12_mths", cap("chargeoff_within_12_mths", inquiries.CAPS["chargeoff_within_12_mths"])
     )
     inq_total = (

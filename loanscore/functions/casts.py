@@ -20,10 +20,6 @@ INT_TEXT = r"^\s*[+-]?[0-9]+([.][0-9]*)?\s*$"
 MONTH_FORMAT = "MMM-yyyy"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _q(name: str) -> str:
     """A column name, or SQL expression text, ready to embed in SQL."""
     return f"`{name}`" if name.isidentifier() else f"({name})"

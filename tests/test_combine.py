@@ -52,3 +52,20 @@ def test_fused_plan_has_one_member_shuffle(keyed_smoke):
     # the scan reads only the columns the fixture needs
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
     assert "o_orderpriority" not in plan and "c_mktsegment" not in plan
+
+
+def test_hot_member_end_to_end(keyed_smoke):
+    """A third of all rows share one profile (one member): fused = join form."""
+    from loanscore.functions.keys import with_member_key
+    from loanscore.schema import PROFILE_COLUMNS
+
+    hot = F.col("id").try_cast("long") % 3 == 0
+    raw = keyed_smoke.drop("member_id").withColumns(
+        {c: F.when(hot, F.lit("H" if c != "annual_inc" else "55000.0")).otherwise(F.col(c)) for c in PROFILE_COLUMNS}
+    )
+    k = with_member_key(raw, 256)
+    fused = combine.member_scores(k, 256)
+    joined = combine.final_points_joined(k, 256)
+    assert rows(fused) == rows(joined)
+    top = k.groupBy("member_id").count().orderBy(F.desc("count")).first()
+    assert top["count"] >= keyed_smoke.count() // 3 - 5

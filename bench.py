@@ -4,7 +4,7 @@ Runs each query at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS] (default 8), forcing full evaluation with the ``noop``
 sink, and prints one JSON line. All queries first run once as a JVM
 warm-up (class loading, code generation and JIT dominate a cold run);
-then each runs $BENCH_RUNS times (default 2) and the fastest run is
+then each runs $BENCH_RUNS times (default 3) and the fastest run is
 reported. ``job`` is the whole batch job (five cleaned subjects and the
 points table written as CSV). ``cold_first_query`` is the first, cold run
 of the flagship query, reported separately.
@@ -37,7 +37,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
 
     from loanscore.plans import job
     from loanscore.plans.queries import registry

@@ -34,7 +34,7 @@ from loanscore.schema import USED_COLUMNS
 from loanscore.session import delete_path, scratch_path
 from loanscore.sources import sinks
 
-# Output folder names, one per subject.
+# Output folder names of the cleaned subjects, one per subject.
 SUBJECT_FOLDERS = ("Personal", "Payment", "Defaults", "Inquires", "Loan")
 
 

@@ -91,3 +91,43 @@ def run(
 def default_output_dirs(spark: SparkSession) -> tuple[str, str]:
     root = scratch_path(spark, "job")
     return os.path.join(root, "cleaned_data"), os.path.join(root, "points_data")
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> JobOutputs:
+    """Command line: ``spark-submit --py-files loanscore.zip loanscore/plans/job.py
+    RAW_CSV CLEANED_DIR POINTS_DIR`` (or ``python -m loanscore.plans.job ...``
+    with ``spark.master`` configured).
+
+    Reads the raw application CSV with the fixed schema and runs the whole
+    job. The session comes from ``spark-submit`` (or the caller); nothing
+    about masters, memory or paths is hard-coded.
+    """
+    import argparse
+
+    from loanscore.sources.csv import read_applications_csv
+
+    ap = argparse.ArgumentParser(prog="loanscore.plans.job")
+    ap.add_argument("raw_csv")
+    ap.add_argument("cleaned_dir")
+    ap.add_argument("points_dir")
+    ap.add_argument("--format", default="csv", choices=("csv", "parquet"))
+    ap.add_argument("--single-file", action="store_true")
+    ap.add_argument("--bits", type=int, default=512, choices=(224, 256, 384, 512))
+    ap.add_argument("--keep-intermediate", action="store_true")
+    args = ap.parse_args(argv)
+    spark = spark or SparkSession.builder.appName("loanscore-job").getOrCreate()
+    raw = read_applications_csv(spark, args.raw_csv)
+    return run(
+        spark,
+        raw,
+        args.cleaned_dir,
+        args.points_dir,
+        bits=args.bits,
+        single_file=args.single_file,
+        fmt=args.format,
+        keep_intermediate=args.keep_intermediate,
+    )
+
+
+if __name__ == "__main__":
+    main()

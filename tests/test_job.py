@@ -30,3 +30,16 @@ def test_job_outputs(spark):
     # intermediate tables are removed once the outputs are committed
     assert not os.path.exists(out.base_table.replace("file:", ""))
     assert not os.path.exists(out.profile_table.replace("file:", ""))
+
+
+def test_command_line_job_from_csv(spark):
+    from loanscore.session import scratch_path
+    from loanscore.sources.csv import write_applications_csv
+
+    raw = applications_from_star(spark, SMOKE)
+    csv_path = write_applications_csv(raw, scratch_path(spark, "t-rawcsv"))
+    cleaned, points = job.default_output_dirs(spark)
+    job.main([csv_path, cleaned, points, "--format", "parquet"], spark=spark)
+    got = spark.read.parquet(points)
+    want = combine.member_scores(with_member_key(raw, 512), 512)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

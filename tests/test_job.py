@@ -3,9 +3,6 @@
 import os
 
 from loanscore.plans import job
-from loanscore.plans.queries import CUSTOM_LEVELS
-from loanscore.schema import raw_schema
-from loanscore.sources import sinks
 from loanscore.sources.fixture import applications_from_star
 from loanscore.operators import combine
 from loanscore.functions.keys import with_member_key

@@ -4,7 +4,6 @@ Each case selects exactly the row it describes, so no check passes empty.
 """
 
 import pytest
-from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
 from loanscore.levels import Levels

@@ -3,23 +3,30 @@
 A small input file with a single row group arrives as one scan task, which
 would run every row-level rule on one core. ``spread`` redistributes such an
 input over the session's cores by a hash of the whole row (deterministic on
-retry, so no sort-before-repartition is needed, unlike round-robin). A large
-input already arrives in many splits (``spark.sql.files.maxPartitionBytes``)
-and is returned untouched, so at scale this adds no shuffle.
+retry, so no sort-before-repartition is needed, unlike round-robin).
+
+Only small inputs are spread: at most ``SMALL_INPUT_SPLITS`` splits, i.e. at
+most about 1 GB at the default 128 MB split size, so the extra shuffle is
+bounded. A large input arrives in many splits and is returned untouched;
+even one with fewer splits than a big cluster has cores is not reshuffled,
+since moving it would cost more than the idle cores save.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SMALL_INPUT_SPLITS = 8
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Hash-distribute ``df`` over the cores when it has fewer partitions than cores.
+    """Hash-distribute a small ``df`` over the cores when it has fewer partitions than cores.
 
     Only the partition count of the (unexecuted) plan is looked at, which for
     a file scan is the split list computed on the driver.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    n = df.rdd.getNumPartitions()
+    if n >= target or n > SMALL_INPUT_SPLITS:
         return df
     return df.repartition(target, *[df[c] for c in df.columns])

@@ -19,7 +19,7 @@ from loanscore.functions.keys import drop_empty_profiles, member_key, with_membe
 from loanscore.levels import Levels, Weights
 from loanscore.operators import combine, defaults, inquiries, loan, mdm, payment, personal, quality
 from loanscore.operators.common import unstamped
-from loanscore.session import scratch_path
+from loanscore.session import delete_on_exit, scratch_path
 from loanscore.sources import sinks
 from loanscore.sources.csv import read_applications_csv, write_applications_csv
 from loanscore.sources.fixture import FIXTURE_COLUMNS, applications_from_star
@@ -47,7 +47,8 @@ def staged(spark: SparkSession, sf_dir: str, bits: int = ORACLE_BITS) -> DataFra
     """
     from loanscore.plans.job import stage_base
 
-    return spark.read.parquet(stage_base(applications_from_star(spark, sf_dir), bits))
+    path = delete_on_exit(spark, stage_base(applications_from_star(spark, sf_dir), bits))
+    return spark.read.parquet(path)
 
 
 def staged_subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -58,7 +59,7 @@ def staged_subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[s
     (with different columns) do not rebuild the aggregate per reader.
     """
     k = staged(spark, sf_dir)
-    path = scratch_path(spark, "profile")
+    path = delete_on_exit(spark, scratch_path(spark, "profile"))
     mdm.member_profile(k, ORACLE_BITS).write.parquet(path)
     return k, mdm.subjects_from_profile(spark.read.parquet(path))
 
@@ -67,20 +68,20 @@ def staged_subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[s
 
 
 def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "raw-csv")
+    path = delete_on_exit(spark, scratch_path(spark, "raw-csv"))
     write_applications_csv(applications_from_star(spark, sf_dir), path)
     return read_applications_csv(spark, path).select(*FIXTURE_COLUMNS)
 
 
 def q_subject_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = loan.clean(loan.details(keyed(spark, sf_dir)), ORACLE_BITS)
-    path = sinks.save_subject(cleaned, scratch_path(spark, "cleaned"), "Loan")
+    path = sinks.save_subject(cleaned, delete_on_exit(spark, scratch_path(spark, "cleaned")), "Loan")
     return unstamped(sinks.read_table(spark, path, cleaned.schema))
 
 
 def q_points_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pts = combine.member_scores(keyed(spark, sf_dir), ORACLE_BITS)
-    path = sinks.save_points(pts, scratch_path(spark, "points"))
+    path = sinks.save_points(pts, delete_on_exit(spark, scratch_path(spark, "points")))
     return sinks.read_table(spark, path, pts.schema)
 
 

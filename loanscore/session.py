@@ -98,3 +98,15 @@ def jit_friendly_codegen(spark: SparkSession):
     finally:
         if change:
             spark.conf.set(HUGE_METHOD_KEY, current)
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> str:
+    """Mark ``path`` for deletion when the driver's file systems close (JVM exit).
+
+    For scratch tables behind a lazily evaluated query: they must live as
+    long as the returned frame may run, and should not outlive the driver.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path

@@ -29,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanscore.llm.common import packed, text_of, with_results
+from loanscore.llm.common import array_slices, packed, text_of, with_results
 
 PIECE_CHARS = 65_536
 LONG_RUN = 4_096
+BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
+BATCH_IDS = 2_000_000
 
 # The characters that \s stands for in the library's patterns (Unicode White_Space).
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -93,7 +95,7 @@ def encoder(path: str, pattern: str):
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = encoding(path, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in array_slices(whole, BATCH_BYTES)):
             parts = [encode_text(bpe, text.as_py() or "") for text in batch]
             ends = np.zeros(len(parts) + 1, dtype=np.int32)
             np.cumsum([len(p) for p in parts], out=ends[1:])
@@ -109,7 +111,7 @@ def decoder(path: str, pattern: str):
     @F.arrow_udf("binary")
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = encoding(path, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in array_slices(whole, BATCH_IDS)):
             values = batch.values.to_numpy(zero_copy_only=False)
             ends = batch.offsets.to_numpy()
             out = [bpe.decode_bytes(values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ class Written:
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, name)
-        df.write.parquet(self.path)
+        df.write.option("compression", "zstd").parquet(self.path)
         delete_on_exit(self.spark, self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
@@ -69,3 +71,37 @@ def byte_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
         size += len(text)
     if batch:
         yield batch
+
+
+def array_slices(array: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """Consecutive slices of a string or list array of about ``limit`` bytes or values; a longer entry stands alone."""
+    count = pc.binary_length if pa.types.is_string(array.type) else pc.list_value_length
+    lengths = count(array).fill_null(0).to_numpy(zero_copy_only=False)
+    start = size = 0
+    for i, length in enumerate(lengths.tolist()):
+        if i > start and size + length > limit:
+            yield array.slice(start, i - start)
+            start, size = i, 0
+        size += length
+    if start < len(array):
+        yield array.slice(start)
+
+
+#: A-Z lower-cased, every other ASCII character that is no letter or digit a space.
+_FOLD = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
+)
+PIECE_BYTES = 4_000_000
+
+
+def folded_words(text: str, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The text's words (runs of a-z, 0-9 and characters beyond ASCII, A-Z lower-cased) in lists of bounded size."""
+    folded = text.encode("utf-8", "surrogatepass").translate(_FOLD)
+    start = 0
+    while len(folded) - start > size:
+        cut = folded.find(b" ", start + size)
+        if cut < 0:
+            break
+        yield folded[start:cut].split()
+        start = cut
+    yield folded[start:].split()

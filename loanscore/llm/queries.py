@@ -12,8 +12,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscore.llm import byte_bpe, chat_parts, host_quality, token_counts, url_equivalence
+from loanscore.llm import (
+    bin_packing,
+    byte_bpe,
+    chat_parts,
+    host_quality,
+    html_density,
+    suffix_decontam,
+    token_counts,
+    url_equivalence,
+    warc_transactions,
+)
 from loanscore.llm.common import table
+from loanscore.session import delete_on_exit, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +50,19 @@ def op2_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_suffix_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_decontam.search_documents(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op4_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     # Only the id is carried along: the text is read for its counts and not written again.
@@ -58,6 +82,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_density.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"),
@@ -84,19 +113,67 @@ def op7_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sharded = bin_packing.shard_documents(docs, shards=16, carry=["doc_id"])
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.token_counts(docs, public_tokenizers.path(WORD_VOCABULARY))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    captures = pages.select(F.col("page_id").alias("capture_id"), "url", F.col("html").alias("payload"))
+    path = delete_on_exit(spark, scratch_path(spark, "archives"))
+    warc_transactions.write_archives(captures, path)
+    payload, block = warc_transactions.payload_of(F.col("block")), F.col("block")
+    found = warc_transactions.assemble(
+        warc_transactions.read_records(spark, path),
+        main=[
+            F.octet_length(payload).cast("long").alias("bytes"),
+            warc_transactions.sha1_base32(payload).alias("digest"),
+            F.replace("payload_digest", F.lit("sha1:"), F.lit("")).alias("noted_digest"),
+            F.col("refers_to").cast("long").alias("refers_to"),
+        ],
+        request=[F.col("target_uri")],
+        metadata=[
+            warc_transactions.field_of(block, "captureId").alias("capture_id"),
+            warc_transactions.field_of(block, "payloadBytes").cast("long").alias("payload_bytes"),
+        ],
+    )
+    revisit, noted = F.col("main.warc_type") == "revisit", F.element_at("metadata", 1)
+    return found.select(
+        F.nullif(noted["capture_id"], F.lit("")).cast("long").alias("page_id"),
+        F.when(revisit, noted["payload_bytes"]).otherwise(F.col("main.bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("main.noted_digest")).otherwise(F.col("main.digest")).alias("payload_digest"),
+        F.col("main.warc_type").alias("record_type"),
+        F.col("main.refers_to").alias("refers_to"),
+    )
+
+
 def registry() -> dict[str, Query]:
     return {
         "op2_url_equivalence": op2_url_equivalence,
+        "op3_suffix_decontam": op3_suffix_decontam,
         "op4_host_quality": op4_host_quality,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_html_density": op6_html_density,
         "op7_chat_parts": op7_chat_parts,
+        "op8_bin_packing": op8_bin_packing,
         "op9_token_counts": op9_token_counts,
+        "op10_warc_transactions": op10_warc_transactions,
     }
 
 
@@ -120,6 +197,32 @@ WITH cut AS (
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(action, 'allow') AS verdict FROM judged
 """
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[i:i + 9], ' ') AS win
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)
+), sizes AS (SELECT DISTINCT size FROM windows), places AS (
+  SELECT n, i, size, array_to_string(words[i:i + size - 1], ' ') AS win
+  FROM (SELECT n, size, words, unnest(range(1, len(words) - size + 2)) AS i FROM d, sizes WHERE len(words) >= size)
+), hits AS (SELECT p.n, p.i, p.size, w.item_id FROM places p JOIN windows w ON w.size = p.size AND w.win = p.win),
+covered AS (
+  SELECT n, count(DISTINCT i + k) AS c FROM (SELECT n, i, unnest(range(0, size)) AS k FROM hits) GROUP BY n
+), items AS (
+  SELECT n, count(*) AS c, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT n, item_id::VARCHAR AS id FROM hits) GROUP BY n
+)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(covered.c, 0)::BIGINT AS n_hit, coalesce(items.c, 0)::BIGINT AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(covered.c, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered ON covered.n = d.n LEFT JOIN items ON items.n = d.n
+"""
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '') AS text FROM documents
@@ -171,5 +274,29 @@ FROM turns GROUP BY conv_id
 """
 
 
+OP10_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, upper(sha1(coalesce(html, ''))) AS hex FROM pages
+), first AS (
+  SELECT html, min(page_id) AS id FROM p GROUP BY html
+), digits AS (
+  SELECT p.*, list_transform(range(0, 32), lambda k: ((list_reduce(list_prepend(0, list_transform(range(0, 5),
+           lambda j: (strpos('0123456789ABCDEF', substr(hex, ((k // 4) * 5 + j + 1)::INT, 1)) - 1)::BIGINT)),
+           lambda a, x: a * 16 + x)) // (32 ** (3 - k % 4))::BIGINT) % 32) AS q FROM p
+)
+SELECT d.page_id, strlen(d.html)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(q, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v + 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN d.page_id = f.id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN d.page_id = f.id THEN NULL ELSE f.id END AS refers_to
+FROM digits d JOIN first f ON f.html = d.html
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_equivalence": OP2_SQL, "op4_host_quality": OP4_SQL, "op7_chat_parts": OP7_SQL}
+    return {
+        "op2_url_equivalence": OP2_SQL,
+        "op3_suffix_decontam": OP3_SQL,
+        "op4_host_quality": OP4_SQL,
+        "op7_chat_parts": OP7_SQL,
+        "op10_warc_transactions": OP10_SQL,
+    }

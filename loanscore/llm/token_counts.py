@@ -1,14 +1,15 @@
 """Token counts: batch encoding in an Arrow function that returns lengths only.
 
 Texts reach the Python workers in Arrow batches (bounded in bytes by
-``spark.sql.execution.arrow.maxBytesPerBatch``). Inside a batch, texts are cut
-into pieces of at most ``PIECE_CHARS`` characters and the pieces are dealt
-into encoder calls of about ``CALL_CHARS`` characters, so one call never holds
-much more than another and a very long text never becomes one huge encoding.
-A piece ends only in front of an ASCII white-space character: the vocabulary
-drops white space, no token or special string contains it, and no normal form
-joins characters across it, so the pieces' counts add up to the text's count.
-A text without white space is encoded whole.
+``spark.sql.execution.arrow.maxBytesPerBatch``) and are taken from them in
+slices of about ``BATCH_BYTES``. Inside a slice, texts are cut into pieces of
+at most ``PIECE_CHARS`` characters, and the pieces are dealt into encoder
+calls of about ``CALL_CHARS`` characters, so no call holds much more than
+another and a very long text never becomes one huge encoding. A piece ends
+only in front of an ASCII white-space character: the vocabulary drops white
+space, no token or special string contains it, and no normal form joins
+characters across it, so the pieces' counts add up to the text's count. A text
+without white space is encoded whole.
 
 Defined results: a null text counts as empty (0 tokens); an empty table gives
 an empty result; repeated rows are counted row by row; other columns pass
@@ -26,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanscore.llm.common import byte_batches, packed, text_of, with_results
+from loanscore.llm.common import array_slices, byte_batches, packed, text_of, with_results
 
 PIECE_CHARS = 32_768
 CALL_CHARS = 524_288
+BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 LIMIT_TOKENS = 2048
 
 _SAFE = re.compile(r"(?=[ \t\n\r])")
@@ -85,7 +87,7 @@ def counter(path: str):
 
     @F.arrow_udf("long")
     def n_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in array_slices(whole, BATCH_BYTES)):
             yield pa.array(count_batch(path, batch.to_pylist()), pa.int64())
 
     return n_tokens

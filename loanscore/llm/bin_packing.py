@@ -3,8 +3,8 @@
 Groups (here: equal texts) are taken by falling size and enter the bin with
 the tightest remaining capacity that still holds them; bins are kept in a
 balanced search tree by remaining capacity. The capacity is the smallest one
-for which no more than the wanted number of shards is needed, so shards come
-out nearly equal in bytes.
+(to one part in ``TOLERANCE``) for which no more than the wanted number of
+shards is needed, so shards come out nearly equal in bytes.
 
 At scale the same packing is done on two levels. With unit = total bytes /
 (shards * ``UNITS``), at most shards * UNITS groups are as large as a unit;
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from loanscore.llm.common import Written, packed, text_of, with_results
 
 UNITS = 256
+TOLERANCE = 2000  # the capacity is searched to this part of itself
 BUCKET_ROWS = 4096
 
 
@@ -108,7 +109,7 @@ class Packer:
 
 
 def pack(sizes: list[int], bins: int) -> list[int]:
-    """The bin (from 0) of each size, sizes falling: the least capacity that needs no more than ``bins``."""
+    """The bin (from 0) of each size, sizes falling: about the least capacity that needs no more than ``bins``."""
 
     def packed_with(capacity: int) -> tuple[list[int], int]:
         packer = Packer(capacity)
@@ -121,7 +122,7 @@ def pack(sizes: list[int], bins: int) -> list[int]:
     while used > bins:  # cannot happen at twice the least, kept for certainty
         high *= 2
         best, used = packed_with(high)
-    while low < high:
+    while high - low > low // TOLERANCE:
         middle = (low + high) // 2
         tried, used = packed_with(middle)
         if used <= bins:

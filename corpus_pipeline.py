@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscore.llm import byte_bpe, host_quality
+from loanscore.llm import byte_bpe, host_quality, order_minhash, suffix_decontam
 from loanscore.llm.common import table
 from loanscore.llm.queries import BPE_RANKS
 
@@ -22,6 +22,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return host_quality.judge_documents(docs).where("kept").select(docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class: the one with the smallest id."""
+    return order_minhash.near_duplicates(docs).where("kept").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a verbatim benchmark passage."""
+    found = suffix_decontam.search_documents(docs, table(spark, sf_dir, "benchmark"))
+    return found.where("NOT contaminated").select(docs.columns)
+
+
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each document: its token count and the digests of its ids and of the decoded bytes."""
     path, pattern = public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN
@@ -36,6 +47,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("encoding", encoding),
 ]
 

@@ -18,6 +18,7 @@ from loanscore.llm import (
     chat_parts,
     host_quality,
     html_density,
+    order_minhash,
     suffix_decontam,
     token_counts,
     url_equivalence,
@@ -44,6 +45,12 @@ URL_RULES = [
 CONTROL_TEXT = r"\### Assistant: </turn> ok"
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = order_minhash.near_duplicates(docs, carry=["doc_id"])
+    return found.select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 def op2_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = url_equivalence.judge_urls(pages.select("page_id", "url"), url_equivalence.link_edges(pages), URL_RULES)
@@ -165,6 +172,7 @@ def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op1_order_minhash": op1_order_minhash,
         "op2_url_equivalence": op2_url_equivalence,
         "op3_suffix_decontam": op3_suffix_decontam,
         "op4_host_quality": op4_host_quality,

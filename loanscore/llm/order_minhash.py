@@ -12,9 +12,10 @@ Candidates. Texts with equal words are one node from the start. In every
 bucket of two or more nodes, nodes are paired with the bucket's
 representative only, never with each other, so pairs grow with the rows.
 Representatives are the smallest node in the first round. In later rounds
-they are the two extremes by a hash that changes with the round, and a pair is
+they are the smallest by a hash that changes with the round, and a pair is
 tried only if its ends are not yet in one class. Rounds go on until one finds
-nothing new. No bucket is capped.
+nothing new. No bucket is capped. Pairs whose word counts rule the similarity
+out are left out before any text is fetched.
 
 Verification. A pair is a link if the word edit distance is at most
 (1 - ``SIMILARITY``) of the longer text, computed by a bit-parallel alignment
@@ -50,8 +51,8 @@ from loanscore.llm.common import Written, array_slices, folded_words, packed, te
 from loanscore.llm.components import connected_components
 
 KMER = 5
-SAMPLES = 2
-SKETCHES = 40
+SAMPLES = 3
+SKETCHES = 64
 SIMILARITY = 0.8
 BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 BLOCK_KMERS = 8192  # k-mers hashed at once
@@ -122,7 +123,6 @@ def sketch(labels: np.ndarray, sketches: int = SKETCHES, samples: int = SAMPLES)
     rows = np.arange(sketches)
     for start in range(0, len(labels), BLOCK_KMERS):
         values = (labels[None, start : start + BLOCK_KMERS] ^ salt[:, None]) * odd[:, None]
-        values ^= values >> _U(29)
         for _ in range(min(samples, values.shape[1])):
             at = values.argmin(axis=1)
             least = np.column_stack([least, values[rows, at]])
@@ -239,9 +239,9 @@ def _verifier(least: float):
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> Written:
     """(a, b, similarity) for the pairs (a, b) whose alignment is similar enough."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("n_words").alias("n_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("n_words").alias("n_b"))
-    both = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least)
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(left, "a").join(right, "b")
     aligned = both.select("a", "b", _verifier(least)("text_a", "text_b").alias("similarity"))
     return Written(aligned.where("similarity IS NOT NULL"), "links")
 
@@ -250,44 +250,58 @@ def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame | None]:
-    """(links, labels): verified pairs, and each linked node's component; labels is None without links.
+def _long_enough(a: Column, b: Column, least: float) -> Column:
+    """False for word counts whose difference alone rules the similarity out."""
+    return F.least(a, b) >= F.greatest(a, b) * least
 
-    nodes: (node, buckets); texts: (node, text, n_words).
+
+def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(links, labels): verified pairs, and the class of each node that shared a bucket.
+
+    nodes: (node, n_words, buckets); texts: (node, text).
     """
-    all_rows = nodes.select(F.explode("buckets").alias("bucket"), "node")
-    shared = all_rows.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = Written(all_rows.join(shared.select("bucket", "first"), "bucket"), "buckets").df
+    all_rows = nodes.select(F.explode("buckets").alias("bucket"), "node", "n_words")
+    shared = all_rows.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("first"), F.count(F.lit(1)).alias("n"))
+    members = Written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets").df
     met = members.select("node").distinct()
     wanted = Written(texts.join(met, "node", "left_semi"), "candidates").df
-    tried = Written(members.where("node != first").select(*_pairs(F.col("first"), F.col("node"))).distinct(), "pairs")
+    first = members.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
+    tried = Written(first.select(*_pairs(F.col("first.node"), F.col("node"))).distinct(), "pairs")
     links = _verified(tried.df, wanted, least)
-    found, labels, turn = links.df, None, 1
+    found, turn = links.df, 1
+    labels = Written(met.withColumn("label", F.col("node")), "classes")
     while not links.df.isEmpty():
-        labels = connected_components(found.select("a", "b")).df
+        labels = _joined(labels, links.df)
         turn += 1
-        placed = Written(
-            members.select("bucket", "node")
-            .join(labels, "node", "left")
-            .select("bucket", "node", F.coalesce("label", "node").alias("label"), F.xxhash64("node", F.lit(turn)).alias("rank")),
-            "placed",
-        )
-        entry = F.struct("rank", "node", "label")
+        placed = Written(members.select("bucket", "node", "n_words").join(labels.df, "node"), "placed")
+        entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words", "label")
         ends = (
             placed.df.groupBy("bucket")
-            .agg(F.min(entry).alias("low"), F.max(entry).alias("high"), F.min("label").alias("l0"), F.max("label").alias("l1"))
+            .agg(F.min(entry).alias("rep"), F.min("label").alias("l0"), F.max("label").alias("l1"))
             .where("l0 < l1")
-            .select("bucket", F.explode(F.array("low", "high")).alias("end"))
+            .select("bucket", "rep")
         )
-        ends = Written(ends.select("bucket", F.col("end.node").alias("rep"), F.col("end.label").alias("rep_label")), "ends")
-        crossing = placed.df.join(ends.df, "bucket").where("label != rep_label").select(*_pairs(F.col("rep"), F.col("node")))
+        crosses = (F.col("label") != F.col("rep.label")) & _long_enough(F.col("n_words"), F.col("rep.n_words"), least)
+        crossing = placed.df.join(ends, "bucket").where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
         fresh = Written(crossing.distinct().join(tried.df, ["a", "b"], "left_anti"), "pairs")
         links = _verified(fresh.df, wanted, least)
         found = found.union(links.df)
         tried = Written(tried.df.union(fresh.df), "pairs")
         placed.drop()
-        ends.drop()
-    return found, labels
+    return found, labels.df
+
+
+def _joined(labels: Written, links: DataFrame) -> Written:
+    """Labels (node, label) after classes that a link joins have become one."""
+    ends = labels.df.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    starts = labels.df.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    edges = links.select("a", "b").join(starts, "a").join(ends, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    onto = connected_components(edges)
+    roots = onto.df.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    joined = Written(labels.df.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "classes")
+    labels.drop()
+    onto.drop()
+    return joined
 
 
 def near_duplicates(
@@ -313,19 +327,16 @@ def near_duplicates(
         rows.groupBy("key").agg(
             F.min(rank).alias("first"),
             F.count(F.lit(1)).alias("copies"),
+            F.any_value("n_words").alias("n_words"),
             F.any_value("buckets").alias("buckets"),
-        ).select("key", "first", "copies", F.col("first.uid").alias("node"), "buckets"),
+        ).select("key", "first", "copies", F.col("first.uid").alias("node"), "n_words", "buckets"),
         "nodes",
     ).df
-    texts = rows.select(F.col("uid").alias("node"), "text", "n_words")
-    links, labels = links_of(groups.select("node", "buckets"), texts, least)
+    texts = rows.select(F.col("uid").alias("node"), "text")
+    links, labels = links_of(groups.select("node", "n_words", "buckets"), texts, least)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    classed = groups.select("key", "first", "copies", "node").join(degree, "node", "left")
-    if labels is not None:
-        classed = classed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
-        classed = classed.withColumn("label", F.col("node"))
-    classed = Written(classed, "classed").df
+    classed = groups.select("key", "first", "copies", "node").join(degree, "node", "left").join(labels, "node", "left")
+    classed = Written(classed.withColumn("label", F.coalesce("label", "node")), "classed").df
     classes = Written(
         classed.groupBy("label").agg(F.min("first").alias("keeper"), F.sum("copies").alias("class_size")), "classes"
     ).df

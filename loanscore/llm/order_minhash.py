@@ -12,14 +12,14 @@ Candidates. Texts with equal words are one node from the start. In every
 bucket of two or more nodes, nodes are paired with the bucket's
 representative only, never with each other, so pairs grow with the rows.
 Representatives are the smallest node in the first round. In later rounds
-they are the smallest by a hash that changes with the round, and a pair is
-tried only if its ends are not yet in one class. Rounds go on until one finds
+they are the smallest by ``REPRESENTATIVES`` hashes that change with the
+round, and a pair is tried only if its ends are not yet in one class. Rounds go on until one finds
 nothing new. No bucket is capped. Pairs whose word counts rule the similarity
 out are left out before any text is fetched.
 
 Verification. A pair is a link if the word edit distance is at most
 (1 - ``SIMILARITY``) of the longer text, computed by a bit-parallel alignment
-inside the diagonal band that this distance allows. Word counts that rule the
+inside a diagonal band that is widened up to what this distance allows. Word counts that rule the
 distance out are tried first.
 
 Classes are the connected components of the links (``components``); a class
@@ -54,6 +54,7 @@ KMER = 5
 SAMPLES = 3
 SKETCHES = 64
 SIMILARITY = 0.8
+REPRESENTATIVES = 4  # of a bucket in each round after the first
 BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 BLOCK_KMERS = 8192  # k-mers hashed at once
 
@@ -223,7 +224,9 @@ def alignment_similarity(a: str, b: str, least: float = SIMILARITY) -> float | N
     limit = int((1 - least) * longer + 1e-9)
     if longer - (Counter(first) & Counter(second)).total() > limit:
         return None
-    distance = banded_distance(first, second, limit)
+    band = min(16, limit)
+    while (distance := banded_distance(first, second, band)) is None and band < limit:
+        band = min(4 * band, limit)  # most near copies lie well inside the band that the limit allows
     return None if distance is None else 1 - distance / longer
 
 
@@ -264,30 +267,34 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
     shared = all_rows.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("first"), F.count(F.lit(1)).alias("n"))
     members = Written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets").df
     met = members.select("node").distinct()
-    wanted = Written(texts.join(met, "node", "left_semi"), "candidates").df
+    # The nodes that met grow with the corpus, so they are merged with the texts at every size, never broadcast.
+    wanted = Written(texts.join(met.hint("merge"), "node", "left_semi"), "candidates").df
     first = members.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
     tried = Written(first.select(*_pairs(F.col("first.node"), F.col("node"))).distinct(), "pairs")
     links = _verified(tried.df, wanted, least)
     found, turn = links.df, 1
     labels = Written(met.withColumn("label", F.col("node")), "classes")
+    rest = members.select("bucket", "node", "n_words")
     while not links.df.isEmpty():
         labels = _joined(labels, links.df)
         turn += 1
-        placed = Written(members.select("bucket", "node", "n_words").join(labels.df, "node"), "placed")
-        entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words", "label")
+        placed = Written(rest.join(labels.df, "node"), "placed")
+        ranked = [F.struct(F.xxhash64("node", F.lit(turn * REPRESENTATIVES + i)).alias("rank"), "node", "n_words", "label") for i in range(REPRESENTATIVES)]
         ends = (
             placed.df.groupBy("bucket")
-            .agg(F.min(entry).alias("rep"), F.min("label").alias("l0"), F.max("label").alias("l1"))
+            .agg(F.array(*[F.min(entry) for entry in ranked]).alias("reps"), F.min("label").alias("l0"), F.max("label").alias("l1"))
             .where("l0 < l1")
-            .select("bucket", "rep")
+            .select("bucket", "reps")
         )
+        mixed = Written(placed.df.join(ends, "bucket"), "mixed").df
+        placed.drop()
+        rest = mixed.select("bucket", "node", "n_words")  # a bucket that has become one class stays so
         crosses = (F.col("label") != F.col("rep.label")) & _long_enough(F.col("n_words"), F.col("rep.n_words"), least)
-        crossing = placed.df.join(ends, "bucket").where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
+        crossing = mixed.withColumn("rep", F.explode("reps")).where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
         fresh = Written(crossing.distinct().join(tried.df, ["a", "b"], "left_anti"), "pairs")
         links = _verified(fresh.df, wanted, least)
         found = found.union(links.df)
         tried = Written(tried.df.union(fresh.df), "pairs")
-        placed.drop()
     return found, labels.df
 
 

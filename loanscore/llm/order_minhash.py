@@ -177,6 +177,7 @@ def banded_distance(a: list, b: list, limit: int) -> int | None:
 
     Columns of the alignment matrix are bit vectors over the 2 * limit + 1
     diagonals of the band; bit i of column j stands for row j - limit + i.
+    Only places inside the band are held, so memory follows the band.
     """
     if abs(len(a) - len(b)) > limit:
         return None
@@ -189,17 +190,26 @@ def banded_distance(a: list, b: list, limit: int) -> int | None:
     a, b = a[start : len(a) - stop], b[start : len(b) - stop]
     if not a or not b:
         return max(len(a), len(b)) if max(len(a), len(b)) <= limit else None
-    limit_here = min(limit, max(len(a), len(b)))
-    at: dict = {}
-    for i, word in enumerate(a):
-        at[word] = at.get(word, 0) | 1 << i
-    band, k, n = (1 << 2 * limit_here + 1) - 1, limit_here, len(a)
+    k, n = min(limit, max(len(a), len(b))), len(a)
+    band = (1 << 2 * k + 1) - 1
+    places: dict = {}  # word -> (bits, place of bit 0): its places in the band
+
+    def enter(place: int, low: int) -> None:
+        bits, base = places.get(a[place], (0, place))
+        if base < low:
+            bits, base = bits >> low - base, low
+        places[a[place]] = (bits | 1 << place - base, base) if bits else (1, place)
+
+    for place in range(min(k, n)):
+        enter(place, 0)
     more, fewer = band & ~((1 << k) - 1), 0  # rows whose value is one more, one less than the row above
     distance = min(k, n)  # of the lowest row of the band, until that is the last row
     for j, word in enumerate(b, 1):
-        rows = at.get(word, 0)
-        shift = j - k - 1
-        match = (rows >> shift if shift >= 0 else rows << -shift) & band
+        low = j - k - 1
+        if low + 2 * k < n:
+            enter(low + 2 * k, low)
+        bits, base = places.get(word, (0, low))
+        match = (bits << base - low if base >= low else bits >> low - base) & band
         diagonal = ((((match & more) + more) ^ more) | match | fewer) & band
         right_more = fewer | band & ~(diagonal | more)
         right_fewer = diagonal & more

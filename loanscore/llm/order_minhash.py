@@ -9,13 +9,15 @@ k-mers are smallest in both and stand in the same order, which makes the
 sketch sensitive to edit similarity and not just to the set of words.
 
 Candidates. Texts with equal words are one node from the start. In every
-bucket of two or more nodes, nodes are paired with the bucket's
-representative only, never with each other, so pairs grow with the rows.
-Representatives are the smallest node in the first round. In later rounds
-they are the smallest by ``REPRESENTATIVES`` hashes that change with the
-round, and a pair is tried only if its ends are not yet in one class. Rounds go on until one finds
-nothing new. No bucket is capped. Pairs whose word counts rule the similarity
-out are left out before any text is fetched.
+bucket of two or more nodes, nodes are paired with representatives of the
+bucket only, never with each other, so pairs grow with the rows. First, every
+bucket's smallest node represents it, and a node is tried with the one it
+shares most buckets with. In later rounds every class that a bucket still
+holds sends one member, chosen by a hash that changes with the round, and
+these are tried with that of one class. Rounds go on until one links less
+than ``MIN_YIELD`` of the pairs it tried: what then still meets in a bucket
+are unlike texts around a shared passage. No bucket is capped. Pairs whose
+word counts rule the similarity out are left out before any text is fetched.
 
 Verification. A pair is a link if the word edit distance is at most
 (1 - ``SIMILARITY``) of the longer text, computed by a bit-parallel alignment
@@ -54,7 +56,7 @@ KMER = 5
 SAMPLES = 3
 SKETCHES = 64
 SIMILARITY = 0.8
-REPRESENTATIVES = 4  # of a bucket in each round after the first
+MIN_YIELD = 0.005  # a round that links fewer of the pairs it tried is the last
 BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 BLOCK_KMERS = 8192  # k-mers hashed at once
 
@@ -279,32 +281,43 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
     met = members.select("node").distinct()
     # The nodes that met grow with the corpus, so they are merged with the texts at every size, never broadcast.
     wanted = Written(texts.join(met.hint("merge"), "node", "left_semi"), "candidates").df
-    first = members.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
-    tried = Written(first.select(*_pairs(F.col("first.node"), F.col("node"))).distinct(), "pairs")
+    # Each node is first tried with the representative it shares most buckets with.
+    firsts = (
+        members.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
+        .groupBy("node", F.col("first.node").alias("rep"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("node")
+        .agg(F.max(F.struct("n", (-F.col("rep")).alias("minus"))).alias("best"))
+    )
+    tried = Written(firsts.select(*_pairs(-F.col("best.minus"), F.col("node"))).distinct(), "pairs")
     links = _verified(tried.df, wanted, least)
-    found, turn = links.df, 1
+    found, turn, paying = links.df, 1, not links.df.isEmpty()
     labels = Written(met.withColumn("label", F.col("node")), "classes")
     rest = members.select("bucket", "node", "n_words")
-    while not links.df.isEmpty():
+    while paying:
         labels = _joined(labels, links.df)
         turn += 1
         placed = Written(rest.join(labels.df, "node"), "placed")
-        ranked = [F.struct(F.xxhash64("node", F.lit(turn * REPRESENTATIVES + i)).alias("rank"), "node", "n_words", "label") for i in range(REPRESENTATIVES)]
-        ends = (
-            placed.df.groupBy("bucket")
-            .agg(F.array(*[F.min(entry) for entry in ranked]).alias("reps"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-            .where("l0 < l1")
-            .select("bucket", "reps")
-        )
-        mixed = Written(placed.df.join(ends, "bucket"), "mixed").df
+        unsettled = placed.df.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
+        mixed = Written(placed.df.join(unsettled.select("bucket"), "bucket"), "mixed").df
         placed.drop()
         rest = mixed.select("bucket", "node", "n_words")  # a bucket that has become one class stays so
+        # One member of each class in a bucket, another one in each round, against that of one class.
+        entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words")
+        speakers = mixed.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
+        speakers = Written(speakers.select("bucket", "label", "one.node", "one.n_words"), "speakers").df
+        ranked = F.struct(F.xxhash64("label", F.lit(turn)).alias("rank"), "label", "node", "n_words")
+        heads = Written(speakers.groupBy("bucket").agg(F.min(ranked).alias("rep")), "heads").df
         crosses = (F.col("label") != F.col("rep.label")) & _long_enough(F.col("n_words"), F.col("rep.n_words"), least)
-        crossing = mixed.withColumn("rep", F.explode("reps")).where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
+        crossing = speakers.join(heads, "bucket").where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
         fresh = Written(crossing.distinct().join(tried.df, ["a", "b"], "left_anti"), "pairs")
         links = _verified(fresh.df, wanted, least)
         found = found.union(links.df)
         tried = Written(tried.df.union(fresh.df), "pairs")
+        linked = links.df.count()
+        paying = linked > MIN_YIELD * fresh.df.count()
+        if linked and not paying:
+            labels = _joined(labels, links.df)
     return found, labels.df
 
 
@@ -326,7 +339,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Every row of ``docs`` (its columns, or those in ``carry``) with class_id, class_size, n_links and kept.
 
-    ``n_links`` counts the verified links of the row's text to other texts,
+    ``n_links`` counts the links that were verified for the row's text,
     ``kept`` is true for one row of each class.
     """
     carried = docs if carry is None else docs.select(*carry)

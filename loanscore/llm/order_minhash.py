@@ -252,13 +252,13 @@ def _verifier(least: float):
     return similarity
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> Written:
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """(a, b, similarity) for the pairs (a, b) whose alignment is similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b")
     aligned = both.select("a", "b", _verifier(least)("text_a", "text_b").alias("similarity"))
-    return Written(aligned.where("similarity IS NOT NULL"), "links")
+    return aligned.where("similarity IS NOT NULL")
 
 
 def _pairs(a: Column, b: Column) -> list[Column]:
@@ -270,17 +270,23 @@ def _long_enough(a: Column, b: Column, least: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * least
 
 
-def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """(links, labels): verified pairs, and the class of each node that shared a bucket.
+def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame, list[Written]]:
+    """(links, labels, used): verified pairs, the class of each node that shared a bucket, and the tables behind them.
 
     nodes: (node, n_words, buckets); texts: (node, text).
     """
     all_rows = nodes.select(F.explode("buckets").alias("bucket"), "node", "n_words")
     shared = all_rows.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("first"), F.count(F.lit(1)).alias("n"))
-    members = Written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets").df
+    used: list[Written] = []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        used.append(Written(df, name))
+        return used[-1].df
+
+    members = written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets")
     met = members.select("node").distinct()
     # The nodes that met grow with the corpus, so they are merged with the texts at every size, never broadcast.
-    wanted = Written(texts.join(met.hint("merge"), "node", "left_semi"), "candidates").df
+    wanted = written(texts.join(met.hint("merge"), "node", "left_semi"), "candidates")
     # Each node is first tried with the representative it shares most buckets with.
     firsts = (
         members.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
@@ -289,36 +295,35 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
         .groupBy("node")
         .agg(F.max(F.struct("n", (-F.col("rep")).alias("minus"))).alias("best"))
     )
-    tried = Written(firsts.select(*_pairs(-F.col("best.minus"), F.col("node"))).distinct(), "pairs")
-    links = _verified(tried.df, wanted, least)
-    found, turn, paying = links.df, 1, not links.df.isEmpty()
+    tried = written(firsts.select(*_pairs(-F.col("best.minus"), F.col("node"))).distinct(), "pairs")
+    links = written(_verified(tried, wanted, least), "links")
+    found, turn, paying = links, 1, not links.isEmpty()
     labels = Written(met.withColumn("label", F.col("node")), "classes")
     rest = members.select("bucket", "node", "n_words")
     while paying:
-        labels = _joined(labels, links.df)
+        labels = _joined(labels, links)
         turn += 1
         placed = Written(rest.join(labels.df, "node"), "placed")
         unsettled = placed.df.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
-        mixed = Written(placed.df.join(unsettled.select("bucket"), "bucket"), "mixed").df
+        mixed = written(placed.df.join(unsettled.select("bucket"), "bucket"), "mixed")
         placed.drop()
         rest = mixed.select("bucket", "node", "n_words")  # a bucket that has become one class stays so
         # One member of each class in a bucket, another one in each round, against that of one class.
         entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words")
         speakers = mixed.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
-        speakers = Written(speakers.select("bucket", "label", "one.node", "one.n_words"), "speakers").df
+        speakers = written(speakers.select("bucket", "label", "one.node", "one.n_words"), "speakers")
         ranked = F.struct(F.xxhash64("label", F.lit(turn)).alias("rank"), "label", "node", "n_words")
-        heads = Written(speakers.groupBy("bucket").agg(F.min(ranked).alias("rep")), "heads").df
+        heads = written(speakers.groupBy("bucket").agg(F.min(ranked).alias("rep")), "heads")
         crosses = (F.col("label") != F.col("rep.label")) & _long_enough(F.col("n_words"), F.col("rep.n_words"), least)
         crossing = speakers.join(heads, "bucket").where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
-        fresh = Written(crossing.distinct().join(tried.df, ["a", "b"], "left_anti"), "pairs")
-        links = _verified(fresh.df, wanted, least)
-        found = found.union(links.df)
-        tried = Written(tried.df.union(fresh.df), "pairs")
-        linked = links.df.count()
-        paying = linked > MIN_YIELD * fresh.df.count()
+        fresh = written(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = written(_verified(fresh, wanted, least), "links")
+        found, tried = found.union(links), written(tried.union(fresh), "pairs")
+        linked = links.count()
+        paying = linked > MIN_YIELD * fresh.count()
         if linked and not paying:
-            labels = _joined(labels, links.df)
-    return found, labels.df
+            labels = _joined(labels, links)
+    return found, labels.df, [*used, labels]
 
 
 def _joined(labels: Written, links: DataFrame) -> Written:
@@ -363,10 +368,12 @@ def near_duplicates(
         "nodes",
     ).df
     texts = rows.select(F.col("uid").alias("node"), "text")
-    links, labels = links_of(groups.select("node", "n_words", "buckets"), texts, least)
+    links, labels, used = links_of(groups.select("node", "n_words", "buckets"), texts, least)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     classed = groups.select("key", "first", "copies", "node").join(degree, "node", "left").join(labels, "node", "left")
     classed = Written(classed.withColumn("label", F.coalesce("label", "node")), "classed").df
+    for table in used:
+        table.drop()
     classes = Written(
         classed.groupBy("label").agg(F.min("first").alias("keeper"), F.sum("copies").alias("class_size")), "classes"
     ).df

@@ -35,10 +35,10 @@ def test_eleven_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
     frame = queries.registry()[name](spark, SMOKE)
-    spark_names, spark_types, spark_rows = rows_of_spark(frame)
-    duck_names, duck_types, duck_rows = rows_of_duck(con, queries.oracle_sql()[name])
+    spark_names, spark_rows = rows_of_spark(frame)
+    duck_names, duck_rows, rel = rows_of_duck(con, queries.oracle_sql()[name])
     assert spark_names == duck_names
-    assert not type_issues(spark_names, spark_types, duck_types)
+    assert not type_issues(frame, rel)
     assert spark_rows == duck_rows
 
 
@@ -87,3 +87,17 @@ def test_stages_keep_the_columns_and_take_awkward_and_empty_tables(spark):
                 assert out.columns == docs.columns
             docs = out
         assert docs.count() == (0 if rows == [] else len({r.doc_id for r in docs.collect()}))
+
+
+def test_native_queries_run_no_python_and_nothing_is_kept_in_one_place(spark):
+    import pathlib
+
+    import loanscore.llm
+
+    for name in ("op2_url_equivalence", "op4_host_quality", "op7_chat_parts"):
+        plan = queries.registry()[name](spark, SMOKE)._jdf.queryExecution().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas")), name
+    for path in pathlib.Path(loanscore.llm.__file__).parent.glob("*.py"):
+        source = path.read_text()
+        for banned in ("localCheckpoint", ".collect()", "toPandas", "crossJoin", "broadcast(", "mkdtemp", ".rdd"):
+            assert banned not in source, (path.name, banned)

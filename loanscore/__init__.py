@@ -3,7 +3,7 @@
 Typical use::
 
     from loanscore import read_applications_csv, with_member_key, member_scores
-    raw = read_applications_csv(spark, "s3://bucket/applications/")
+    raw = read_applications_csv(spark, "applications.csv")
     scores = member_scores(with_member_key(raw))          # one shuffle
 
 or the whole job (five cleaned subjects plus points)::

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
 # Text accepted as an integer: optional sign, digits, optional fraction
-# (truncated), surrounding blanks. '1e3', '5d' or '.5' are rejected.
-INT_TEXT = r"^\s*[+-]?[0-9]+([.][0-9]*)?\s*$"
+# (truncated; the digits before it may be missing), surrounding blanks and
+# control characters. '1e3' or '5d' are rejected.
+BLANK = r"[\x00-\x20\x7F]*"
+INT_TEXT = rf"^{BLANK}[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*){BLANK}$"
+INT_PART = rf"^{BLANK}([+-]?[0-9]*)"
 
 MONTH_FORMAT = "MMM-yyyy"
 
@@ -25,20 +28,23 @@ def _q(name: str) -> str:
     return f"`{name}`" if name.isidentifier() else f"({name})"
 
 
-def int_trunc_sql(text: str) -> str:
+def int_trunc_sql(text: str, to: str = "INT") -> str:
     """SQL text of ``to_int_trunc`` for a text-valued column name or expression.
 
     'd...d.0' (how counts are usually written) parses its integer part
     directly, skipping the regular expression; anything else goes through
-    the plain-decimal check and a double. Nothing is cast before a cheap
-    check has passed: a failing cast is slow (it raises internally).
+    the plain-decimal check, and what stands before the point is read
+    (nothing, or a sign alone, is 0). Nothing is cast before a cheap check
+    has passed: a failing cast is slow (it raises internally).
     """
     x = _q(text)
     whole = f"substring({x}, 1, length({x}) - 2)"
+    part = f"regexp_extract({x}, r'{INT_PART}', 1)"
     return (
         f"CASE WHEN endswith({x}, '.0') AND substring({x}, -3, 1) BETWEEN '0' AND '9' "
-        f"THEN try_cast({whole} AS INT) "
-        f"WHEN {x} RLIKE r'{INT_TEXT}' THEN try_cast(try_cast({x} AS DOUBLE) AS INT) END"
+        f"THEN try_cast({whole} AS {to}) "
+        f"WHEN {x} RLIKE r'{INT_TEXT}' THEN CASE WHEN {part} IN ('', '+', '-') THEN CAST(0 AS {to}) "
+        f"ELSE try_cast({part} AS {to}) END END"
     )
 
 
@@ -60,18 +66,26 @@ def to_int_trunc(c: Column | str, source_type: DataType | None = None) -> Column
     """Text or number to int, truncating any fraction ('2.9' -> 2).
 
     Numbers are cast directly (overflow gives null). Text must look like a
-    plain decimal first; it is then read as a double and truncated. A string
-    argument is a column name or SQL expression text.
+    plain decimal first; its integer part is then read. A string argument is
+    a column name or SQL expression text.
     """
+    return _truncated(c, source_type, "INT")
+
+
+def to_long_trunc(c: str, source_type: DataType | None = None) -> Column:
+    """As ``to_int_trunc``, to bigint: for ranking by ids of any size."""
+    return _truncated(c, source_type, "BIGINT")
+
+
+def _truncated(c: Column | str, source_type: DataType | None, to: str) -> Column:
     numeric = source_type is not None and not isinstance(source_type, StringType)
     if isinstance(c, str):
-        x = _q(c)
-        if numeric:
-            return F.expr(f"try_cast({x} AS INT)")
-        return F.expr(int_trunc_sql(c))
+        return F.expr(f"try_cast({_q(c)} AS {to})" if numeric else int_trunc_sql(c, to))
     if numeric:
-        return c.try_cast("int")
-    return F.when(c.rlike(INT_TEXT), c.try_cast("double").try_cast("int"))
+        return c.try_cast(to.lower())
+    part = F.regexp_extract(c, INT_PART, 1)
+    whole = F.when(part.isin("", "+", "-"), F.lit(0)).otherwise(part.try_cast(to.lower()))
+    return F.when(c.rlike(INT_TEXT), whole)
 
 
 def to_month_date(c: Column | str) -> Column:

@@ -37,31 +37,39 @@ def profile_text() -> Column:
 def drop_empty_profiles(df: DataFrame, key: str = "member_id", bits: int = 512) -> DataFrame:
     """Remove rows whose profile is wholly null (file footers and junk).
 
-    When the profile columns are still present the test is on the hashed
-    text (``'' ``), which is cheap and which Catalyst can push below the key
-    projection without evaluating SHA-2 a second time; otherwise it compares
-    the key with the hash of the empty text.
+    While the profile columns are present the test is that one of them is
+    not null or not empty, so the key's hash is not computed for it; otherwise
+    the key is compared with the hash of the empty text.
     """
     if all(c in df.columns for c in PROFILE_COLUMNS):
         return df.where(profile_text() != F.lit(""))
     return df.where(F.col(key) != empty_profile_key(bits))
 
 
-def recency(issue_d: Column | str = "issue_d", ident: Column | str = "id") -> Column:
-    """One bigint that ranks rows like ``issue_d DESC NULLS LAST, id DESC NULLS LAST``.
+RANK = "_rank"
 
-    The greatest value is the latest row. Packing both parts into one
-    fixed-width number lets ``max_by`` run as a hash aggregate with a
-    map-side partial step (no sort, and a hot member collapses to one
-    buffer per task before the shuffle).
+# Widths of the rank's parts: id and its null flag, and the tie-break.
+_ID_STEP = 2**65
+_TIE_BITS = 37
 
-    Layout: days since 1970 shifted to be positive (0 for null) above bit
-    33, the id shifted to be non-negative (0 for null) in the low 33 bits.
-    Days up to 2**22 either side of 1970 fit, which covers every date the
-    month parser can produce.
+
+def recency(issue_d: Column, ident: Column, tie: Column) -> Column:
+    """One decimal(38) that ranks rows like ``issue_d DESC, id DESC, tie DESC``, nulls last.
+
+    The greatest value is the latest row. Decimals are fixed width, so
+    ``max_by`` runs as a hash aggregate with a map-side partial step (no sort,
+    and a hot member collapses to one buffer per task before the shuffle).
+
+    Parts, from the top: days since 1970 made positive (0 for null; 2**22 days
+    either side of 1970 cover every date the month parser can produce), the
+    whole bigint id made positive (0 for null), and the low bits of ``tie``.
     """
-    d = F.col(issue_d) if isinstance(issue_d, str) else issue_d
-    i = F.col(ident) if isinstance(ident, str) else ident
-    day = F.coalesce(F.unix_date(d).cast("long") + F.lit(2**22 + 1), F.lit(0).cast("long"))
-    idx = F.coalesce(i.cast("long") + F.lit(2**31 + 1), F.lit(0).cast("long"))
-    return F.shiftleft(day, 33).bitwiseOR(idx)
+
+    def whole(c: Column) -> Column:
+        return c.cast("decimal(20,0)").cast("decimal(38,0)")
+
+    day = F.coalesce(F.unix_date(issue_d).cast("long") + F.lit(2**22 + 1), F.lit(0).cast("long"))
+    number = F.coalesce(whole(ident) + F.expr(f"{2**63 + 1}BD"), F.expr("CAST(0 AS DECIMAL(38,0))"))
+    low = tie.bitwiseAND(F.lit(2**_TIE_BITS - 1))
+    above = (whole(day) * F.expr(f"{_ID_STEP}BD") + number).cast("decimal(38,0)")
+    return ((above * F.expr(f"{2**_TIE_BITS}BD")).cast("decimal(38,0)") + whole(low)).cast("decimal(38,0)")

@@ -58,6 +58,7 @@ class Ladder:
 
 # ---------------------------------------------------------------- personal
 
+# The arms' bounds and levels.
 VERIFICATION = Ladder("verification_points", [("verification_status", "good")], otherwise="bad")
 
 # Grade letters and the sub-grade digits they combine with.
@@ -66,30 +67,21 @@ SUB_GRADE_DIGITS = "12345"
 GRADE_BASE_POINTS = 200.0
 
 
-def _grade_factor(rank: int) -> float:
-    """Share of the base points for the rank-th sub-grade (A1 = 0 ... G5 = 34).
-
-    A1 gets the whole base, A2 0.9, A3 0.875 and then 0.025 less per step
-    down to G4 (0.1); G5 gets 0.05. Rounded to three places so the factor
-    is the same double as its decimal spelling.
-    """
-    if rank == 0:
-        return 1.0
-    if rank == 1:
-        return 0.9
-    if rank == len(GRADE_LETTERS) * len(SUB_GRADE_DIGITS) - 1:
-        return 0.05
-    return round(0.875 - 0.025 * (rank - 2), 3)
+# Share of the base points for each sub-grade, A1 to G5.
+GRADE_FACTORS = {
+    "A1": 1.0, "A2": 0.9, "A3": 0.875, "A4": 0.85, "A5": 0.825,
+    "B1": 0.8, "B2": 0.775, "B3": 0.75, "B4": 0.725, "B5": 0.7,
+    "C1": 0.675, "C2": 0.65, "C3": 0.625, "C4": 0.6, "C5": 0.575,
+    "D1": 0.55, "D2": 0.525, "D3": 0.5, "D4": 0.475, "D5": 0.45,
+    "E1": 0.425, "E2": 0.4, "E3": 0.375, "E4": 0.35, "E5": 0.325,
+    "F1": 0.3, "F2": 0.275, "F3": 0.25, "F4": 0.225, "F5": 0.2,
+    "G1": 0.175, "G2": 0.15, "G3": 0.125, "G4": 0.1, "G5": 0.05,
+}
 
 
 def sub_grade_points() -> list[tuple[str, str, float]]:
     """(grade, sub_grade, points) for all 35 sub-grades, best first."""
-    out = []
-    for gi, g in enumerate(GRADE_LETTERS):
-        for di, d in enumerate(SUB_GRADE_DIGITS):
-            rank = gi * len(SUB_GRADE_DIGITS) + di
-            out.append((g, g + d, GRADE_BASE_POINTS * _grade_factor(rank)))
-    return out
+    return [(sub_grade[0], sub_grade, GRADE_BASE_POINTS * factor) for sub_grade, factor in GRADE_FACTORS.items()]
 
 
 @dataclass(frozen=True)
@@ -158,6 +150,7 @@ PERSONAL_LADDERS = (VERIFICATION, GRADE, EXPERIENCE, HOME)
 
 # ----------------------------------------------------------------- payment
 
+# The arms' bounds and levels.
 LATE_FEES = Ladder(
     "late_fees_points",
     [
@@ -171,6 +164,7 @@ LATE_FEES = Ladder(
     otherwise="no_points",
 )
 
+# The arms' bounds and levels.
 INSTALLMENT = Ladder(
     "installment_points",
     [
@@ -187,6 +181,7 @@ PAYMENT_LADDERS = (LATE_FEES, INSTALLMENT)
 
 # ---------------------------------------------------------------- defaults
 
+# The arms' bounds and levels.
 DELINQUENCY = Ladder(
     "deliq_points",
     [
@@ -200,6 +195,7 @@ DELINQUENCY = Ladder(
     otherwise="no_points",
 )
 
+# The arms' bounds and levels.
 PUBLIC_RECORDS = Ladder(
     "public_rec_points",
     [
@@ -209,6 +205,7 @@ PUBLIC_RECORDS = Ladder(
     ],
 )
 
+# The arms' bounds and levels.
 MORTGAGES = Ladder(
     "mort_points",
     [
@@ -223,6 +220,7 @@ DEFAULTS_LADDERS = (DELINQUENCY, PUBLIC_RECORDS, MORTGAGES)
 
 # --------------------------------------------------------------- inquiries
 
+# The arms' bounds and levels.
 MONTHS_SINCE_INQUIRY = Ladder(
     "mnth_inq_points",
     [
@@ -235,6 +233,7 @@ MONTHS_SINCE_INQUIRY = Ladder(
     otherwise="no_points",
 )
 
+# The arms' bounds and levels.
 CHARGE_OFFS = Ladder(
     "charge_off_points",
     [("chargeoff_within_12_mths = 0", "very_good")],
@@ -242,6 +241,7 @@ CHARGE_OFFS = Ladder(
 )
 
 
+# The arms' bounds and levels.
 def _count_ladder(name: str, column: str) -> Ladder:
     return Ladder(
         name,
@@ -278,6 +278,7 @@ LOAN_STATUS = Ladder(
     otherwise="no_points",
 )
 
+# The arms' bounds and levels.
 PURPOSE = Ladder(
     "purpose_points",
     [
@@ -287,6 +288,7 @@ PURPOSE = Ladder(
     otherwise="ok",
 )
 
+# The arms' bounds and levels.
 INCOME = Ladder(
     "income_points",
     [
@@ -300,6 +302,7 @@ INCOME = Ladder(
     otherwise="no_points",
 )
 
+# The arms' bounds and levels.
 CREDIT_LINE = Ladder(
     "credi_line_points",
     [

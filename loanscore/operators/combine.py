@@ -2,31 +2,34 @@
 
 Two forms with equal results:
 
-* ``final_points`` joins five per-member points tables on the member key.
-  It is the form to use when the subjects arrive as separate tables. Each
-  input leaves its own aggregate hash-partitioned on its key, so the four
-  inner joins reuse those partitionings instead of shuffling again.
+* ``final_points`` joins five per-member points tables on the member key, for
+  subjects that arrive as separate tables.
 * ``member_scores`` computes everything from the raw rows with one shuffle.
   All subjects come from the same rows, the same filter and the same key,
   and all of them take the same latest row, so every row-level rule and
   ladder is evaluated before the shuffle, and the shuffle carries only the
-  member key (as its binary digest), a packed recency rank and six numbers
-  per member and task. The
-  aggregate is a hash aggregate with a map-side partial step; a member that
-  owns a large share of the rows is reduced to one buffer per task before
-  the exchange, so there is no hot reducer.
+  member key (as its binary digest), a rank and six numbers per member and
+  task. The aggregate is a hash aggregate with a map-side partial step; a
+  member that owns a large share of the rows is reduced to one buffer per
+  task before the exchange, so there is no hot reducer.
+
+``member_rows`` is the same for any choice of cleaned columns: what a consumer
+does not name does not cross the shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
-from loanscore.functions.keys import drop_empty_profiles, recency
+from loanscore.functions.keys import RANK, drop_empty_profiles
 from loanscore.levels import DEFAULT_LEVELS, DEFAULT_WEIGHTS, Levels, Weights
 from loanscore.operators import defaults, inquiries, loan, payment, personal
-from loanscore.operators.common import cap, fill_zero
+from loanscore.operators.common import cap, fill_zero, latest_per_member, rank_column
 
 FINAL_COLUMNS = (
     "personal_member_id",
@@ -39,51 +42,66 @@ FINAL_COLUMNS = (
 )
 
 
+# Each subject's key and total; the total's weight is the field of Weights.
+SUBJECT_TOTALS = {
+    "personal": (personal.KEY, "total_personal_points"),
+    "payments": (payment.KEY, "total_payments_points"),
+    "inquiries": (inquiries.KEY, "total_inquires_points"),
+    "defaults": (defaults.KEY, "total_defaults_points"),
+    "loan": (loan.KEY, "total_loan_points"),
+}
+
+
 def weighted_total(weights: Weights = DEFAULT_WEIGHTS) -> Column:
-    return (
-        (F.col("total_payments_points") * weights.payments)
-        + (F.col("total_defaults_points") * weights.defaults)
-        + (F.col("total_inquires_points") * weights.inquiries)
-        + (F.col("total_loan_points") * weights.loan)
-        + (F.col("total_personal_points") * weights.personal)
-    )
+    # Fixed order of the sum, so that the doubles add up the same everywhere.
+    order = ("payments", "defaults", "inquiries", "loan", "personal")
+    parts = [F.col(SUBJECT_TOTALS[name][1]) * getattr(weights, name) for name in order]
+    return reduce(lambda a, b: a + b, parts)
 
 
-def final_points(
-    payments_points: DataFrame,
-    loan_points: DataFrame,
-    inquiries_points: DataFrame,
-    defaults_points: DataFrame,
-    personal_points: DataFrame,
-    weights: Weights = DEFAULT_WEIGHTS,
+def final_points(points: dict[str, DataFrame], weights: Weights = DEFAULT_WEIGHTS) -> DataFrame:
+    """Join form: members that every subject scores, from one points table per subject (``SUBJECT_TOTALS``)."""
+    totals = [points[name].select(F.col(key).alias(personal.KEY), total) for name, (key, total) in SUBJECT_TOTALS.items()]
+    joined = reduce(lambda left, right: left.join(right, personal.KEY), totals)
+    return joined.withColumn("total_points", weighted_total(weights)).select(*FINAL_COLUMNS)
+
+
+def member_rows(
+    keyed: DataFrame, columns: Iterable[str], bits: int = 512, extra_aggs: Iterable[Column] = ()
 ) -> DataFrame:
-    """Join form: four inner equi-joins on the member key."""
-    pay = payments_points.select(payment.KEY, "total_payments_points")
-    ln = loan_points.select(loan.KEY, "total_loan_points")
-    inq = inquiries_points.select(inquiries.KEY, "total_inquires_points")
-    dft = defaults_points.select(defaults.KEY, "total_defaults_points")
-    per = personal_points.select(personal.KEY, "total_personal_points")
-    k = per[personal.KEY]
-    df = (
-        per.join(inq, inq[inquiries.KEY] == k, "inner")
-        .join(dft, dft[defaults.KEY] == k, "inner")
-        .join(ln, ln[loan.KEY] == k, "inner")
-        .join(pay, pay[payment.KEY] == k, "inner")
-    )
-    return df.withColumn("total_points", weighted_total(weights)).select(*FINAL_COLUMNS)
+    """``member_id`` and the named cleaned columns of each member's latest row: one exchange.
+
+    Only the named columns cross the shuffle, the key as its binary digest.
+    Rows of one month and id are told apart by these columns only (rows alike
+    in them give the same result), so that others need not be read.
+    """
+    columns = list(columns)
+    rows = prepared_rows(keyed, bits, tie=[c for c in columns if c in keyed.columns]).withColumn("_key", F.unhex("member_id"))
+    out = latest_per_member(rows, "_key", columns, extra_aggs)
+    return out.select(F.lower(F.hex("_key")).alias("member_id"), *[c for c in out.columns if c != "_key"])
 
 
-def subject_points(
-    keyed: DataFrame, bits: int = 512, levels: Levels = DEFAULT_LEVELS
-) -> dict[str, DataFrame]:
+def payment_points(keyed: DataFrame, bits: int = 512, levels: Levels = DEFAULT_LEVELS) -> DataFrame:
+    """Payment points table. The member's income comes from the same latest row, so there is no join."""
+    rows = member_rows(keyed, (*payment.LATEST, "annual_inc"), bits).withColumnRenamed("member_id", payment.KEY)
+    return payment.points(rows.withColumn(personal.KEY, F.col(payment.KEY)), levels)
+
+
+def loan_points(keyed: DataFrame, bits: int = 512, levels: Levels = DEFAULT_LEVELS) -> DataFrame:
+    """Loan points table. Income and credit line come from the same latest row, so there is no join."""
+    rows = member_rows(keyed, (*loan.LATEST, "annual_inc", "tot_hi_cred_lim"), bits)
+    rows = fill_zero(rows, ("installment",)).withColumnRenamed("member_id", loan.KEY)
+    return loan.points(rows.withColumn(personal.KEY, F.col(loan.KEY)), levels)
+
+
+def subject_points(keyed: DataFrame, bits: int = 512, levels: Levels = DEFAULT_LEVELS) -> dict[str, DataFrame]:
     """The five points tables, each built by its own subject pipeline."""
-    per_clean = personal.clean(personal.details(keyed), bits)
     return {
-        "personal": personal.points(per_clean, levels),
-        "payment": payment.points(payment.clean(payment.details(keyed), bits), per_clean, levels),
-        "defaults": defaults.points(defaults.clean(defaults.details(keyed), bits), levels),
+        "personal": personal.points(personal.clean(personal.details(keyed), bits), levels),
+        "payments": payment_points(keyed, bits, levels),
         "inquiries": inquiries.points(inquiries.clean(inquiries.details(keyed), bits), levels),
-        "loan": loan.points(loan.clean(loan.details(keyed), bits), per_clean, levels),
+        "defaults": defaults.points(defaults.clean(defaults.details(keyed), bits), levels),
+        "loan": loan_points(keyed, bits, levels),
     }
 
 
@@ -93,11 +111,29 @@ def final_points_joined(
     levels: Levels = DEFAULT_LEVELS,
     weights: Weights = DEFAULT_WEIGHTS,
 ) -> DataFrame:
-    s = subject_points(keyed, bits, levels)
-    return final_points(s["payment"], s["loan"], s["inquiries"], s["defaults"], s["personal"], weights)
+    return final_points(subject_points(keyed, bits, levels), weights)
+
+
+# What the ladders read of the latest row; the roll-up of the inquiries comes on top.
+LADDER_INPUTS = (
+    "grade", "sub_grade", "emp_length", "verification_status", "home_ownership", "annual_inc", "tot_hi_cred_lim",
+    "total_rec_late_fee", "installment", *defaults.COUNTS, "inq_last_12m", "inq_fi", "loan_status", "purpose", "loan_amnt",
+)
+
+
+def member_points(
+    keyed: DataFrame, bits: int = 512, levels: Levels = DEFAULT_LEVELS, weights: Weights = DEFAULT_WEIGHTS
+) -> DataFrame:
+    """Every ladder, every subject total and the weighted total of each member, with the ladders' inputs."""
+    rows = member_rows(keyed, LADDER_INPUTS, bits, extra_aggs=inquiries.rollup_aggs())
+    capped = rows.withColumn("chargeoff_within_12_mths", cap("chargeoff_within_12_mths", inquiries.CAPS["chargeoff_within_12_mths"]))
+    scored = capped
+    for points in (personal.points, payment.points, inquiries.points, defaults.points, loan.points):
+        scored = points(scored, levels)
+    return scored.withColumn("total_points", weighted_total(weights))
 
 
-def prepared_rows(keyed: DataFrame, bits: int = 512) -> DataFrame:
+def prepared_rows(keyed: DataFrame, bits: int = 512, tie: Iterable[str] | None = None) -> DataFrame:
     """One row per kept loan with every subject's typed, filled, row-cleaned columns.
 
     Loan installment would be filled with 0 but no loan rule reads it, and the
@@ -106,6 +142,7 @@ def prepared_rows(keyed: DataFrame, bits: int = 512) -> DataFrame:
     df = drop_empty_profiles(keyed, "member_id", bits)
     df = df.withColumns(
         {
+            RANK: rank_column(df, tie),
             **personal.type_columns(df),
             **payment.type_columns(df),
             **defaults.type_columns(df),
@@ -144,7 +181,7 @@ def member_scores(
     """
     rows = prepared_rows(keyed, bits).select(
         F.unhex("member_id").alias("_key"),
-        recency("issue_d", "id").alias("_recency"),
+        F.col(RANK),
         personal.total(levels).alias("_personal"),
         payment.total(levels).alias("_payments"),
         defaults.total(levels).alias("_defaults"),
@@ -154,7 +191,7 @@ def member_scores(
         F.col("mths_since_recent_inq"),
         F.col("chargeoff_within_12_mths"),
     )
-    rank = F.col("_recency")
+    rank = F.col(RANK)
     agg = rows.groupBy("_key").agg(
         F.max_by("_personal", rank).alias("total_personal_points"),
         F.max_by("_payments", rank).alias("total_payments_points"),

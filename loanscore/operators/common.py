@@ -19,9 +19,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from loanscore.functions.keys import drop_empty_profiles, recency
-
-RECENCY = "_recency"
+from loanscore.functions.casts import to_long_trunc, to_month_date
+from loanscore.functions.keys import RANK, drop_empty_profiles, recency
 
 
 def rename_key(df: DataFrame, key: str) -> DataFrame:
@@ -41,6 +40,22 @@ def unstamped(df: DataFrame) -> DataFrame:
     return df.drop("ingestion_date")
 
 
+def rank_column(raw: DataFrame, tie: Iterable[str] | None = None) -> Column:
+    """The rank of each raw row (``id`` and ``issue_d`` as read) within its member.
+
+    Rows of one member with the same month and id are told apart by a hash of
+    their ``tie`` columns (all by default), so the latest row does not depend
+    on the order of the input.
+    """
+    types = {f.name: f.dataType for f in raw.schema.fields}
+    row = F.xxhash64(F.lit(0), *[F.col(c) for c in (raw.columns if tie is None else tie)])
+    return recency(to_month_date("issue_d"), to_long_trunc("id", types["id"]), row)
+
+
+def unranked(df: DataFrame) -> DataFrame:
+    return df.drop(RANK)
+
+
 def fill_zero(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.fillna(0, subset=list(columns))
 
@@ -90,30 +105,29 @@ def latest_per_member(
     key: str,
     columns: Iterable[str],
     extra_aggs: Iterable[Column] = (),
-    issue: str = "issue_d",
-    ident: str = "id",
 ) -> DataFrame:
-    """One row per member: the values of its latest row, plus extra aggregates.
+    """One row per member: the named values of its latest row, plus extra aggregates.
 
-    "Latest" is ``issue_d DESC NULLS LAST, id DESC NULLS LAST``. Written as a
-    grouped ``max_by`` on a packed bigint rank, so Spark plans a partial
-    aggregate before the shuffle: a member holding a large share of all rows
-    is reduced to one buffer per map task, and only one row per member and
-    task crosses the network. When every carried column is fixed width the
-    plan is a hash aggregate (no sort at all); text columns make Spark use
-    a sort aggregate, still with the partial step.
+    "Latest" is the greatest ``RANK`` (``issue_d DESC NULLS LAST, id DESC NULLS
+    LAST``, then a hash of the row). A frame without that column is ranked by
+    its typed ``issue_d`` and ``id``. Written as a grouped ``max_by``, so Spark
+    plans a partial aggregate before the shuffle: a member holding a large
+    share of all rows is reduced to one buffer per map task. Only the named
+    columns cross the shuffle; when all of them are fixed width the plan is a
+    hash aggregate (no sort at all), text columns make Spark use a sort
+    aggregate, still with the partial step.
 
     Output: ``key`` then ``columns`` then the extra aggregates, in order.
     """
     columns = list(columns)
-    extra_aggs = list(extra_aggs)
-    ranked = df.withColumn(RECENCY, recency(issue, ident))
+    if RANK not in df.columns:
+        row = F.xxhash64(*[F.col(c) for c in df.columns])
+        df = df.withColumn(RANK, recency(F.col("issue_d"), F.col("id"), row))
     types = {f.name: f.dataType for f in df.schema.fields}
-    rank = F.col(RECENCY)
+    rank = F.col(RANK)
     if all(isinstance(types[c], _FIXED_WIDTH) for c in columns):
-        aggs = [F.max_by(F.col(c), rank).alias(c) for c in columns]
-        return ranked.groupBy(key).agg(*aggs, *extra_aggs)
+        return df.groupBy(key).agg(*[F.max_by(F.col(c), rank).alias(c) for c in columns], *extra_aggs)
     packed = F.max_by(F.struct(*[F.col(c) for c in columns]), rank).alias("_latest")
-    out = ranked.groupBy(key).agg(packed, *extra_aggs)
+    out = df.groupBy(key).agg(packed, *extra_aggs)
     extra_names = [n for n in out.columns if n not in (key, "_latest")]
     return out.select(key, *[F.col("_latest")[c].alias(c) for c in columns], *extra_names)

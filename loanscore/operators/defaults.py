@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
 from loanscore.functions.casts import to_int_trunc, to_month_date
+from loanscore.functions.keys import RANK
 from loanscore.levels import DEFAULT_LEVELS, Levels
 from loanscore.operators.common import (
     cap,
     fill_zero,
     keep_profiles,
     latest_per_member,
+    rank_column,
     rename_key,
     stamp,
 )
@@ -38,9 +40,13 @@ def type_columns(df: DataFrame) -> dict[str, Column]:
     return out
 
 
-def typed(details_df: DataFrame, bits: int = 512) -> DataFrame:
-    df = keep_profiles(rename_key(details_df, KEY), KEY, bits)
-    return df.withColumns(type_columns(df))
+def typed(details_df: DataFrame, bits: int = 512, kept: bool = False) -> DataFrame:
+    """Typed columns plus the row's rank within its member (``RANK``, for ``latest``).
+
+    kept: rows without a profile are gone already, so their key is not compared again.
+    """
+    df = rename_key(details_df, KEY) if kept else keep_profiles(rename_key(details_df, KEY), KEY, bits)
+    return df.withColumns({RANK: rank_column(df), **type_columns(df)})
 
 
 def filled(typed_df: DataFrame) -> DataFrame:
@@ -60,8 +66,8 @@ def with_outliers(df: DataFrame) -> DataFrame:
     return df.withColumns(outlier_columns())
 
 
-def clean(details_df: DataFrame, bits: int = 512) -> DataFrame:
-    return stamp(with_outliers(latest(filled(typed(details_df, bits)))))
+def clean(details_df: DataFrame, bits: int = 512, kept: bool = False) -> DataFrame:
+    return stamp(with_outliers(latest(filled(typed(details_df, bits, kept)))))
 
 
 def total(levels: Levels = DEFAULT_LEVELS) -> Column:

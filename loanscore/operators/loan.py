@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
 from loanscore.functions.casts import to_int_trunc, to_month_date
+from loanscore.functions.keys import RANK
 from loanscore.levels import DEFAULT_LEVELS, Levels
-from loanscore.operators import personal
 from loanscore.operators.common import (
     fill_zero,
     keep_profiles,
     latest_per_member,
     normalized_loan_status,
+    rank_column,
     rename_key,
     stamp,
-    unstamped,
+    unranked,
 )
 
 KEY = "loan_member_id"
@@ -58,9 +59,13 @@ def type_columns(df: DataFrame) -> dict[str, Column]:
     }
 
 
-def typed(details_df: DataFrame, bits: int = 512) -> DataFrame:
-    df = keep_profiles(rename_key(details_df, KEY), KEY, bits)
-    return df.withColumns(type_columns(df))
+def typed(details_df: DataFrame, bits: int = 512, kept: bool = False) -> DataFrame:
+    """Typed columns plus the row's rank within its member (``RANK``, for ``latest``).
+
+    kept: rows without a profile are gone already, so their key is not compared again.
+    """
+    df = rename_key(details_df, KEY) if kept else keep_profiles(rename_key(details_df, KEY), KEY, bits)
+    return df.withColumns({RANK: rank_column(df), **type_columns(df)})
 
 
 def filled(typed_df: DataFrame) -> DataFrame:
@@ -79,13 +84,19 @@ def with_outliers(df: DataFrame) -> DataFrame:
     return df.withColumns(outlier_columns())
 
 
-def clean(details_df: DataFrame, bits: int = 512) -> DataFrame:
+def clean(details_df: DataFrame, bits: int = 512, kept: bool = False) -> DataFrame:
     """rename, drop empty profiles, cast, fill, domain rules, stamp (one row per loan)."""
-    return stamp(with_outliers(filled(typed(details_df, bits))))
+    return stamp(unranked(clean_rows(details_df, bits, kept)))
+
+
+def clean_rows(details_df: DataFrame, bits: int = 512, kept: bool = False) -> DataFrame:
+    """The cleaned rows with their rank, for ``latest``."""
+    return with_outliers(filled(typed(details_df, bits, kept)))
 
 
-def latest(clean_df: DataFrame) -> DataFrame:
-    out = latest_per_member(unstamped(clean_df), KEY, LATEST)
+def latest(ranked_rows: DataFrame) -> DataFrame:
+    """The latest cleaned row of each member, from ``clean_rows``."""
+    out = latest_per_member(ranked_rows, KEY, LATEST)
     return out.select("id", KEY, *[c for c in LATEST if c != "id"])
 
 
@@ -94,9 +105,7 @@ def total(levels: Levels = DEFAULT_LEVELS) -> Column:
     return L.LOAN_STATUS.expr(levels) + L.PURPOSE.expr(levels)
 
 
-def points(clean_df: DataFrame, personal_clean: DataFrame, levels: Levels = DEFAULT_LEVELS) -> DataFrame:
-    ln = latest(clean_df)
-    per = personal_clean.select(personal.KEY, "annual_inc", "tot_hi_cred_lim")
-    df = ln.join(per, ln[KEY] == per[personal.KEY], "inner")
-    df = df.select("*", *[lad.column(levels) for lad in L.LOAN_LADDERS])
+def points(rows: DataFrame, levels: Levels = DEFAULT_LEVELS) -> DataFrame:
+    """Latest loans with their member's cleaned ``annual_inc`` and ``tot_hi_cred_lim``, scored."""
+    df = rows.select("*", *[lad.column(levels) for lad in L.LOAN_LADDERS])
     return df.withColumn("total_loan_points", F.col("loan_status_points") + F.col("purpose_points"))

@@ -109,6 +109,12 @@ def bad_states(personal_clean: DataFrame) -> DataFrame:
     return personal_clean.agg(F.count_if(bad).alias("bad_state_rows"))
 
 
+def duplicate_ids(loan_clean: DataFrame) -> DataFrame:
+    """How many loan ids occur more than once, and in how many rows (the two MDM forms differ on them)."""
+    per_id = loan_clean.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return per_id.agg(F.count(F.lit(1)).alias("ids"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+
+
 def funnel(keyed: DataFrame, bits: int) -> DataFrame:
     """Raw rows, rows with a profile, and distinct members, in one aggregate."""
     kept = F.col("member_id") != empty_profile_key(bits)
@@ -222,10 +228,29 @@ def ladder_violations(points: DataFrame, cases: Sequence[Case]) -> DataFrame:
 # ------------------------------------------------------------------ totals
 
 
-def total_mismatches(subject: str, points: DataFrame, total: str, expected: Column) -> DataFrame:
-    """(subject, rows, mismatches): rows whose total differs from its parts (null-safe)."""
-    return points.agg(
-        F.lit(subject).alias("subject"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~F.col(total).eqNullSafe(expected)).alias("mismatches"),
-    )
+# Each total and the sum it must equal; the totals that are rounded are rounded to 2 places.
+TOTALS = (
+    ("personal", "total_personal_points", "round(home_points + exp_points + verification_points + grade_points, 2)"),
+    ("payment", "total_payments_points", "late_fees_points + installment_points"),
+    ("defaults", "total_defaults_points", "mort_points + deliq_points + public_rec_points"),
+    ("inquiries", "total_inquires_points", "inq_12m_points + inq_points + mnth_inq_points + charge_off_points"),
+    ("loan", "total_loan_points", "loan_status_points + purpose_points"),
+    (
+        "final",
+        "total_points",
+        "round(total_loan_points * 0.15D + total_personal_points * 0.15D + total_defaults_points * 0.25D"
+        " + total_inquires_points * 0.25D + total_payments_points * 0.2D, 2)",
+    ),
+)
+
+
+def totals(points: DataFrame) -> DataFrame:
+    """(subject, rows, mismatches): rows whose total differs from its parts (null-safe), in one pass.
+
+    ``points`` is a stored points table: computed in the same plan, total and
+    parts would be one expression and the optimizer would fold the comparison.
+    """
+    counts = [F.count_if(~F.col(total).eqNullSafe(F.expr(parts))).alias(subject) for subject, total, parts in TOTALS]
+    wide = points.agg(F.count(F.lit(1)).alias("rows"), *counts)
+    entries = [F.struct(F.lit(s).alias("subject"), F.col("rows"), F.col(s).alias("mismatches")) for s, _, _ in TOTALS]
+    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")

@@ -14,8 +14,7 @@ Plan (each numbered step is one Spark job):
 8. Points: the fused scorer (one shuffle) writes the member totals.
 
 Every write is distributed (one file per task) unless ``single_file`` is set.
-While it runs, the job uses HotSpot's JIT method limit for generated code
-if the session still has Spark's default (see ``jit_friendly_codegen``).
+Run it in a session with ``spark.sql.codegen.hugeMethodLimit=8000`` (README).
 The two intermediate tables are deleted once every output is committed
 (``keep_intermediate=True`` keeps them), so repeated runs do not leave
 copies of the raw data in the checkpoint folder.
@@ -33,7 +32,7 @@ from loanscore.levels import DEFAULT_LEVELS, DEFAULT_WEIGHTS, Levels, Weights
 from loanscore.operators import combine, loan, mdm, payment
 from loanscore.operators.common import stamp
 from loanscore.schema import USED_COLUMNS
-from loanscore.session import delete_path, jit_friendly_codegen, scratch_path
+from loanscore.session import delete_path, scratch_path
 from loanscore.sources import sinks
 
 # Output folder names of the cleaned subjects, one per subject.
@@ -69,28 +68,12 @@ def run(
     single_file: bool = False,
     fmt: str = "csv",
     keep_intermediate: bool = False,
-) -> JobOutputs:
-    with jit_friendly_codegen(spark):
-        return _run(spark, raw, cleaned_dir, points_dir, bits, levels, weights, single_file, fmt, keep_intermediate)
-
-
-def _run(
-    spark: SparkSession,
-    raw: DataFrame,
-    cleaned_dir: str,
-    points_dir: str,
-    bits: int,
-    levels: Levels,
-    weights: Weights,
-    single_file: bool,
-    fmt: str,
-    keep_intermediate: bool,
 ) -> JobOutputs:
     base_path = stage_base(raw, bits)
     base = spark.read.parquet(base_path)
 
-    sinks.save_subject(payment.clean(payment.details(base), bits), cleaned_dir, "Payment", single_file, fmt)
-    sinks.save_subject(loan.clean(loan.details(base), bits), cleaned_dir, "Loan", single_file, fmt)
+    sinks.save_subject(payment.clean(payment.details(base), bits, kept=True), cleaned_dir, "Payment", single_file, fmt)
+    sinks.save_subject(loan.clean(loan.details(base), bits, kept=True), cleaned_dir, "Loan", single_file, fmt)
 
     profile_path = scratch_path(spark, "profile")
     mdm.member_profile(base, bits).write.mode("overwrite").parquet(profile_path)

@@ -14,15 +14,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscore.functions.casts import to_month_date
+from loanscore.functions.casts import to_int_trunc, to_month_date
 from loanscore.functions.keys import drop_empty_profiles, member_key, with_member_key
+from loanscore.functions.ladders import CREDIT_LINE, GRADE, INCOME
 from loanscore.levels import Levels, Weights
 from loanscore.operators import combine, defaults, inquiries, loan, mdm, payment, personal, quality
-from loanscore.operators.common import unstamped
+from loanscore.operators.common import unranked, unstamped
+from loanscore.plans import job
 from loanscore.session import delete_on_exit, scratch_path
 from loanscore.sources import sinks
 from loanscore.sources.csv import read_applications_csv, write_applications_csv
-from loanscore.sources.fixture import FIXTURE_COLUMNS, applications_from_star
+from loanscore.sources.fixture import BIG_ID_CHANGES, FIXTURE_COLUMNS, applications_from_star
 
 ORACLE_BITS = 256
 
@@ -38,30 +40,9 @@ def keyed(spark: SparkSession, sf_dir: str, bits: int = ORACLE_BITS) -> DataFram
     return with_member_key(applications_from_star(spark, sf_dir), bits)
 
 
-def staged(spark: SparkSession, sf_dir: str, bits: int = ORACLE_BITS) -> DataFrame:
-    """Keyed rows with a profile, written once to the checkpoint folder and read back.
-
-    Used by queries that feed several subject pipelines from the same rows:
-    the raw input is built and keyed once instead of once per branch, and the
-    branches restart from shared storage if an executor is lost.
-    """
-    from loanscore.plans.job import stage_base
-
-    path = delete_on_exit(spark, stage_base(applications_from_star(spark, sf_dir), bits))
-    return spark.read.parquet(path)
-
-
-def staged_subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Staged keyed rows, plus the per-member cleaned subjects from one staged profile.
-
-    The profile is one aggregate written once; personal, defaults and
-    inquiries are projections of it, so checks that read them several times
-    (with different columns) do not rebuild the aggregate per reader.
-    """
-    k = staged(spark, sf_dir)
-    path = delete_on_exit(spark, scratch_path(spark, "profile"))
-    mdm.member_profile(k, ORACLE_BITS).write.parquet(path)
-    return k, mdm.subjects_from_profile(spark.read.parquet(path))
+def kept(spark: SparkSession, sf_dir: str, bits: int = ORACLE_BITS) -> DataFrame:
+    """Keyed rows without those that have no profile, tested before the key is needed."""
+    return drop_empty_profiles(keyed(spark, sf_dir, bits), "member_id", bits)
 
 
 # ------------------------------------------------------- sources and keys
@@ -73,10 +54,33 @@ def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_applications_csv(spark, path).select(*FIXTURE_COLUMNS)
 
 
-def q_subject_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = loan.clean(loan.details(keyed(spark, sf_dir)), ORACLE_BITS)
-    path = sinks.save_subject(cleaned, delete_on_exit(spark, scratch_path(spark, "cleaned")), "Loan")
-    return unstamped(sinks.read_table(spark, path, cleaned.schema))
+def _subject_sink(mod, folder: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cleaned = mod.clean(mod.details(kept(spark, sf_dir)), ORACLE_BITS, kept=True)
+        path = sinks.save_subject(cleaned, delete_on_exit(spark, scratch_path(spark, "cleaned")), folder)
+        return unstamped(sinks.read_table(spark, path, cleaned.schema))
+
+    return run
+
+
+def q_job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job, its six outputs read back and joined: one row for each loan."""
+    raw = applications_from_star(spark, sf_dir)
+    root = delete_on_exit(spark, scratch_path(spark, "job"))
+    job.run(spark, raw, f"{root}/cleaned", f"{root}/points", ORACLE_BITS)
+    k = keyed(spark, sf_dir)
+    rows = {}
+    for folder, mod in JOB_FOLDERS.items():
+        schema = mod.clean(mod.details(k), ORACLE_BITS).schema
+        table = unstamped(sinks.read_table(spark, f"{root}/cleaned/{folder}", schema))
+        rows[folder] = table.select(*[F.col(c).alias(f"{folder.lower()}_{c}") for c in table.columns])
+    points = sinks.read_table(spark, f"{root}/points", combine.member_scores(k, ORACLE_BITS).schema)
+    rows["Points"] = points.select(*[F.col(c).alias(f"points_{c}") for c in points.columns])
+    member = F.col(f"loan_{loan.KEY}")
+    out = rows["Loan"].join(rows["Payment"], F.col("loan_id") == F.col("payment_id"), "left")
+    for folder, key in (("Personal", personal.KEY), ("Defaults", defaults.KEY), ("Inquires", inquiries.KEY), ("Points", personal.KEY)):
+        out = out.join(rows[folder], member == F.col(f"{folder.lower()}_{key}"), "left")
+    return out
 
 
 def q_points_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +103,7 @@ def q_drop_empty_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = loan.clean(loan.details(keyed(spark, sf_dir)), ORACLE_BITS)
+    cleaned = loan.clean(loan.details(kept(spark, sf_dir)), ORACLE_BITS, kept=True)
     return cleaned.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("ingestion_date").alias("stamped"),
@@ -112,8 +116,23 @@ def q_issue_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("id", "issue_d", to_month_date("issue_d").alias("issue_date"))
 
 
+def q_lenient_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integer text in every accepted and some rejected spellings, one of them per order."""
+    spellings = F.array(*[F.lit(s) for s in INT_SPELLINGS])
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    text = F.concat(F.element_at(spellings, (F.col("o_orderkey") % len(INT_SPELLINGS) + 1).cast("int")))
+    rows = orders.select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", to_int_trunc("text").alias("value"))
+
+
 # --------------------------------------------------------------- subjects
 
+# Spellings of integers, as read from text files.
+INT_SPELLINGS = (
+    "12", " 12 ", "12.0", "12.9", "-12.9", "+7", "7.", ".5", ".", "-.7", "12\t", "12\x01", "", "-", "1e3", "5d", "abc", "1.2.3",
+    "2147483647", "2147483648", "-2147483648.5", "00012", "0.0",
+)
+
 _SUBJECTS = {
     "personal": personal,
     "payment": payment,
@@ -121,6 +140,7 @@ _SUBJECTS = {
     "inquiries": inquiries,
     "loan": loan,
 }
+JOB_FOLDERS = {"Personal": personal, "Payment": payment, "Defaults": defaults, "Inquires": inquiries, "Loan": loan}
 
 
 def _details(mod) -> Query:
@@ -128,59 +148,53 @@ def _details(mod) -> Query:
 
 
 def _typed(mod) -> Query:
-    return lambda spark, sf: mod.typed(mod.details(keyed(spark, sf)), ORACLE_BITS)
+    return lambda spark, sf: unranked(mod.typed(mod.details(kept(spark, sf)), ORACLE_BITS, kept=True))
 
 
 def _filled(mod) -> Query:
-    return lambda spark, sf: mod.filled(mod.typed(mod.details(keyed(spark, sf)), ORACLE_BITS))
+    return lambda spark, sf: unranked(mod.filled(mod.typed(mod.details(kept(spark, sf)), ORACLE_BITS, kept=True)))
 
 
 def _clean(mod) -> Query:
-    return lambda spark, sf: unstamped(mod.clean(mod.details(keyed(spark, sf)), ORACLE_BITS))
+    return lambda spark, sf: unstamped(mod.clean(mod.details(kept(spark, sf)), ORACLE_BITS, kept=True))
 
 
 def _latest(mod) -> Query:
     if mod in (payment, loan):
         # deduplicated in scoring, from the cleaned rows
-        return lambda spark, sf: mod.latest(mod.clean(mod.details(keyed(spark, sf)), ORACLE_BITS))
-    return lambda spark, sf: mod.latest(mod.filled(mod.typed(mod.details(keyed(spark, sf)), ORACLE_BITS)))
-
-
-def _personal_clean(k: DataFrame) -> DataFrame:
-    return personal.clean(personal.details(k), ORACLE_BITS)
+        return lambda spark, sf: mod.latest(mod.clean_rows(mod.details(kept(spark, sf)), ORACLE_BITS, kept=True))
+    return lambda spark, sf: mod.latest(mod.filled(mod.typed(mod.details(kept(spark, sf)), ORACLE_BITS, kept=True)))
 
 
 def _points(mod) -> Query:
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        k = staged(spark, sf) if mod in (payment, loan) else keyed(spark, sf)
-        cleaned = mod.clean(mod.details(k), ORACLE_BITS)
-        if mod in (payment, loan):
-            return unstamped(mod.points(cleaned, _personal_clean(k)))
-        return unstamped(mod.points(cleaned))
-
-    return run
+    if mod is payment:
+        return lambda spark, sf: combine.payment_points(keyed(spark, sf), ORACLE_BITS)
+    if mod is loan:
+        return lambda spark, sf: combine.loan_points(keyed(spark, sf), ORACLE_BITS)
+    return lambda spark, sf: unstamped(mod.points(mod.clean(mod.details(kept(spark, sf)), ORACLE_BITS, kept=True)))
 
 
 def q_inquiries_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inquiries.rollup(inquiries.filled(inquiries.typed(inquiries.details(keyed(spark, sf_dir)), ORACLE_BITS)))
+    return inquiries.rollup(inquiries.filled(inquiries.typed(inquiries.details(kept(spark, sf_dir)), ORACLE_BITS, kept=True)))
 
 
 def q_grade_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pts = personal.points(_personal_clean(keyed(spark, sf_dir)))
-    return pts.select(personal.KEY, "grade", "sub_grade", "grade_points")
+    rows = combine.member_rows(keyed(spark, sf_dir), ("grade", "sub_grade"), ORACLE_BITS)
+    return rows.select(F.col("member_id").alias(personal.KEY), "grade", "sub_grade", GRADE.column())
 
 
 def q_loan_ladder_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = staged(spark, sf_dir)
-    pts = loan.points(loan.clean(loan.details(k), ORACLE_BITS), _personal_clean(k))
-    return pts.select(loan.KEY, "annual_inc", "loan_amnt", "tot_hi_cred_lim", "income_points", "credi_line_points")
+    rows = combine.member_rows(keyed(spark, sf_dir), ("annual_inc", "loan_amnt", "tot_hi_cred_lim"), ORACLE_BITS)
+    return rows.select(
+        F.col("member_id").alias(loan.KEY), "annual_inc", "loan_amnt", "tot_hi_cred_lim", INCOME.column(), CREDIT_LINE.column()
+    )
 
 
 # ---------------------------------------------------------------- combine
 
 
 def q_final_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combine.final_points_joined(staged(spark, sf_dir), ORACLE_BITS)
+    return combine.final_points_joined(keyed(spark, sf_dir), ORACLE_BITS)
 
 
 def q_final_points_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,18 +206,33 @@ def q_final_points_custom_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mdm_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mdm.mdm_view(staged(spark, sf_dir), ORACLE_BITS)
+    return mdm.mdm_view(keyed(spark, sf_dir), ORACLE_BITS)
+
+
+def q_mdm_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = kept(spark, sf_dir)
+    cleaned = {name: unstamped(mod.clean(mod.details(k), ORACLE_BITS, kept=True)) for name, mod in _SUBJECTS.items()}
+    mdm.register_subject_views(*[cleaned[name] for name in ("loan", "personal", "payment", "defaults", "inquiries")])
+    return mdm.create_mdm_sql_view(spark)
+
+
+def q_big_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and latest amounts where ids pass the INT range and a member's loans share one month."""
+    k = with_member_key(applications_from_star(spark, sf_dir, BIG_ID_CHANGES), ORACLE_BITS)
+    latest = combine.member_rows(k, ("loan_amnt", "total_rec_prncp"), ORACLE_BITS)
+    scores = combine.member_scores(k, ORACLE_BITS)
+    return scores.join(latest.withColumnRenamed("member_id", personal.KEY), personal.KEY)
 
 
 # ---------------------------------------------------------------- quality
 
 
 def q_dq_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = staged(spark, sf_dir)
+    k = kept(spark, sf_dir)
     return quality.domain_values(
-        _personal_clean(k),
-        payment.clean(payment.details(k), ORACLE_BITS),
-        loan.clean(loan.details(k), ORACLE_BITS),
+        combine.member_rows(k, ("home_ownership", "grade", "sub_grade"), ORACLE_BITS),
+        payment.clean(payment.details(k), ORACLE_BITS, kept=True),
+        loan.clean(loan.details(k), ORACLE_BITS, kept=True),
     )
 
 
@@ -212,11 +241,17 @@ def q_dq_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.maxima(mdm.member_profile(keyed(spark, sf_dir), ORACLE_BITS))
+    wanted = [c for c, _ in quality.MAXIMA if c != "chargeoff_within_12_mths"]
+    rows = combine.member_rows(keyed(spark, sf_dir), wanted, ORACLE_BITS, extra_aggs=inquiries.rollup_aggs())
+    return quality.maxima(rows.withColumns({"chargeoff_within_12_mths": inquiries.outlier_columns()["chargeoff_within_12_mths"]}))
 
 
 def q_dq_bad_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.bad_states(_personal_clean(keyed(spark, sf_dir)))
+    return quality.bad_states(combine.member_rows(keyed(spark, sf_dir), ("addr_state",), ORACLE_BITS))
+
+
+def q_dq_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.duplicate_ids(loan.clean(loan.details(kept(spark, sf_dir)), ORACLE_BITS, kept=True))
 
 
 def q_dq_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,85 +259,29 @@ def q_dq_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_ladder_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, subj = staged_subjects(spark, sf_dir)
-    per_clean = subj["personal"]
-    parts = [
-        quality.ladder_violations(personal.points(per_clean), quality.PERSONAL_CASES),
-        quality.ladder_violations(
-            payment.points(payment.clean(payment.details(k), ORACLE_BITS), per_clean), quality.PAYMENT_CASES
-        ),
-        quality.ladder_violations(defaults.points(subj["defaults"]), quality.DEFAULTS_CASES),
-        quality.ladder_violations(inquiries.points(subj["inquiries"]), quality.INQUIRIES_CASES),
-        quality.ladder_violations(
-            loan.points(loan.clean(loan.details(k), ORACLE_BITS), per_clean), quality.LOAN_CASES
-        ),
+    cases = [
+        *quality.PERSONAL_CASES,
+        *quality.PAYMENT_CASES,
+        *quality.DEFAULTS_CASES,
+        *quality.INQUIRIES_CASES,
+        *quality.LOAN_CASES,
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality.ladder_violations(combine.member_points(keyed(spark, sf_dir), ORACLE_BITS), cases)
 
 
 def q_dq_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, subj = staged_subjects(spark, sf_dir)
-    per_clean = subj["personal"]
-    s = {
-        "personal": personal.points(per_clean),
-        "payment": payment.points(payment.clean(payment.details(k), ORACLE_BITS), per_clean),
-        "defaults": defaults.points(subj["defaults"]),
-        "inquiries": inquiries.points(subj["inquiries"]),
-        "loan": loan.points(loan.clean(loan.details(k), ORACLE_BITS), per_clean),
-    }
-    col = F.col
-    parts = [
-        quality.total_mismatches(
-            "personal",
-            s["personal"],
-            "total_personal_points",
-            F.round(col("home_points") + col("exp_points") + col("verification_points") + col("grade_points"), 2),
-        ),
-        quality.total_mismatches(
-            "payment", s["payment"], "total_payments_points", col("late_fees_points") + col("installment_points")
-        ),
-        quality.total_mismatches(
-            "defaults",
-            s["defaults"],
-            "total_defaults_points",
-            col("mort_points") + col("deliq_points") + col("public_rec_points"),
-        ),
-        quality.total_mismatches(
-            "inquiries",
-            s["inquiries"],
-            "total_inquires_points",
-            col("inq_12m_points") + col("inq_points") + col("mnth_inq_points") + col("charge_off_points"),
-        ),
-        quality.total_mismatches(
-            "loan", s["loan"], "total_loan_points", col("loan_status_points") + col("purpose_points")
-        ),
-        quality.total_mismatches(
-            "final",
-            combine.member_scores(k, ORACLE_BITS),
-            "total_points",
-            F.round(
-                col("total_loan_points") * 0.15
-                + col("total_personal_points") * 0.15
-                + col("total_defaults_points") * 0.25
-                + col("total_inquires_points") * 0.25
-                + col("total_payments_points") * 0.2,
-                2,
-            ),
-        ),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Totals against their parts in a points table that was written and read back."""
+    path = delete_on_exit(spark, scratch_path(spark, "points"))
+    combine.member_points(keyed(spark, sf_dir), ORACLE_BITS).write.parquet(path)
+    return quality.totals(spark.read.parquet(path))
 
 
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "csv_scan": q_csv_scan,
-        "subject_sink_roundtrip": q_subject_sink_roundtrip,
+        "subject_sink_roundtrip": _subject_sink(loan, "Loan"),
+        "lenient_ints": q_lenient_ints,
+        "job_outputs": q_job_outputs,
         "points_sink_roundtrip": q_points_sink_roundtrip,
         "member_key": q_member_key,
         "drop_empty_profiles": q_drop_empty_profiles,
@@ -316,6 +295,9 @@ def registry() -> dict[str, Query]:
         q[f"{name}_latest"] = _latest(mod)
         q[f"{name}_clean"] = _clean(mod)
         q[f"{name}_points"] = _points(mod)
+    for folder, mod in JOB_FOLDERS.items():
+        if mod is not loan:
+            q[f"{folder.lower()}_sink_roundtrip"] = _subject_sink(mod, folder)
     q.update(
         {
             "inquiries_rollup": q_inquiries_rollup,
@@ -325,9 +307,12 @@ def registry() -> dict[str, Query]:
             "final_points_fused": q_final_points_fused,
             "final_points_custom_levels": q_final_points_custom_levels,
             "mdm_view": q_mdm_view,
+            "mdm_sql_view": q_mdm_sql_view,
+            "big_ids": q_big_ids,
             "dq_domain": q_dq_domain,
             "dq_maxima": q_dq_maxima,
             "dq_bad_state": q_dq_bad_state,
+            "dq_duplicate_ids": q_dq_duplicate_ids,
             "dq_funnel": q_dq_funnel,
             "dq_ladder_violations": q_dq_ladder_violations,
             "dq_golden": q_dq_golden,

@@ -8,7 +8,6 @@ is absent and the master is local (tests).
 
 from __future__ import annotations
 
-import contextlib
 import os
 import tempfile
 import uuid
@@ -76,30 +75,6 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
-HUGE_METHOD_KEY = "spark.sql.codegen.hugeMethodLimit"
-SPARK_DEFAULT_HUGE_METHOD_LIMIT = "65535"
-JIT_METHOD_LIMIT = "8000"
-
-
-@contextlib.contextmanager
-def jit_friendly_codegen(spark: SparkSession):
-    """Run a block with ``hugeMethodLimit`` at HotSpot's JIT limit (8000 bytes).
-
-    Applied only while the session still has Spark's default; an explicit
-    choice by the caller is left alone, and the previous value is restored
-    afterwards.
-    """
-    current = spark.conf.get(HUGE_METHOD_KEY, SPARK_DEFAULT_HUGE_METHOD_LIMIT)
-    change = current == SPARK_DEFAULT_HUGE_METHOD_LIMIT
-    if change:
-        spark.conf.set(HUGE_METHOD_KEY, JIT_METHOD_LIMIT)
-    try:
-        yield
-    finally:
-        if change:
-            spark.conf.set(HUGE_METHOD_KEY, current)
-
-
 def delete_on_exit(spark: SparkSession, path: str) -> str:
     """Mark ``path`` for deletion when the driver's file systems close (JVM exit).
 

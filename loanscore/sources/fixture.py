@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscore.schema import RAW_TYPES
-from loanscore.sources.partitioning import spread
 
 # Inner projection: keys, junk flag and helper values.
 INNER = (
@@ -163,10 +162,19 @@ def _outer_expr(name: str, expr: str, string_type: str = "STRING", double_type:
     return f"CAST(CASE WHEN junk THEN NULL ELSE {expr} END AS {t}) AS {name}"
 
 
-def applications_from_tables(orders: DataFrame, customer: DataFrame) -> DataFrame:
+# A second fixture: ids beyond the INT range, all loans of a member in one month.
+BIG_ID_CHANGES = {
+    "id": "CASE WHEN junk THEN 'Total amount funded in policy code 1' ELSE CAST(o + 3000000000 AS STRING) END",
+    "issue_d": "concat('Mar-', CAST(2010 + k%5 AS STRING))",
+}
+
+
+def _columns(changes: dict[str, str] | None) -> list[tuple[str, str]]:
+    return [(n, (changes or {}).get(n, e)) for n, e in COLUMNS]
+
+
+def applications_from_tables(orders: DataFrame, customer: DataFrame, changes: dict[str, str] | None = None) -> DataFrame:
     """The raw application table (36 used columns, raw types) from the two tables."""
-    # prune before spreading, so only the four used columns are read and moved
-    orders = spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     j = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "inner").select(
         orders["o_orderkey"].alias("o"),
         customer["c_custkey"].alias("k"),
@@ -177,14 +185,14 @@ def applications_from_tables(orders: DataFrame, customer: DataFrame) -> DataFram
         "o_orderdate",
     )
     r = j.selectExpr(*[f"{e} AS {n}" for n, e in INNER])
-    return r.selectExpr(*[_outer_expr(n, e) for n, e in COLUMNS])
+    return r.selectExpr(*[_outer_expr(n, e) for n, e in _columns(changes)])
 
 
-def applications_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+def applications_from_star(spark: SparkSession, sf_dir: str, changes: dict[str, str] | None = None) -> DataFrame:
     """The raw application table for the tables under ``sf_dir``."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    return applications_from_tables(orders, customer)
+    return applications_from_tables(orders, customer, changes)
 
 
 def replicated_tables(spark: SparkSession, sf_dir: str, copies: int) -> tuple[DataFrame, DataFrame]:
@@ -193,7 +201,7 @@ def replicated_tables(spark: SparkSession, sf_dir: str, copies: int) -> tuple[Da
 
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    o_span = 10 ** 7  # keeps order keys (loan ids) inside the INT range
+    o_span = 10**10  # copies after the first have ids beyond the INT range
     c_span = 10 ** 7
     o_parts, c_parts = [], []
     for i in range(copies):
@@ -211,11 +219,11 @@ def replicated_tables(spark: SparkSession, sf_dir: str, copies: int) -> tuple[Da
     return o, c
 
 
-def fixture_sql(orders: str = "orders", customer: str = "customer") -> str:
+def fixture_sql(orders: str = "orders", customer: str = "customer", changes: dict[str, str] | None = None) -> str:
     """The same table as one SELECT (DuckDB dialect: VARCHAR for text)."""
     inner = ", ".join(f"{e.replace('STRING', 'VARCHAR')} AS {n}" for n, e in INNER)
     outer = ", ".join(
-        _outer_expr(n, e.replace("AS STRING", "AS VARCHAR"), string_type="VARCHAR") for n, e in COLUMNS
+        _outer_expr(n, e.replace("AS STRING", "AS VARCHAR"), string_type="VARCHAR") for n, e in _columns(changes)
     )
     j = (
         "SELECT o_orderkey AS o, c_custkey AS k, c_name, c_nationkey, c_acctbal, o_totalprice, o_orderdate "

@@ -3,8 +3,8 @@
 Writes are distributed: each task writes its own part file and the commit
 protocol makes the folder appear whole or not at all, so a lost executor
 only re-runs its tasks. A single output file is available on request
-(``single_file=True``), which funnels the whole table through one task and
-should only be used for small outputs.
+(``single_file=True``): the rows are cleaned in parallel and then written by
+one task, which should only be used for small outputs.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 
 def save_table(df: DataFrame, path: str, single_file: bool = False, fmt: str = "csv") -> str:
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)

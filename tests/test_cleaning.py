@@ -17,7 +17,7 @@ def one_col(spark, values, typ, fn):
 def test_int_trunc_text(spark):
     vals = ["2", "2.9", "-2.9", " 36", "+5", "5.", "1e3", "5d", ".5", "abc", "", None, "99999999999"]
     got = one_col(spark, vals, "string", lambda c: to_int_trunc(c))
-    assert got == [2, 2, -2, 36, 5, 5, None, None, None, None, None, None, None]
+    assert got == [2, 2, -2, 36, 5, 5, None, None, 0, None, None, None, None]
 
 
 def test_int_trunc_number(spark):

@@ -41,18 +41,3 @@ def test_command_line_job_from_csv(spark):
     want = combine.member_scores(with_member_key(raw, 512), 512)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
-
-def test_jit_friendly_codegen_respects_and_restores(spark):
-    from loanscore.session import HUGE_METHOD_KEY, jit_friendly_codegen
-
-    before = spark.conf.get(HUGE_METHOD_KEY)
-    spark.conf.set(HUGE_METHOD_KEY, "65535")
-    try:
-        with jit_friendly_codegen(spark):
-            assert spark.conf.get(HUGE_METHOD_KEY) == "8000"
-        assert spark.conf.get(HUGE_METHOD_KEY) == "65535"
-        spark.conf.set(HUGE_METHOD_KEY, "20000")  # an explicit choice is kept
-        with jit_friendly_codegen(spark):
-            assert spark.conf.get(HUGE_METHOD_KEY) == "20000"
-    finally:
-        spark.conf.set(HUGE_METHOD_KEY, before)

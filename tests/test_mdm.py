@@ -23,7 +23,7 @@ def test_mdm_keeps_every_loan_and_null_ids(keyed_smoke):
 def test_member_profile_is_one_aggregate(keyed_smoke):
     prof = mdm.member_profile(keyed_smoke, 256)
     plan = prof._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(member_id") == 1
+    assert plan.count("Exchange hashpartitioning(_key") == 1
     assert prof.count() == prof.select("member_id").distinct().count()
 
 

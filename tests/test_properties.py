@@ -1,6 +1,5 @@
 """Property tests: the text-to-int cast against an independent Python model."""
 
-import math
 import re
 
 from hypothesis import given, settings
@@ -9,14 +8,18 @@ from pyspark.sql import functions as F
 
 from loanscore.functions.casts import int_trunc_sql
 
-PLAIN = re.compile(r"^[ \t]*[+-]?[0-9]+([.][0-9]*)?[ \t]*$")
+PLAIN = re.compile(r"^[ \t]*([+-]?[0-9]*)([.][0-9]*)?[ \t]*$")
 
 
 def model(s):
-    """Plain decimal text (optional sign, digits, optional fraction, blanks) -> int, truncated."""
-    if s is None or not PLAIN.match(s):
+    """Plain decimal text (optional sign, digits, optional fraction, blanks) -> int, truncated.
+
+    What stands before the point may be missing ('.5', '-.', '.'), and is 0 then.
+    """
+    found = None if s is None else PLAIN.match(s)
+    if not found or found[1] in ("", "+", "-") and found[2] is None:
         return None
-    v = math.trunc(float(s))
+    v = 0 if found[1] in ("", "+", "-") else int(found[1])
     return v if -(2**31) <= v < 2**31 else None
 
 

@@ -39,13 +39,3 @@ def test_subject_and_points_sinks(spark, keyed_smoke):
     back = sinks.read_table(spark, ppath, pts.schema)
     assert back.exceptAll(pts).count() == 0 and pts.exceptAll(back).count() == 0
 
-
-def test_spread_only_small_inputs(spark):
-    from loanscore.sources.partitioning import SMALL_INPUT_SPLITS, spread
-
-    one = spark.range(1000).coalesce(1)
-    assert spread(one, 8).rdd.getNumPartitions() == 8
-    many = spark.range(1000).repartition(SMALL_INPUT_SPLITS + 1)
-    assert spread(many, 4 * SMALL_INPUT_SPLITS) is many  # large input: untouched
-    enough = spark.range(1000).repartition(8)
-    assert spread(enough, 8) is enough

@@ -14,10 +14,9 @@ bucket only, never with each other, so pairs grow with the rows. First, every
 bucket's smallest node represents it, and a node is tried with the one it
 shares most buckets with. In later rounds every class that a bucket still
 holds sends one member, chosen by a hash that changes with the round, and
-these are tried with that of one class. Rounds go on until one links less
-than ``MIN_YIELD`` of the pairs it tried: what then still meets in a bucket
-are unlike texts around a shared passage. No bucket is capped. Pairs whose
-word counts rule the similarity out are left out before any text is fetched.
+these are tried with that of one class. Rounds go on until one links nothing.
+No bucket is capped. Pairs whose word counts rule the similarity out are left
+out before any text is fetched.
 
 Verification. A pair is a link if the word edit distance is at most
 (1 - ``SIMILARITY``) of the longer text, computed by a bit-parallel alignment
@@ -56,7 +55,6 @@ KMER = 5
 SAMPLES = 3
 SKETCHES = 64
 SIMILARITY = 0.8
-MIN_YIELD = 0.005  # a round that links fewer of the pairs it tried is the last
 BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 BLOCK_KMERS = 8192  # k-mers hashed at once
 
@@ -283,13 +281,13 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
         used.append(Written(df, name))
         return used[-1].df
 
-    members = written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets")
-    met = members.select("node").distinct()
+    rest = Written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets")
+    met = rest.df.select("node").distinct()
     # The nodes that met grow with the corpus, so they are merged with the texts at every size, never broadcast.
     wanted = written(texts.join(met.hint("merge"), "node", "left_semi"), "candidates")
     # Each node is first tried with the representative it shares most buckets with.
     firsts = (
-        members.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
+        rest.df.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
         .groupBy("node", F.col("first.node").alias("rep"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("node")
@@ -297,32 +295,30 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
     )
     tried = written(firsts.select(*_pairs(-F.col("best.minus"), F.col("node"))).distinct(), "pairs")
     links = written(_verified(tried, wanted, least), "links")
-    found, turn, paying = links, 1, not links.isEmpty()
+    found, turn = links, 1
     labels = Written(met.withColumn("label", F.col("node")), "classes")
-    rest = members.select("bucket", "node", "n_words")
-    while paying:
+    while not links.isEmpty():
         labels = _joined(labels, links)
         turn += 1
-        placed = Written(rest.join(labels.df, "node"), "placed")
+        placed = Written(rest.df.select("bucket", "node", "n_words").join(labels.df, "node"), "placed")
+        rest.drop()
         unsettled = placed.df.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
-        mixed = written(placed.df.join(unsettled.select("bucket"), "bucket"), "mixed")
+        rest = Written(placed.df.join(unsettled.select("bucket"), "bucket"), "mixed")  # a bucket of one class stays so
         placed.drop()
-        rest = mixed.select("bucket", "node", "n_words")  # a bucket that has become one class stays so
         # One member of each class in a bucket, another one in each round, against that of one class.
         entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words")
-        speakers = mixed.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
-        speakers = written(speakers.select("bucket", "label", "one.node", "one.n_words"), "speakers")
+        chosen = rest.df.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
+        speakers = Written(chosen.select("bucket", "label", "one.node", "one.n_words"), "speakers")
         ranked = F.struct(F.xxhash64("label", F.lit(turn)).alias("rank"), "label", "node", "n_words")
-        heads = written(speakers.groupBy("bucket").agg(F.min(ranked).alias("rep")), "heads")
+        heads = Written(speakers.df.groupBy("bucket").agg(F.min(ranked).alias("rep")), "heads")
         crosses = (F.col("label") != F.col("rep.label")) & _long_enough(F.col("n_words"), F.col("rep.n_words"), least)
-        crossing = speakers.join(heads, "bucket").where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
+        crossing = speakers.df.join(heads.df, "bucket").where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
         fresh = written(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        speakers.drop()
+        heads.drop()
         links = written(_verified(fresh, wanted, least), "links")
-        found, tried = found.union(links), written(tried.union(fresh), "pairs")
-        linked = links.count()
-        paying = linked > MIN_YIELD * fresh.count()
-        if linked and not paying:
-            labels = _joined(labels, links)
+        found, tried = found.union(links), tried.union(fresh)
+    used.append(rest)
     return found, labels.df, [*used, labels]
 
 

@@ -1,8 +1,9 @@
 """Connected components of an edge table, on Spark tables only.
 
-Every node carries a label, at first itself. In each round a node looks at
-its neighbours' labels; the smallest label seen from a component hooks that
-component's label onto the smaller one, and labels follow the hooks twice.
+Every node carries a label, at first the smallest of itself and its
+neighbours. In each round a node looks at its neighbours' labels; the smallest
+label seen from a component hooks that component's label onto the smaller one,
+and labels follow the hooks twice.
 Rounds end when no label can be lowered, so the result is exact whatever the
 number of rounds, which falls with the logarithm of the longest chain in
 practice.
@@ -29,7 +30,10 @@ def connected_components(edges: DataFrame) -> Written:
     """
     ends = edges.where("a IS NOT NULL AND b IS NOT NULL")
     both = Written(ends.select("a", "b").union(ends.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    state = Written(both.df.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
+    state = Written(
+        both.df.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")),
+        "labels",
+    )
     while True:
         seen = (
             both.df.join(state.df.select(F.col("node").alias("b"), "label"), "b")

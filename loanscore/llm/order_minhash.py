@@ -14,7 +14,8 @@ bucket only, never with each other, so pairs grow with the rows. First, every
 bucket's smallest node represents it, and a node is tried with the one it
 shares most buckets with. In later rounds every class that a bucket still
 holds sends one member, chosen by a hash that changes with the round, and
-these are tried with that of one class. Rounds go on until one links nothing.
+these are tried with members of ``HEADS`` classes, chosen likewise. Rounds go
+on until one links nothing.
 No bucket is capped. Pairs whose word counts rule the similarity out are left
 out before any text is fetched.
 
@@ -55,6 +56,7 @@ KMER = 5
 SAMPLES = 3
 SKETCHES = 64
 SIMILARITY = 0.8
+HEADS = 4  # classes of a bucket that are tried with its others in one round
 BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 BLOCK_KMERS = 8192  # k-mers hashed at once
 
@@ -281,13 +283,13 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
         used.append(Written(df, name))
         return used[-1].df
 
-    rest = Written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets")
-    met = rest.df.select("node").distinct()
+    placed = Written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets")
+    met = placed.df.select("node").distinct()
     # The nodes that met grow with the corpus, so they are merged with the texts at every size, never broadcast.
     wanted = written(texts.join(met.hint("merge"), "node", "left_semi"), "candidates")
     # Each node is first tried with the representative it shares most buckets with.
     firsts = (
-        rest.df.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
+        placed.df.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
         .groupBy("node", F.col("first.node").alias("rep"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("node")
@@ -296,29 +298,37 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
     tried = written(firsts.select(*_pairs(-F.col("best.minus"), F.col("node"))).distinct(), "pairs")
     links = written(_verified(tried, wanted, least), "links")
     found, turn = links, 1
-    labels = Written(met.withColumn("label", F.col("node")), "classes")
+    labels, unsettled = Written(met.withColumn("label", F.col("node")), "classes"), None
     while not links.isEmpty():
         labels = _joined(labels, links)
         turn += 1
-        placed = Written(rest.df.select("bucket", "node", "n_words").join(labels.df, "node"), "placed")
-        rest.drop()
-        unsettled = placed.df.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
-        rest = Written(placed.df.join(unsettled.select("bucket"), "bucket"), "mixed")  # a bucket of one class stays so
-        placed.drop()
-        # One member of each class in a bucket, another one in each round, against that of one class.
+        rows = placed.df.select("bucket", "node", "n_words")
+        if unsettled:  # a bucket of one class stays so
+            rows = rows.join(unsettled.df.select("bucket"), "bucket")
+        past = [placed, unsettled] if unsettled else [placed]
+        placed = Written(rows.join(labels.df, "node"), "placed")
+        # The classes of a bucket that are tried with all others of it, each by one member.
+        heads = [
+            F.min(F.struct(F.xxhash64("label", F.lit(turn), F.lit(i)).alias("rank"), "label", "node", "n_words"))
+            for i in range(HEADS)
+        ]
+        bounds = placed.df.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.array(*heads).alias("reps"))
+        unsettled = Written(bounds.where("l0 < l1").select("bucket", "reps"), "unsettled")
+        for table in past:
+            table.drop()
+        # Another member speaks for its class in each round.
         entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words")
-        chosen = rest.df.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
-        speakers = Written(chosen.select("bucket", "label", "one.node", "one.n_words"), "speakers")
-        ranked = F.struct(F.xxhash64("label", F.lit(turn)).alias("rank"), "label", "node", "n_words")
-        heads = Written(speakers.df.groupBy("bucket").agg(F.min(ranked).alias("rep")), "heads")
-        crosses = (F.col("label") != F.col("rep.label")) & _long_enough(F.col("n_words"), F.col("rep.n_words"), least)
-        crossing = speakers.df.join(heads.df, "bucket").where(crosses).select(*_pairs(F.col("rep.node"), F.col("node")))
+        speakers = placed.df.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
+        crossing = (
+            speakers.join(unsettled.df, "bucket")
+            .select("label", "one", F.explode("reps").alias("rep"))
+            .where((F.col("label") != F.col("rep.label")) & _long_enough(F.col("one.n_words"), F.col("rep.n_words"), least))
+            .select(*_pairs(F.col("rep.node"), F.col("one.node")))
+        )
         fresh = written(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        speakers.drop()
-        heads.drop()
         links = written(_verified(fresh, wanted, least), "links")
         found, tried = found.union(links), tried.union(fresh)
-    used.append(rest)
+    used.extend([placed, unsettled] if unsettled else [placed])
     return found, labels.df, [*used, labels]
 
 

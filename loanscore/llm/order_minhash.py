@@ -319,12 +319,10 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
         # Another member speaks for its class in each round.
         entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words")
         speakers = placed.df.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
-        crossing = (
-            speakers.join(unsettled.df, "bucket")
-            .select("label", "one", F.explode("reps").alias("rep"))
-            .where((F.col("label") != F.col("rep.label")) & _long_enough(F.col("one.n_words"), F.col("rep.n_words"), least))
-            .select(*_pairs(F.col("rep.node"), F.col("one.node")))
-        )
+        others = F.filter("reps", lambda rep: (F.col("label") != rep["label"]) & _long_enough(F.col("one.n_words"), rep["n_words"], least))
+        # Buckets of one passage hold the same classes: a member and its partners are one row before they become pairs.
+        partners = speakers.join(unsettled.df, "bucket").select("one.node", F.transform(others, lambda rep: rep["node"]).alias("others"))
+        crossing = partners.distinct().select("node", F.explode("others").alias("rep")).select(*_pairs(F.col("rep"), F.col("node")))
         fresh = written(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         links = written(_verified(fresh, wanted, least), "links")
         found, tried = found.union(links), tried.union(fresh)

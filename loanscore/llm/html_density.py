@@ -12,11 +12,14 @@ tag are computed::
 densities. The element with the largest sum is the core of the text. From it
 the result climbs towards the body while all that an ancestor adds is text of
 the page's own: headings, and elements whose density reaches the threshold,
-the least density on the path from the body to the core. Where the page
-declares ``article`` or ``main`` elements, the search stays inside the
-largest of them and the climb takes all of it.
-
-The text is that subtree's blocks in page order, joined by one line feed.
+the least density on the path from the body to the core. The core is searched
+on the whole page, whatever elements it declares. ``article`` and ``main`` only
+add to what density chose: if the core lies in such an element, the climb starts
+from the whole (outermost) element, and the page's other outermost ones are
+taken too unless all their text is links. A page whose ``article`` and ``main``
+elements are all without text declares that it has none.
+
+The text is those subtrees' blocks in page order, joined by one line feed.
 Character references are decoded; white space inside a block becomes one
 space; ``br`` is white space. Nothing else is dropped or capped.
 
@@ -214,6 +217,17 @@ def _postorder(root: Node) -> list[Node]:
     return order[::-1]
 
 
+def _preorder(root: Node) -> list[Node]:
+    """The elements that are kept, in page order."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if not node.dropped:
+            order.append(node)
+            stack.extend(child for child in reversed(node.children) if isinstance(child, Node))
+    return order
+
+
 def _measure(order: list[Node]) -> None:
     """Counts of every subtree, then every density."""
     for node in order:
@@ -240,26 +254,28 @@ def _density_sum(node: Node) -> float:
     return sum(child.density for child in node.children if isinstance(child, Node) and not child.dropped)
 
 
-def main_node(root: Node) -> Node | None:
-    """The subtree that holds the main text; None without text."""
+def main_nodes(root: Node) -> list[Node]:
+    """The subtrees that hold the main text, in page order; none without text."""
     order = _postorder(root)
     _measure(order)
     declared = [n for n in order if n.tag in ("article", "main")]
     outer = [n for n in declared if not _within(n, declared)]
-    top = max(outer, key=lambda n: n.chars, default=root)
-    if not top.chars:
-        return None
-    core = max((n for n in order if n is top or not outer or _within(n, [top])), key=lambda n: (_density_sum(n), n.density))
-    if outer:
-        return top
+    if not root.chars or outer and not any(n.chars for n in outer):
+        return []
+    core = max(order, key=lambda n: (_density_sum(n), n.density))
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    for below, node in zip(path, path[1:]):
-        if not all(_own_text(child, threshold) for child in node.children if child is not below):
-            return below
-    return root
+    held = next((at for at, n in enumerate(path) if any(n is o for o in outer)), 0)
+    at = held
+    while at + 1 < len(path) and all(_own_text(child, threshold) for child in path[at + 1].children if child is not path[at]):
+        at += 1
+    top = path[at]
+    tops = [top]
+    if any(path[held] is o for o in outer):
+        tops += [o for o in outer if o is not top and not _within(o, [top]) and o.chars > o.link_chars]
+    return tops if len(tops) == 1 else [n for n in _preorder(root) if any(n is t for t in tops)]
 
 
 def _own_text(child: Node | str, threshold: float) -> bool:
@@ -307,8 +323,7 @@ def blocks(top: Node) -> list[str]:
 
 def main_text(html: str) -> str:
     """The main text of one page."""
-    top = main_node(parse(html))
-    return "\n".join(blocks(top)) if top is not None else ""
+    return "\n".join(block for top in main_nodes(parse(html)) for block in blocks(top))
 
 
 def extractor():

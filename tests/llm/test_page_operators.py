@@ -107,6 +107,24 @@ def test_main_text(html, text):
     assert html_density.main_text(html or "") == text
 
 
+SHORT = "".join(f"<p>Short {i} it is.</p>" for i in range(4))
+SHORT_TEXT = "\n".join(f"Short {i} it is." for i in range(4))
+
+DECLARED = [
+    (f"<body><article>{ARTICLE}</article><article>{SHORT}</article></body>", EXPECTED + "\n" + SHORT_TEXT),  # split in two
+    (f"<body><div><article>{SHORT}</article></div><div>{NOISE}</div><article>{ARTICLE}</article></body>", SHORT_TEXT + "\n" + EXPECTED),
+    (f"<body><article><a href=/t>Teaser of it</a></article><div>{ARTICLE}</div></body>", EXPECTED),  # the text stands outside
+    (f"<body><article></article><article>{ARTICLE}</article></body>", EXPECTED),
+    (f"<body><article><section>{ARTICLE}</section><section>{SHORT}</section></article><div>{NOISE}</div></body>", EXPECTED + "\n" + SHORT_TEXT),
+    ("<body><article></article><p>words</p></body>", ""),
+]
+
+
+@pytest.mark.parametrize("html, text", DECLARED, ids=range(len(DECLARED)))
+def test_density_decides_on_pages_with_articles(html, text):
+    assert html_density.main_text(html) == text
+
+
 def test_extract(spark):
     rows = [(n, None if n == 2 else f"u{n}", h, "old", "t") for n, (h, _) in enumerate(PAGES)] * 2
     out = html_density.extract(spark.createDataFrame(rows, "page_id long, url string, html string, TEXT string, row string"))

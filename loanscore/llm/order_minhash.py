@@ -299,8 +299,10 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
     links = written(_verified(tried, wanted, least), "links")
     found, turn = links, 1
     labels, unsettled = Written(met.withColumn("label", F.col("node")), "classes"), None
-    while not links.isEmpty():
-        labels = _joined(labels, links)
+    linked = not links.isEmpty()
+    while linked or turn == 1:  # the second round also runs if none of the first choices is a link
+        if linked:
+            labels = _joined(labels, links)
         turn += 1
         rows = placed.df.select("bucket", "node", "n_words")
         if unsettled:  # a bucket of one class stays so
@@ -325,7 +327,7 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
         crossing = partners.distinct().select("node", F.explode("others").alias("rep")).select(*_pairs(F.col("rep"), F.col("node")))
         fresh = written(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         links = written(_verified(fresh, wanted, least), "links")
-        found, tried = found.union(links), tried.union(fresh)
+        found, tried, linked = found.union(links), tried.union(fresh), not links.isEmpty()
     used.extend([placed, unsettled] if unsettled else [placed])
     return found, labels.df, [*used, labels]
 

@@ -97,6 +97,16 @@ def test_chains_through_large_buckets_are_found(spark):
     assert as_partition([got[i] for i, _ in rows]) == as_partition(brute_classes(rows))
 
 
+def test_pairs_are_tried_although_no_first_choice_is_a_link(spark):
+    passage = [f"p{i}" for i in range(150)]
+    b = passage + [f"b{i}" for i in range(50)]
+    texts = [passage + [f"a{i}" for i in range(50)], b, b[:170] + [f"c{i}" for i in range(30)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.class_id for r in om.near_duplicates(frame).collect()}
+    assert got == {0: 0, 1: 1, 2: 1}
+
+
 def test_awkward_documents(spark):
     docs = documents(spark)
     out = om.near_duplicates(docs)

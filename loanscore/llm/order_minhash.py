@@ -10,13 +10,17 @@ sketch sensitive to edit similarity and not just to the set of words.
 
 Candidates. Texts with equal words are one node from the start. In every
 bucket of two or more nodes, nodes are paired with representatives of the
-bucket only, never with each other, so pairs grow with the rows. First, every
+bucket only, not with each other, so pairs grow with the rows. First, every
 bucket's smallest node represents it, and a node is tried with the one it
 shares most buckets with. In later rounds every class that a bucket still
 holds sends one member, chosen by a hash that changes with the round, and
 these are tried with members of ``HEADS`` classes, chosen likewise. Rounds go
-on until one links nothing.
-No bucket is capped. Pairs whose word counts rule the similarity out are left
+on until one links nothing. They only make the classes of a bucket fewer; what
+is left is tried completely: in every bucket that still holds several classes,
+all pairs of nodes of different classes are compared, in blocks of ``BLOCK_NODES``
+nodes, by their word counts in ``BINS`` bins, which no pair similar enough can
+fail, and the pairs that pass are aligned. Buckets of equal nodes are one bucket
+here. No bucket is capped. Pairs whose word counts rule the similarity out are left
 out before any text is fetched.
 
 Verification. A pair is a link if the word edit distance is at most
@@ -57,6 +61,8 @@ SAMPLES = 3
 SKETCHES = 64
 SIMILARITY = 0.8
 HEADS = 4  # classes of a bucket that are tried with its others in one round
+BLOCK_NODES = 1024  # nodes of a bucket that are compared with each other, or with as many others, at once
+BINS = 512  # of a text's words, by their hash
 BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 BLOCK_KMERS = 8192  # k-mers hashed at once
 
@@ -270,6 +276,95 @@ def _long_enough(a: Column, b: Column, least: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * least
 
 
+def _word_bins():
+    """A Spark function text -> how many of its words fall in each bin, 255 at most (a byte each)."""
+
+    @F.arrow_udf("binary")
+    def binned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in (part for whole in batches for part in array_slices(whole, BATCH_BYTES)):
+            found = []
+            for text in batch:
+                counts = np.zeros(BINS, np.int64)
+                for words in folded_words(text.as_py(), 1_000_000):
+                    counts += np.bincount((word_hashes(words) % _U(BINS)).astype(np.int64), minlength=BINS)
+                found.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+            yield pa.array(found, pa.binary())
+
+    return binned
+
+
+def block_pairs(block: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): the nodes of one block whose labels differ and whose lengths and bins do not rule the similarity out.
+
+    block: (low, high, part, node, label, n_words, bins); parts low and high are compared.
+    """
+    part, node, label, words = (block[c].to_numpy() for c in ("part", "node", "label", "n_words"))
+    bins = np.frombuffer(b"".join(block["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
+    sums = bins.sum(axis=1, dtype=np.int64)
+    low, high = block["low"][0].as_py(), block["high"][0].as_py()
+    right = np.flatnonzero(part == high)
+    lefts, rights = [], []
+    for at in np.flatnonzero(part == low):
+        others = right[right > at] if low == high else right
+        longer = np.maximum(words[others], words[at])
+        fits = (label[others] != label[at]) & (np.minimum(words[others], words[at]) >= longer * least - 1e-9)
+        others, longer = others[fits], longer[fits]
+        if not len(others):
+            continue
+        common = np.minimum(bins[others], bins[at]).sum(axis=1, dtype=np.int64)
+        others = others[np.maximum(sums[others], sums[at]) - common <= (1 - least) * longer + 1e-9]
+        lefts.append(np.full(len(others), node[at]))
+        rights.append(node[others])
+    if not lefts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    left, other = np.concatenate(lefts), np.concatenate(rights)
+    return np.minimum(left, other), np.maximum(left, other)
+
+
+def _blocks_paired(least: float):
+    """A function for mapInArrow over rows sorted by block: its pairs (a, b)."""
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs_of(block: pa.Table) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in block_pairs(block, least)], names=["a", "b"])
+
+        rest: pa.Table | None = None  # the block that is not at its end
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            keys = [rows[c].to_numpy() for c in ("bucket", "low", "high")]
+            starts = [0, *(np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1).tolist()]
+            for start, stop in zip(starts, starts[1:]):
+                yield pairs_of(rows.slice(start, stop - start))
+            rest = rows.slice(starts[-1]) if rows.num_rows else None
+        if rest is not None:
+            yield pairs_of(rest)
+
+    return paired
+
+
+def _rest_pairs(placed: DataFrame, unsettled: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, list[Written]]:
+    """((a, b), tables behind it): all pairs of nodes of different classes in a bucket that word counts do not rule out.
+
+    placed: (node, bucket, n_words, label); unsettled: (bucket); texts: (node, text).
+    """
+    held = placed.join(unsettled, "bucket")
+    mark = F.xxhash64("node")
+    sets = held.groupBy("bucket").agg(F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark, "node")).alias("s2"), F.count(F.lit(1)).alias("n"))
+    one = sets.groupBy("s1", "s2", "n").agg(F.min("bucket").alias("bucket"))  # buckets of equal nodes give equal pairs
+    rows = Written(held.join(one.select("bucket", F.ceil(F.col("n") / BLOCK_NODES).alias("parts")), "bucket"), "rest")
+    wanted = texts.join(rows.df.select("node").distinct().hint("merge"), "node", "left_semi")
+    bins = Written(wanted.select("node", _word_bins()("text").alias("bins")), "bins")
+    parted = rows.df.withColumn("part", F.pmod(F.xxhash64("node", F.lit(BLOCK_NODES)), "parts"))
+    spread = parted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    blocks = spread.select(
+        "bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "label", "n_words"
+    ).join(bins.df.hint("merge"), "node")
+    key = ["bucket", "low", "high"]
+    paired = blocks.repartition(*key).sortWithinPartitions(*key).mapInArrow(_blocks_paired(least), "a long, b long")
+    return paired.distinct(), [rows, bins]
+
+
 def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame, list[Written]]:
     """(links, labels, used): verified pairs, the class of each node that shared a bucket, and the tables behind them.
 
@@ -328,8 +423,15 @@ def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFram
         fresh = written(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         links = written(_verified(fresh, wanted, least), "links")
         found, tried, linked = found.union(links), tried.union(fresh), not links.isEmpty()
-    used.extend([placed, unsettled] if unsettled else [placed])
-    return found, labels.df, [*used, labels]
+    left, behind = _rest_pairs(placed.df, unsettled.df.select("bucket"), wanted, least)
+    fresh = written(left.join(tried, ["a", "b"], "left_anti"), "pairs")
+    for table in behind:
+        table.drop()
+    links = written(_verified(fresh, wanted, least), "links")
+    if not links.isEmpty():
+        labels = _joined(labels, links)
+    used.extend([placed, unsettled])
+    return found.union(links), labels.df, [*used, labels]
 
 
 def _joined(labels: Written, links: DataFrame) -> Written:

@@ -107,6 +107,34 @@ def test_pairs_are_tried_although_no_first_choice_is_a_link(spark):
     assert got == {0: 0, 1: 1, 2: 1}
 
 
+def test_a_large_bucket_is_tried_completely(spark, monkeypatch):
+    monkeypatch.setattr(om, "BLOCK_NODES", 64)  # several blocks
+    rng, passage = random.Random(9), [f"p{i}" for i in range(150)]
+    texts = [passage + [f"u{i}x{j}" for j in range(50)] for i in range(300)]
+    for i in range(12):  # near the text i, with no other five, four or three words in a row in common
+        texts.append([w if j < 150 or j % 3 else f"n{i}x{j}" for j, w in enumerate(texts[i])])
+    order = rng.sample(range(len(texts)), len(texts))
+    frame = spark.createDataFrame([(i, " ".join(texts[i])) for i in order], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in om.near_duplicates(frame).collect()}
+    assert got == {i: i if i < 300 else i - 300 for i in range(312)}
+
+
+def test_bins_rule_out_no_near_pair():
+    rng, pairs = random.Random(2), 0
+    for _ in range(300):
+        a = [b"w%d" % rng.randrange(400) for _ in range(rng.randrange(1, 60))]
+        b = a[:]
+        for _ in range(rng.randrange(len(a) // 4 + 1)):
+            b[rng.randrange(len(b))] = b"x%d" % rng.randrange(9)
+        bins = [np.minimum(np.bincount((om.word_hashes(t) % np.uint64(om.BINS)).astype(int), minlength=om.BINS), 255) for t in (a, b)]
+        block = om.pa.table({"low": [0, 0], "high": [0, 0], "part": [0, 0], "node": [1, 2], "label": [1, 2], "n_words": [len(a), len(b)],
+                             "bins": [x.astype(np.uint8).tobytes() for x in bins]})
+        if om.banded_distance(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)) is not None:
+            pairs += 1
+            assert [x.tolist() for x in om.block_pairs(block, 0.8)] == [[1], [2]]
+    assert pairs > 100
+
+
 def test_awkward_documents(spark):
     docs = documents(spark)
     out = om.near_duplicates(docs)

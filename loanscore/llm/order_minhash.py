@@ -6,7 +6,9 @@ often it occurred before, so repeats count. For each of ``SKETCHES`` hash
 functions the ``SAMPLES`` smallest labelled k-mers are taken and put back into
 text order; their hash is a bucket. Two texts share a bucket only if the same
 k-mers are smallest in both and stand in the same order, which makes the
-sketch sensitive to edit similarity and not just to the set of words.
+sketch sensitive to edit similarity and not just to the set of words. Texts of
+up to ``SHORT_WORDS`` words have further sketches of k-mers of ``SHORT_KMER``
+words, since a changed word leaves them few longer ones.
 
 Candidates. Texts with equal words are one node from the start. In every
 bucket of two or more nodes, nodes are paired with representatives of the
@@ -56,9 +58,11 @@ from pyspark.sql import functions as F
 from loanscore.llm.common import Written, array_slices, folded_words, packed, text_of, with_results
 from loanscore.llm.components import connected_components
 
-KMER = 5
-SAMPLES = 3
-SKETCHES = 64
+KMER = 3
+SAMPLES = 2
+SKETCHES = 48
+SHORT_WORDS = 24  # texts of as many words at most have as many sketches of SHORT_KMER words besides
+SHORT_KMER = 2
 SIMILARITY = 0.8
 HEADS = 4  # classes of a bucket that are tried with its others in one round
 BLOCK_NODES = 1024  # nodes of a bucket that are compared with each other, or with as many others, at once
@@ -101,7 +105,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return mix((sums[ends] - sums[starts]) * _power(_BASE_INVERSE, "down", len(data) + 1)[starts])
 
 
-def labelled_kmers(hashes: np.ndarray, k: int = KMER) -> np.ndarray:
+def labelled_kmers(hashes: np.ndarray, k: int = 5) -> np.ndarray:
     """Hashes of the k-mers in text order, each with the number of equal k-mers before it."""
     if not len(hashes):
         return hashes
@@ -147,6 +151,14 @@ def sketch(labels: np.ndarray, sketches: int = SKETCHES, samples: int = SAMPLES)
     return bucket.view(np.int64)
 
 
+def buckets_of(hashes: np.ndarray) -> np.ndarray:
+    """The buckets of a text's word hashes."""
+    buckets = sketch(labelled_kmers(hashes, KMER))
+    if len(hashes) > SHORT_WORDS:
+        return buckets
+    return np.unique(np.concatenate([buckets, sketch(labelled_kmers(hashes, SHORT_KMER))]))
+
+
 def describe(text: str) -> tuple[bytes, int, np.ndarray]:
     """(digest of the words, number of words, buckets) of one text."""
     digest, hashes, n = hashlib.blake2b(digest_size=16), [], 0
@@ -158,7 +170,7 @@ def describe(text: str) -> tuple[bytes, int, np.ndarray]:
     if not n:
         digest.update(b"\0" + text.encode("utf-8", "surrogatepass"))
         return digest.digest(), 0, np.empty(0, np.int64)
-    return digest.digest(), n, sketch(labelled_kmers(np.concatenate(hashes)))
+    return digest.digest(), n, buckets_of(np.concatenate(hashes))
 
 
 def _describer():

@@ -119,6 +119,26 @@ def test_a_large_bucket_is_tried_completely(spark, monkeypatch):
     assert got == {i: i if i < 300 else i - 300 for i in range(312)}
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+@pytest.mark.parametrize("n", [10, 20, 24, 30, 40, 200, 800])
+def test_near_pairs_with_scattered_edits_share_a_bucket(similarity, n):
+    rng, trials, met = random.Random(n), 60, 0
+    for trial in range(trials):
+        first = [f"w{trial}x{i}" for i in range(n)]
+        second = first[:]
+        for at in rng.sample(range(n), int((1 - similarity) * n + 1e-9)):
+            second[at] = f"e{trial}x{at}"
+        met += bool(set(om.describe(" ".join(first))[2].tolist()) & set(om.describe(" ".join(second))[2].tolist()))
+    assert met >= 0.95 * trials
+
+
+def test_short_texts_with_the_middle_word_changed_share_a_bucket():
+    for n in (5, 6, 10, 11):
+        first = [f"w{i}" for i in range(n)]
+        second = first[: n // 2] + ["other"] + first[n // 2 + 1 :]
+        assert set(om.describe(" ".join(first))[2].tolist()) & set(om.describe(" ".join(second))[2].tolist()), n
+
+
 def test_bins_rule_out_no_near_pair():
     rng, pairs = random.Random(2), 0
     for _ in range(300):

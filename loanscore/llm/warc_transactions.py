@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_BYTES = 16_000_000
+PIECE_BYTES = 65_536  # of a cut archive, unzipped at once
 RECORD_END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -189,8 +190,16 @@ def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
 def _unzipped(data: bytes) -> bytes:
     try:
         return gzip.decompress(data)
-    except EOFError:  # cut off: what is whole is read
-        return zlib.decompressobj(31).decompress(data)
+    except EOFError:  # cut off: what is whole is read, member by member
+        parts, at = [], 0
+        while at < len(data):
+            member = zlib.decompressobj(31)
+            while at < len(data) and not member.eof:
+                parts.append(member.decompress(data[at : at + PIECE_BYTES]))
+                at = min(at + PIECE_BYTES, len(data)) - len(member.unused_data)
+            while data[at : at + 1] == b"\0":  # padding
+                at += 1
+        return b"".join(parts)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -223,7 +232,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def payload_of(block: Column) -> Column:
     """What follows the HTTP head of a record's block."""
-    at = F.instr(F.decode(F.substr(block, F.lit(1), F.lit(65536)), "ISO-8859-1"), "\r\n\r\n")
+    near = F.instr(F.decode(F.substr(block, F.lit(1), F.lit(65536)), "ISO-8859-1"), "\r\n\r\n")
+    at = F.when(near > 0, near).otherwise(F.instr(F.decode(block, "ISO-8859-1"), "\r\n\r\n"))
     return F.when(at > 0, F.substr(block, at + F.lit(4))).otherwise(F.lit(b""))
 
 

@@ -210,3 +210,22 @@ def test_records_are_cut_by_length_in_any_gzip_form():
 def test_base32(spark):
     rows = spark.createDataFrame([("",), ("a",), ("\u00e9" * 99,)], "t string").select("t", warc_transactions.sha1_base32(F.col("t")).alias("d"))
     assert all(r.d == sha1(r.t) for r in rows.collect())
+
+
+def test_cut_archive_gzipped_by_record_keeps_its_whole_records():
+    def record(i):
+        block = hashlib.sha512(b"%d" % i).hexdigest().encode() * (3000 if i == 2 else 1)
+        return b"WARC/1.1\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n" % (i, len(block)) + block + b"\r\n\r\n"
+
+    data = b"".join(gzip.compress(record(i)) for i in range(5))
+    whole = list(warc_transactions.parse_records(data))
+    found = list(warc_transactions.parse_records(data[:-20]))
+    assert len(whole) == 5 and found[:4] == whole[:4]
+    assert list(warc_transactions.parse_records(data[: len(data) - len(gzip.compress(record(4))) + 5])) == whole[:4]
+
+
+def test_payload_after_a_long_head(spark):
+    heads = [b"HTTP/1.1 200 OK\r\nX: " + b"x" * n + b"\r\n\r\n" for n in (10, 65_530, 200_000)]
+    frame = spark.createDataFrame([(i, bytearray(h + b"body\r\n\r\nmore")) for i, h in enumerate(heads)] + [(3, bytearray(b"no head"))], "i int, block binary")
+    got = {r.i: bytes(r.p) for r in frame.select("i", warc_transactions.payload_of(F.col("block")).alias("p")).collect()}
+    assert got == {0: b"body\r\n\r\nmore", 1: b"body\r\n\r\nmore", 2: b"body\r\n\r\nmore", 3: b""}

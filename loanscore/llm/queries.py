@@ -18,11 +18,14 @@ from loanscore.llm import (
     chat_parts,
     host_quality,
     html_density,
+    importance_resampling,
     order_minhash,
+    quality_classifier,
     suffix_decontam,
     token_counts,
     url_equivalence,
     warc_transactions,
+    whitening,
 )
 from loanscore.llm.common import table
 from loanscore.session import delete_on_exit, scratch_path
@@ -170,6 +173,23 @@ def op10_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, carry=["vec_id"])
+
+
+def op12_segment_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    drawn = importance_resampling.resample(docs.select("doc_id", "text"), target.select("text"), carry=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.classify(docs, model, carry=["doc_id"])
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_order_minhash": op1_order_minhash,
@@ -182,6 +202,9 @@ def registry() -> dict[str, Query]:
         "op8_bin_packing": op8_bin_packing,
         "op9_token_counts": op9_token_counts,
         "op10_warc_transactions": op10_warc_transactions,
+        "op11_qdwh_whitening": op11_qdwh_whitening,
+        "op12_segment_resampling": op12_segment_resampling,
+        "op13_subword_quality": op13_subword_quality,
     }
 
 
@@ -299,6 +322,47 @@ SELECT d.page_id, strlen(d.html)::BIGINT AS payload_bytes,
 FROM digits d JOIN first f ON f.html = d.html
 """
 
+# CRC-32 is computed once for each distinct word, from a table made by its rule.
+OP12_SQL = r"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS tab FROM range(256) AS t(b)
+), d AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), dw AS (SELECT n, unnest(words) AS word FROM d),
+bw AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+), coded AS (
+  SELECT word, hex(word) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)
+), bytes AS (
+  SELECT word, list_transform(range(1, length(h), 2), lambda i: (strpos('0123456789ABCDEF', substr(h, i::INT, 1)) - 1) * 16
+                                                               + strpos('0123456789ABCDEF', substr(h, i::INT + 1, 1)) - 1) AS bs FROM coded
+), buckets AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, bs), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS b
+  FROM bytes, crc
+), corpus AS (SELECT b, count(*) AS s FROM dw JOIN buckets USING (word) GROUP BY b),
+target AS (SELECT b, count(*) AS t FROM bw JOIN buckets USING (word) GROUP BY b),
+totals AS (SELECT (SELECT count(*) FROM dw) AS ss, (SELECT count(*) FROM bw) AS tt),
+gains AS (
+  SELECT b, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000)) / ((coalesce(s, 0) + 1)::DOUBLE * (tt + 10000))))::BIGINT AS gain
+  FROM corpus FULL JOIN target USING (b), totals
+), weights AS (
+  SELECT n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM dw JOIN buckets USING (word) JOIN gains USING (b) GROUP BY n
+), scored AS (
+  SELECT d.n, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                    / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights ON weights.n = d.n
+), drawn AS (
+  SELECT n, row_number() OVER (ORDER BY score DESC, doc_id, n) AS place, count(*) OVER () AS among FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= among * 10 // 100 THEN place END AS rank
+FROM scored LEFT JOIN drawn ON drawn.n = scored.n
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -307,4 +371,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_host_quality": OP4_SQL,
         "op7_chat_parts": OP7_SQL,
         "op10_warc_transactions": OP10_SQL,
+        "op12_segment_resampling": OP12_SQL,
     }

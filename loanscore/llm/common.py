@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -41,6 +42,25 @@ class Written:
         delete_path(self.spark, self.path)
 
 
+class Bucketed:
+    """A frame written once to the shared checkpoint folder, dealt by one column, and read back.
+
+    The table has as many buckets as ``spark.sql.shuffle.partitions``, so joins
+    on the column move only the other side. Its catalog entry goes at once;
+    the files go when the driver ends.
+    """
+
+    def __init__(self, df: DataFrame, name: str, column: str):
+        spark = df.sparkSession
+        path, entry = scratch_path(spark, name), f"{name}_{uuid.uuid4().hex}"
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = df.repartition(n, column).write.format("parquet").option("compression", "zstd").option("path", path)
+        dealt.bucketBy(n, column).saveAsTable(entry)
+        delete_on_exit(spark, path)
+        self.df = spark.table(entry)
+        spark.sql(f"DROP TABLE {entry}")
+
+
 def with_results(df: DataFrame, carried: str, results: dict[str, Column]) -> DataFrame:
     """Columns packed in the struct ``carried``, then ``results``.
 
@@ -87,6 +107,19 @@ def array_slices(array: pa.Array, limit: int) -> Iterator[pa.Array]:
         yield array.slice(start)
 
 
+def pair_slices(left: pa.Array, right: pa.Array, limit: int) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Slices of two equally long string arrays of about ``limit`` bytes together; a longer pair stands alone."""
+    start = size = 0
+    lengths = pc.add(*[pc.cast(pc.binary_length(side), pa.int64()).fill_null(0) for side in (left, right)])
+    for i, length in enumerate(lengths.to_pylist()):
+        if i > start and size + length > limit:
+            yield left.slice(start, i - start), right.slice(start, i - start)
+            start, size = i, 0
+        size += length
+    if start < len(left):
+        yield left.slice(start), right.slice(start)
+
+
 #: A-Z lower-cased, every other ASCII character that is no letter or digit a space.
 _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)

@@ -10,32 +10,40 @@ sketch sensitive to edit similarity and not just to the set of words. Texts of
 up to ``SHORT_WORDS`` words have further sketches of k-mers of ``SHORT_KMER``
 words, since a changed word leaves them few longer ones.
 
-Candidates. Texts with equal words are one node from the start. In every
-bucket of two or more nodes, nodes are paired with representatives of the
-bucket only, not with each other, so pairs grow with the rows. First, every
-bucket's smallest node represents it, and a node is tried with the one it
+Word bins. Each text also has its words counted in bins (a byte each, about one
+bin for every one or two words). From two texts' bins follows a least edit
+distance, so bins rule pairs out before any text is fetched, and never one
+that is similar enough.
+
+Candidates. Texts with equal words are one node from the start. First, every
+bucket's smallest node leads it, and each other node is tried with the leader it
 shares most buckets with. In later rounds every class that a bucket still
 holds sends one member, chosen by a hash that changes with the round, and
-these are tried with members of ``HEADS`` classes, chosen likewise. Rounds go
-on until one links nothing. They only make the classes of a bucket fewer; what
-is left is tried completely: in every bucket that still holds several classes,
-all pairs of nodes of different classes are compared, in blocks of ``BLOCK_NODES``
-nodes, by their word counts in ``BINS`` bins, which no pair similar enough can
-fail, and the pairs that pass are aligned. Buckets of equal nodes are one bucket
-here. No bucket is capped. Pairs whose word counts rule the similarity out are left
-out before any text is fetched.
-
-Verification. A pair is a link if the word edit distance is at most
-(1 - ``SIMILARITY``) of the longer text, computed by a bit-parallel alignment
-inside a diagonal band that is widened up to what this distance allows. Word counts that rule the
-distance out are tried first.
+the heads of ``HEADS`` classes, chosen likewise, are its partners; each member is
+tried with the ``HEADS`` new partners it shares most buckets with. Rounds go
+on until one links nothing; they make the classes of a bucket fewer. What is
+left is then tried completely. In a bucket of up to ``LARGE_BUCKET`` nodes that
+still holds several classes, the bins of all nodes of different classes are
+compared, in blocks of ``BLOCK_NODES`` nodes. The nodes of larger ones are first dealt
+anew by their rarest words: of n words the floor(n * (1 - ``SIMILARITY``)) + 1 rarest
+ones hold at least one word (labelled by occurrence) of every text that is
+similar enough, so only nodes with such a word in common are compared, and a
+passage that many texts share brings no two of them together by itself.
+Buckets of equal nodes are one bucket here. No bucket is capped.
+
+Verification. A pair that its bins do not rule out is a link if the word edit
+distance is at most (1 - ``SIMILARITY``) of the longer text, computed by a
+bit-parallel alignment inside a diagonal band that is widened up to what this
+distance allows. Word counts that rule the distance out are tried first.
 
 Classes are the connected components of the links (``components``); a class
 is named by its smallest document id.
 
-Nothing but row counts reaches the driver. Tables between the steps are
+Nothing but row counts and the ``RARITY`` word counters reaches the driver. Texts cross
+the network once, into a table dealt by node; later steps fetch the few texts,
+sketches and bins they need without moving the others. Tables between the steps are
 written to the shared folder, and joins run between written tables, so hot
-classes, buckets and representatives can be split.
+classes, buckets and leaders can be split.
 
 Defined results: a null text is empty; texts without words are alike only if
 they are equal; texts of fewer than ``KMER`` words are one k-mer. Repeated rows
@@ -55,7 +63,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanscore.llm.common import Written, array_slices, folded_words, packed, text_of, with_results
+from loanscore.llm.common import Bucketed, Written, array_slices, folded_words, packed, pair_slices, text_of, with_results
 from loanscore.llm.components import connected_components
 
 KMER = 3
@@ -64,9 +72,12 @@ SKETCHES = 48
 SHORT_WORDS = 24  # texts of as many words at most have as many sketches of SHORT_KMER words besides
 SHORT_KMER = 2
 SIMILARITY = 0.8
-HEADS = 4  # classes of a bucket that are tried with its others in one round
-BLOCK_NODES = 1024  # nodes of a bucket that are compared with each other, or with as many others, at once
-BINS = 512  # of a text's words, by their hash
+HEADS = 4  # classes of a bucket that others may meet in a round, and new partners that one member meets
+LARGE_BUCKET = 512  # nodes of a larger bucket are dealt by their rarest words before they are compared
+BLOCK_NODES = 1024  # nodes that are compared with each other, or with as many others, at once
+FEWEST_BINS, MOST_BINS = 256, 1 << 16  # of a text's words, by their hash
+COARSE_BINS = 64  # that nodes of a block are compared by first
+RARITY = 1 << 16  # counters of how many texts hold a word, by its hash
 BATCH_BYTES = 4_000_000  # of text: what one step of a task holds, but for a longer text
 BLOCK_KMERS = 8192  # k-mers hashed at once
 
@@ -159,8 +170,40 @@ def buckets_of(hashes: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([buckets, sketch(labelled_kmers(hashes, SHORT_KMER))]))
 
 
-def describe(text: str) -> tuple[bytes, int, np.ndarray]:
-    """(digest of the words, number of words, buckets) of one text."""
+def text_hashes(text: str) -> np.ndarray:
+    """The hashes of a text's words in order."""
+    return np.concatenate([np.empty(0, np.uint64), *[word_hashes(words) for words in folded_words(text, 1_000_000)]])
+
+
+def word_bins(hashes: np.ndarray) -> np.ndarray:
+    """How many words fall in each bin, 255 at most; the number of bins is a power of two that follows the words'."""
+    size = min(max(1 << max(0, len(hashes).bit_length() - 1), FEWEST_BINS), MOST_BINS)
+    counts = np.bincount((hashes & _U(size - 1)).astype(np.int64), minlength=size)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def folded_bins(bins: np.ndarray, size: int) -> np.ndarray:
+    """The same words in fewer bins."""
+    if len(bins) == size:
+        return bins
+    return np.minimum(bins.reshape(-1, size).sum(axis=0, dtype=np.int64), 255).astype(np.uint8)
+
+
+def allowed(longer, least: float):
+    """The edit distance that a pair may have whose longer text has ``longer`` words."""
+    return np.floor((1 - least) * longer + 1e-9)
+
+
+def bins_fit(a: np.ndarray, b: np.ndarray, longer: int, least: float) -> bool:
+    """False if the bins alone show that the edit distance is larger than allowed."""
+    size = min(len(a), len(b))
+    a, b = folded_bins(a, size), folded_bins(b, size)
+    most = max(a.sum(dtype=np.int64), b.sum(dtype=np.int64))
+    return bool(most - np.minimum(a, b).sum(dtype=np.int64) <= allowed(longer, least))
+
+
+def describe(text: str) -> tuple[bytes, int, np.ndarray, bytes]:
+    """(digest of the words, number of words, buckets, word bins) of one text."""
     digest, hashes, n = hashlib.blake2b(digest_size=16), [], 0
     for words in folded_words(text, 1_000_000):
         if words:
@@ -169,15 +212,16 @@ def describe(text: str) -> tuple[bytes, int, np.ndarray]:
             n += len(words)
     if not n:
         digest.update(b"\0" + text.encode("utf-8", "surrogatepass"))
-        return digest.digest(), 0, np.empty(0, np.int64)
-    return digest.digest(), n, buckets_of(np.concatenate(hashes))
+        return digest.digest(), 0, np.empty(0, np.int64), b""
+    joined = np.concatenate(hashes)
+    return digest.digest(), n, buckets_of(joined), word_bins(joined).tobytes()
 
 
 def _describer():
-    @F.arrow_udf("struct<key:binary,n_words:long,buckets:array<long>>")
+    @F.arrow_udf("struct<key:binary,n_words:long,buckets:array<long>,bins:binary>")
     def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in (part for whole in batches for part in array_slices(whole, BATCH_BYTES)):
-            keys, counts, buckets = zip(*[describe(text.as_py() or "") for text in batch])
+            keys, counts, buckets, bins = zip(*[describe(text.as_py() or "") for text in batch])
             ends = np.zeros(len(buckets) + 1, dtype=np.int32)
             np.cumsum([len(b) for b in buckets], out=ends[1:])
             yield pa.StructArray.from_arrays(
@@ -185,8 +229,9 @@ def _describer():
                     pa.array(keys, pa.binary()),
                     pa.array(counts, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(buckets))),
+                    pa.array(bins, pa.binary()),
                 ],
-                names=["key", "n_words", "buckets"],
+                names=["key", "n_words", "buckets", "bins"],
             )
 
     return described
@@ -263,46 +308,57 @@ def alignment_similarity(a: str, b: str, least: float = SIMILARITY) -> float | N
 def _verifier(least: float):
     @F.arrow_udf("double")
     def similarity(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
+        for left, right in (part for whole in batches for part in pair_slices(*whole, BATCH_BYTES)):
             found = [alignment_similarity(a.as_py(), b.as_py(), least) for a, b in zip(left, right)]
             yield pa.array(found, pa.float64())
 
     return similarity
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """(a, b, similarity) for the pairs (a, b) whose alignment is similar enough."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    aligned = both.select("a", "b", _verifier(least)("text_a", "text_b").alias("similarity"))
-    return aligned.where("similarity IS NOT NULL")
+def _bins_checker(least: float):
+    @F.arrow_udf("boolean")
+    def possible(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right, longer in batches:
+            pairs = zip(left, right, longer.to_pylist())
+            found = [bins_fit(*[np.frombuffer(x.as_py(), np.uint8) for x in (a, b)], n, least) for a, b, n in pairs]
+            yield pa.array(found, pa.bool_())
+
+    return possible
 
 
 def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _long_enough(a: Column, b: Column, least: float) -> Column:
-    """False for word counts whose difference alone rules the similarity out."""
-    return F.least(a, b) >= F.greatest(a, b) * least
+def _fetched(pairs: DataFrame, stored: DataFrame, columns: dict[str, Column]) -> tuple[DataFrame, Written]:
+    """The pairs (a, b) with the columns of both ends (name_a, name_b), and the table behind them.
 
+    Only what the pairs need is taken from ``stored`` (dealt by uid), so only that is moved.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    needed = Written(stored.join(ends, "uid").select("uid", *[c.alias(name) for name, c in columns.items()]), "fetched")
+    for end in ("a", "b"):
+        pairs = pairs.join(needed.df.select(F.col("uid").alias(end), *[F.col(name).alias(f"{name}_{end}") for name in columns]), end)
+    return pairs, needed
 
-def _word_bins():
-    """A Spark function text -> how many of its words fall in each bin, 255 at most (a byte each)."""
 
-    @F.arrow_udf("binary")
-    def binned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in (part for whole in batches for part in array_slices(whole, BATCH_BYTES)):
-            found = []
-            for text in batch:
-                counts = np.zeros(BINS, np.int64)
-                for words in folded_words(text.as_py(), 1_000_000):
-                    counts += np.bincount((word_hashes(words) % _U(BINS)).astype(np.int64), minlength=BINS)
-                found.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
-            yield pa.array(found, pa.binary())
+def _possible(pairs: DataFrame, stored: DataFrame, least: float) -> Written:
+    """The pairs (a, b) that neither word counts nor bins rule out."""
+    both, behind = _fetched(pairs, stored, {"n_words": F.col("n_words"), "bins": F.col("bins")})
+    longer = F.greatest("n_words_a", "n_words_b")
+    near = both.where(F.least("n_words_a", "n_words_b") >= longer * least - F.lit(1e-6))
+    found = Written(near.where(_bins_checker(least)("bins_a", "bins_b", longer)).select("a", "b"), "possible")
+    behind.drop()
+    return found
 
-    return binned
+
+def _verified(pairs: DataFrame, stored: DataFrame, text: Column, least: float) -> Written:
+    """(a, b, similarity) for the pairs (a, b) whose alignment is similar enough."""
+    both, behind = _fetched(pairs, stored, {"text": text})
+    aligned = both.select("a", "b", _verifier(least)("text_a", "text_b").alias("similarity"))
+    found = Written(aligned.where("similarity IS NOT NULL"), "links")
+    behind.drop()
+    return found
 
 
 def block_pairs(block: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -311,25 +367,23 @@ def block_pairs(block: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
     block: (low, high, part, node, label, n_words, bins); parts low and high are compared.
     """
     part, node, label, words = (block[c].to_numpy() for c in ("part", "node", "label", "n_words"))
-    bins = np.frombuffer(b"".join(block["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
-    sums = bins.sum(axis=1, dtype=np.int64)
+    bins = [np.frombuffer(b, np.uint8) for b in block["bins"].to_pylist()]
+    coarse = np.stack([folded_bins(b, COARSE_BINS) for b in bins])
+    sums = coarse.sum(axis=1, dtype=np.int32)
     low, high = block["low"][0].as_py(), block["high"][0].as_py()
     right = np.flatnonzero(part == high)
     lefts, rights = [], []
     for at in np.flatnonzero(part == low):
         others = right[right > at] if low == high else right
         longer = np.maximum(words[others], words[at])
-        fits = (label[others] != label[at]) & (np.minimum(words[others], words[at]) >= longer * least - 1e-9)
+        fits = (label[others] != label[at]) & (np.minimum(words[others], words[at]) >= longer * least - 1e-6)
         others, longer = others[fits], longer[fits]
-        if not len(others):
-            continue
-        common = np.minimum(bins[others], bins[at]).sum(axis=1, dtype=np.int64)
-        others = others[np.maximum(sums[others], sums[at]) - common <= (1 - least) * longer + 1e-9]
-        lefts.append(np.full(len(others), node[at]))
-        rights.append(node[others])
-    if not lefts:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    left, other = np.concatenate(lefts), np.concatenate(rights)
+        common = np.minimum(coarse[others], coarse[at]).sum(axis=1, dtype=np.int32)
+        fits = np.maximum(sums[others], sums[at]) - common <= allowed(longer, least)
+        found = [other for other, n in zip(others[fits], longer[fits]) if bins_fit(bins[at], bins[other], n, least)]
+        lefts += [node[at]] * len(found)
+        rights += node[found].tolist()
+    left, other = np.array(lefts, dtype=np.int64), np.array(rights, dtype=np.int64)
     return np.minimum(left, other), np.maximum(left, other)
 
 
@@ -355,95 +409,131 @@ def _blocks_paired(least: float):
     return paired
 
 
-def _rest_pairs(placed: DataFrame, unsettled: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, list[Written]]:
-    """((a, b), tables behind it): all pairs of nodes of different classes in a bucket that word counts do not rule out.
+def _words_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over texts: how many hold a word (labelled by occurrence), by its hash; one row a counter in use."""
+    total = np.zeros(RARITY, np.int64)
+    for batch in batches:
+        for text in batch.column(0):
+            total += np.bincount((labelled_kmers(text_hashes(text.as_py()), 1) % _U(RARITY)).astype(np.int64), minlength=RARITY)
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["counter", "n"])
+
+
+def rarest_words(hashes: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """The labelled words of which every text that is similar enough holds at least one."""
+    words = labelled_kmers(hashes, 1)
+    order = np.lexsort((words, counts[(words % _U(len(counts))).astype(np.int64)]))
+    return words[order[: int(allowed(len(words), least)) + 1]].view(np.int64)
+
+
+def _rare_words(counts: np.ndarray, least: float):
+    @F.arrow_udf("array<long>")
+    def rarest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in (part for whole in batches for part in array_slices(whole, BATCH_BYTES)):
+            yield pa.array([rarest_words(text_hashes(text.as_py()), counts, least) for text in batch], pa.list_(pa.int64()))
+
+    return rarest
+
+
+def _by_rare_words(held: DataFrame, stored: DataFrame, text: Column, least: float) -> DataFrame:
+    """(bucket, node, label): the nodes of ``held`` dealt by their rarest words, those that several classes hold."""
+    nodes = held.select("node", "label").distinct()
+    texts = stored.select(F.col("uid").alias("node"), text.alias("text")).join(nodes, "node")
+    found = texts.select("text").mapInArrow(_words_counted, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(RARITY, np.int64)  # at most so many rows were collected
+    counts[found["counter"].to_numpy()] = found["n"].to_numpy()
+    dealt = Written(texts.select("node", "label", F.explode(_rare_words(counts, least)("text")).alias("bucket")), "dealt").df
+    several = dealt.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
+    return dealt.join(several.select("bucket"), "bucket").select("bucket", "node", "label")
 
-    placed: (node, bucket, n_words, label); unsettled: (bucket); texts: (node, text).
+
+def _rest_pairs(placed: DataFrame, unsettled: DataFrame, stored: DataFrame, text: Column, least: float) -> Written:
+    """(a, b): all pairs of nodes of different classes in a bucket that word counts and bins do not rule out.
+
+    placed: (node, bucket, label); unsettled: (bucket).
     """
-    held = placed.join(unsettled, "bucket")
+    sizes = placed.join(unsettled, "bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    sizes = Written(sizes, "sizes").df
+    held = Written(placed.select("bucket", "node", "label").join(sizes, "bucket"), "held").df
+    rows, large = held.where(F.col("n") <= LARGE_BUCKET).drop("n"), held.where(F.col("n") > LARGE_BUCKET)
+    if not large.isEmpty():
+        rows = Written(rows.union(_by_rare_words(large, stored, text, least)), "rest").df
     mark = F.xxhash64("node")
-    sets = held.groupBy("bucket").agg(F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark, "node")).alias("s2"), F.count(F.lit(1)).alias("n"))
+    sets = rows.groupBy("bucket").agg(F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark, "node")).alias("s2"), F.count(F.lit(1)).alias("n"))
     one = sets.groupBy("s1", "s2", "n").agg(F.min("bucket").alias("bucket"))  # buckets of equal nodes give equal pairs
-    rows = Written(held.join(one.select("bucket", F.ceil(F.col("n") / BLOCK_NODES).alias("parts")), "bucket"), "rest")
-    wanted = texts.join(rows.df.select("node").distinct().hint("merge"), "node", "left_semi")
-    bins = Written(wanted.select("node", _word_bins()("text").alias("bins")), "bins")
-    parted = rows.df.withColumn("part", F.pmod(F.xxhash64("node", F.lit(BLOCK_NODES)), "parts"))
+    rows = Written(rows.join(one.select("bucket", F.ceil(F.col("n") / BLOCK_NODES).alias("parts")), "bucket"), "rest").df
+    needed = stored.select(F.col("uid").alias("node"), "n_words", "bins").join(rows.select("node").distinct(), "node")
+    bins = Written(needed, "bins").df
+    parted = rows.withColumn("part", F.pmod(F.xxhash64("node", F.lit(BLOCK_NODES)), "parts"))
     spread = parted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    blocks = spread.select(
-        "bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "label", "n_words"
-    ).join(bins.df.hint("merge"), "node")
+    blocks = spread.select("bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "label").join(
+        bins.hint("merge"), "node"
+    )
     key = ["bucket", "low", "high"]
     paired = blocks.repartition(*key).sortWithinPartitions(*key).mapInArrow(_blocks_paired(least), "a long, b long")
-    return paired.distinct(), [rows, bins]
+    return Written(paired.distinct(), "pairs")
 
 
-def links_of(nodes: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame, list[Written]]:
-    """(links, labels, used): verified pairs, the class of each node that shared a bucket, and the tables behind them.
+def links_of(nodes: DataFrame, stored: DataFrame, text: Column, least: float) -> tuple[DataFrame, Written]:
+    """(links, labels): verified pairs (a, b), and the class of each node that shared a bucket.
 
-    nodes: (node, n_words, buckets); texts: (node, text).
+    nodes: (node); stored: (uid, n_words, buckets, bins and what ``text`` reads), dealt by uid.
     """
-    all_rows = nodes.select(F.explode("buckets").alias("bucket"), "node", "n_words")
-    shared = all_rows.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("first"), F.count(F.lit(1)).alias("n"))
-    used: list[Written] = []
-
-    def written(df: DataFrame, name: str) -> DataFrame:
-        used.append(Written(df, name))
-        return used[-1].df
-
+    all_rows = stored.join(nodes.select(F.col("node").alias("uid")), "uid").select(F.explode("buckets").alias("bucket"), F.col("uid").alias("node"))
+    shared = all_rows.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
     placed = Written(all_rows.join(shared.where("n > 1").select("bucket", "first"), "bucket"), "buckets")
-    met = placed.df.select("node").distinct()
-    # The nodes that met grow with the corpus, so they are merged with the texts at every size, never broadcast.
-    wanted = written(texts.join(met.hint("merge"), "node", "left_semi"), "candidates")
-    # Each node is first tried with the representative it shares most buckets with.
+    # Each node is first tried with the leader it shares most buckets with.
     firsts = (
-        placed.df.where((F.col("node") != F.col("first.node")) & _long_enough(F.col("n_words"), F.col("first.n_words"), least))
-        .groupBy("node", F.col("first.node").alias("rep"))
+        placed.df.where("node <> first")
+        .groupBy("node", "first")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("node")
-        .agg(F.max(F.struct("n", (-F.col("rep")).alias("minus"))).alias("best"))
+        .agg(F.max(F.struct("n", (-F.col("first")).alias("minus"))).alias("best"))
     )
-    tried = written(firsts.select(*_pairs(-F.col("best.minus"), F.col("node"))).distinct(), "pairs")
-    links = written(_verified(tried, wanted, least), "links")
-    found, turn = links, 1
-    labels, unsettled = Written(met.withColumn("label", F.col("node")), "classes"), None
-    linked = not links.isEmpty()
-    while linked or turn == 1:  # the second round also runs if none of the first choices is a link
+    pairs = Written(firsts.select((-F.col("best.minus")).alias("a"), F.col("node").alias("b")), "pairs")
+    labels = Written(placed.df.select("node").distinct().withColumn("label", F.col("node")), "classes")
+    tried, found, unsettled, turn = pairs.df, None, None, 1
+    while True:
+        possible = _possible(pairs.df, stored, least)
+        links = _verified(possible.df, stored, text, least)
+        possible.drop()
+        linked = not links.df.isEmpty()
+        found = links.df if found is None else found.union(links.df)
         if linked:
-            labels = _joined(labels, links)
+            labels = _joined(labels, links.df)
+        elif turn > 1:  # the second round also runs if none of the first choices is a link
+            break
         turn += 1
-        rows = placed.df.select("bucket", "node", "n_words")
+        rows = placed.df.select("bucket", "node")
         if unsettled:  # a bucket of one class stays so
             rows = rows.join(unsettled.df.select("bucket"), "bucket")
         past = [placed, unsettled] if unsettled else [placed]
         placed = Written(rows.join(labels.df, "node"), "placed")
         # The classes of a bucket that are tried with all others of it, each by one member.
-        heads = [
-            F.min(F.struct(F.xxhash64("label", F.lit(turn), F.lit(i)).alias("rank"), "label", "node", "n_words"))
-            for i in range(HEADS)
-        ]
+        heads = [F.min(F.struct(F.xxhash64("label", F.lit(turn), F.lit(i)).alias("rank"), "label", "node")) for i in range(HEADS)]
         bounds = placed.df.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.array(*heads).alias("reps"))
         unsettled = Written(bounds.where("l0 < l1").select("bucket", "reps"), "unsettled")
         for table in past:
             table.drop()
         # Another member speaks for its class in each round.
-        entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n_words")
-        speakers = placed.df.groupBy("bucket", "label").agg(F.min(entry).alias("one"))
-        others = F.filter("reps", lambda rep: (F.col("label") != rep["label"]) & _long_enough(F.col("one.n_words"), rep["n_words"], least))
+        speakers = placed.df.groupBy("bucket", "label").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node")).alias("one"))
+        others = F.transform(F.filter("reps", lambda rep: F.col("label") != rep["label"]), lambda rep: rep["node"])
         # Buckets of one passage hold the same classes: a member and its partners are one row before they become pairs.
-        partners = speakers.join(unsettled.df, "bucket").select("one.node", F.transform(others, lambda rep: rep["node"]).alias("others"))
-        crossing = partners.distinct().select("node", F.explode("others").alias("rep")).select(*_pairs(F.col("rep"), F.col("node")))
-        fresh = written(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = written(_verified(fresh, wanted, least), "links")
-        found, tried, linked = found.union(links), tried.union(fresh), not links.isEmpty()
-    left, behind = _rest_pairs(placed.df, unsettled.df.select("bucket"), wanted, least)
-    fresh = written(left.join(tried, ["a", "b"], "left_anti"), "pairs")
-    for table in behind:
+        partners = speakers.join(unsettled.df, "bucket").groupBy("one.node", others.alias("others")).agg(F.count(F.lit(1)).alias("n"))
+        crossing = partners.select("node", "n", F.explode("others").alias("rep")).groupBy("node", "rep").agg(F.sum("n").alias("n"))
+        fresh = crossing.select("node", "rep", "n", *_pairs(F.col("rep"), F.col("node"))).join(tried, ["a", "b"], "left_anti")
+        # Of its untried partners, at most HEADS for each of its buckets, a member meets those it shares most buckets with.
+        order = F.struct((-F.col("n")).alias("few"), F.xxhash64("rep", F.lit(turn)).alias("rank"), "a", "b")
+        first = fresh.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(order)), 1, HEADS).alias("best"))
+        pairs = Written(first.select(F.explode("best").alias("p")).select("p.a", "p.b").distinct(), "pairs")
+        tried = tried.union(pairs.df)
+    rest = _rest_pairs(placed.df, unsettled.df.select("bucket"), stored, text, least)
+    links = _verified(rest.df.join(tried, ["a", "b"], "left_anti"), stored, text, least)
+    if not links.df.isEmpty():
+        labels = _joined(labels, links.df)
+    for table in (placed, unsettled):
         table.drop()
-    links = written(_verified(fresh, wanted, least), "links")
-    if not links.isEmpty():
-        labels = _joined(labels, links)
-    used.extend([placed, unsettled])
-    return found.union(links), labels.df, [*used, labels]
+    return found.union(links.df), labels
 
 
 def _joined(labels: Written, links: DataFrame) -> Written:
@@ -468,32 +558,28 @@ def near_duplicates(
     ``kept`` is true for one row of each class.
     """
     carried = docs if carry is None else docs.select(*carry)
-    rows = Written(
-        docs.select(
-            packed(carried).alias("row"),
-            F.col(id_column).alias("id"),
-            text_of(text).alias("text"),
-            F.monotonically_increasing_id().alias("uid"),
-        ).select("row", "id", "text", "uid", _describer()("text").alias("d")).select("row", "id", "text", "uid", "d.*"),
-        "described",
-    ).df
+    rows = docs.select(
+        packed(carried).alias("row"),
+        F.col(id_column).alias("id"),
+        text_of(text).alias("text"),
+        F.monotonically_increasing_id().alias("uid"),
+    ).select("row", "id", "text", "uid", _describer()("text").alias("d"))
+    whole = text in carried.columns  # then the row holds the text, and it is not stored twice
+    kept = ["row", "id", "uid", "d.*"] if whole else ["row", "id", "uid", "text", "d.*"]
+    stored = Bucketed(rows.select(*kept), "described", "uid").df
+    words = F.coalesce(F.col("row").getField(text).cast("string"), F.lit("")) if whole else F.col("text")
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "uid")
     groups = Written(
-        rows.groupBy("key").agg(
-            F.min(rank).alias("first"),
-            F.count(F.lit(1)).alias("copies"),
-            F.any_value("n_words").alias("n_words"),
-            F.any_value("buckets").alias("buckets"),
-        ).select("key", "first", "copies", F.col("first.uid").alias("node"), "n_words", "buckets"),
+        stored.groupBy("key")
+        .agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("copies"))
+        .select("key", "first", "copies", F.col("first.uid").alias("node")),
         "nodes",
     ).df
-    texts = rows.select(F.col("uid").alias("node"), "text")
-    links, labels, used = links_of(groups.select("node", "n_words", "buckets"), texts, least)
+    links, labels = links_of(groups.select("node"), stored, words, least)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    classed = groups.select("key", "first", "copies", "node").join(degree, "node", "left").join(labels, "node", "left")
+    classed = groups.join(degree, "node", "left").join(labels.df, "node", "left")
     classed = Written(classed.withColumn("label", F.coalesce("label", "node")), "classed").df
-    for table in used:
-        table.drop()
+    labels.drop()
     classes = Written(
         classed.groupBy("label").agg(F.min("first").alias("keeper"), F.sum("copies").alias("class_size")), "classes"
     ).df
@@ -503,8 +589,10 @@ def near_duplicates(
         ),
         "named",
     ).df
+    # Keys and their results meet first; the rows are not moved again.
+    judged = Written(stored.select("uid", "key").join(named, "key").drop("key"), "judged").df
     return with_results(
-        rows.select("row", "key", "uid").join(named, "key"),
+        stored.select("row", "uid").join(judged, "uid"),
         "row",
         {
             "class_id": F.col("keeper.id"),

@@ -107,8 +107,10 @@ def test_pairs_are_tried_although_no_first_choice_is_a_link(spark):
     assert got == {0: 0, 1: 1, 2: 1}
 
 
-def test_a_large_bucket_is_tried_completely(spark, monkeypatch):
+@pytest.mark.parametrize("large", [1000, 50])  # by blocks, and dealt by rare words first
+def test_a_large_bucket_is_tried_completely(spark, monkeypatch, large):
     monkeypatch.setattr(om, "BLOCK_NODES", 64)  # several blocks
+    monkeypatch.setattr(om, "LARGE_BUCKET", large)
     rng, passage = random.Random(9), [f"p{i}" for i in range(150)]
     texts = [passage + [f"u{i}x{j}" for j in range(50)] for i in range(300)]
     for i in range(12):  # near the text i, with no other five, four or three words in a row in common
@@ -139,22 +141,88 @@ def test_short_texts_with_the_middle_word_changed_share_a_bucket():
         assert set(om.describe(" ".join(first))[2].tolist()) & set(om.describe(" ".join(second))[2].tolist()), n
 
 
-def test_bins_rule_out_no_near_pair():
-    rng, pairs = random.Random(2), 0
-    for _ in range(300):
-        a = [b"w%d" % rng.randrange(400) for _ in range(rng.randrange(1, 60))]
+def near_and_far(rng, trials, vocabulary=400, longest=60):
+    """Pairs of texts, edited here and there, that are often near."""
+    for _ in range(trials):
+        a = [b"w%d" % rng.randrange(vocabulary) for _ in range(rng.randrange(1, longest))]
         b = a[:]
         for _ in range(rng.randrange(len(a) // 4 + 1)):
-            b[rng.randrange(len(b))] = b"x%d" % rng.randrange(9)
-        bins = [np.minimum(np.bincount((om.word_hashes(t) % np.uint64(om.BINS)).astype(int), minlength=om.BINS), 255) for t in (a, b)]
+            at = rng.randrange(len(b))
+            b[at : at + rng.choice([0, 1, 1])] = [b"x%d" % rng.randrange(9)]
+        yield a, b, om.banded_distance(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)) is not None
+
+
+def test_bins_rule_out_no_near_pair():
+    pairs = 0
+    for a, b, near in [*near_and_far(random.Random(2), 300), *near_and_far(random.Random(4), 60, 5, 900)]:
+        bins = [om.word_bins(om.word_hashes(t)) for t in (a, b)]
         block = om.pa.table({"low": [0, 0], "high": [0, 0], "part": [0, 0], "node": [1, 2], "label": [1, 2], "n_words": [len(a), len(b)],
-                             "bins": [x.astype(np.uint8).tobytes() for x in bins]})
-        if om.banded_distance(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)) is not None:
+                             "bins": [x.tobytes() for x in bins]})
+        if near:
             pairs += 1
+            assert om.bins_fit(*bins, max(len(a), len(b)), 0.8)
             assert [x.tolist() for x in om.block_pairs(block, 0.8)] == [[1], [2]]
     assert pairs > 100
 
 
+def test_bins_of_long_texts_keep_their_counts_when_folded():
+    hashes = om.word_hashes([b"w%d" % (i * i % 997) for i in range(5000)] + [b"often"] * 700)
+    whole = om.word_bins(hashes)
+    assert len(whole) == 4096 and whole.max() == 255 and len(om.word_bins(hashes[:9])) == om.FEWEST_BINS
+    for size in (1024, 64):
+        plain = np.bincount((hashes % np.uint64(size)).astype(int), minlength=size)
+        assert om.folded_bins(whole, size).tolist() == np.minimum(plain, 255).tolist()
+
+
+def test_near_pairs_have_a_rare_word_in_common():
+    counts, pairs = np.array([5, 0, 9, 9, 1, 70, 2], dtype=np.int64), 0
+    for a, b, near in near_and_far(random.Random(6), 400, 20):
+        if near:
+            pairs += 1
+            assert set(om.rarest_words(om.word_hashes(a), counts, 0.8)) & set(om.rarest_words(om.word_hashes(b), counts, 0.8))
+    assert pairs > 100
+
+
+def test_slices_of_pairs_are_bounded_and_whole():
+    left, right = om.pa.array(["a" * 5, None, "", "b" * 40, "c"]), om.pa.array(["d" * 5, "e", "", "f", None])
+    parts = list(om.pair_slices(left, right, 10))
+    assert [len(a) for a, _ in parts] == [1, 2, 1, 1]
+    assert om.pa.concat_arrays([a for a, _ in parts]).equals(left) and om.pa.concat_arrays([b for _, b in parts]).equals(right)
+
+
+@pytest.fixture
+def aligned(monkeypatch):
+    """A list that receives the number of pairs of each verification."""
+    counts, verified = [], om._verified
+
+    def spy(pairs, *rest):
+        counts.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(om, "_verified", spy)
+    return counts
+
+
+@pytest.mark.parametrize("size, changed", [(100, 11), (150, 14), (300, 14)])  # many pairs are just near; none is
+def test_aligned_pairs_grow_with_a_group_not_with_its_square(spark, aligned, size, changed):
+    rng, base, rows = random.Random(11), [f"b{i}" for i in range(100)], []
+    for i in range(size):  # the texts' common base is absent
+        other = set(rng.sample(range(100), changed))
+        rows.append((i, " ".join(f"n{i}x{j}" if j in other else w for j, w in enumerate(base))))
+    out = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    if size < 300:
+        assert as_partition([r.class_id for r in sorted(out, key=lambda r: r.doc_id)]) == as_partition(brute_classes(rows))
+    assert sum(aligned) <= 6 * size, aligned
+
+
+def test_a_large_near_group_is_aligned_few_times_a_text(spark, aligned):
+    rng, base = random.Random(12), [f"b{i}" for i in range(120)]
+    texts = [[w if rng.random() > 0.06 else f"n{i}x{j}" for j, w in enumerate(base)] for i in range(400)]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.class_size for r in om.near_duplicates(frame).collect()} == {400}
+    assert sum(aligned) <= 3 * 400, aligned
+
+
 def test_awkward_documents(spark):
     docs = documents(spark)
     out = om.near_duplicates(docs)

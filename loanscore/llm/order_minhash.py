@@ -20,9 +20,9 @@ bucket's smallest node leads it, and each other node is tried with the leader it
 shares most buckets with. In later rounds every class that a bucket still
 holds sends one member, chosen by a hash that changes with the round, and
 the heads of ``HEADS`` classes, chosen likewise, are its partners; each member is
-tried with the ``HEADS`` new partners it shares most buckets with. Rounds go
-on until one links nothing; they make the classes of a bucket fewer. What is
-left is then tried completely. In a bucket of up to ``LARGE_BUCKET`` nodes that
+tried with the ``HEADS`` new partners it shares most buckets with. Rounds go on
+while more than one in ``PAYING`` of a round's pairs is a link; they only make the
+classes of a bucket fewer. What is left is then tried completely. In a bucket of up to ``LARGE_BUCKET`` nodes that
 still holds several classes, the bins of all nodes of different classes are
 compared, in blocks of ``BLOCK_NODES`` nodes. The nodes of larger ones are first dealt
 anew by their rarest words: of n words the floor(n * (1 - ``SIMILARITY``)) + 1 rarest
@@ -73,6 +73,7 @@ SHORT_WORDS = 24  # texts of as many words at most have as many sketches of SHOR
 SHORT_KMER = 2
 SIMILARITY = 0.8
 HEADS = 4  # classes of a bucket that others may meet in a round, and new partners that one member meets
+PAYING = 10  # a further round is worth it if more than one of so many pairs of the last was a link
 LARGE_BUCKET = 512  # nodes of a larger bucket are dealt by their rarest words before they are compared
 BLOCK_NODES = 1024  # nodes that are compared with each other, or with as many others, at once
 FEWEST_BINS, MOST_BINS = 256, 1 << 16  # of a text's words, by their hash
@@ -497,12 +498,11 @@ def links_of(nodes: DataFrame, stored: DataFrame, text: Column, least: float) ->
         possible = _possible(pairs.df, stored, least)
         links = _verified(possible.df, stored, text, least)
         possible.drop()
-        linked = not links.df.isEmpty()
+        n_links = links.df.count()
+        paid = n_links * PAYING > pairs.df.count()
         found = links.df if found is None else found.union(links.df)
-        if linked:
+        if n_links:
             labels = _joined(labels, links.df)
-        elif turn > 1:  # the second round also runs if none of the first choices is a link
-            break
         turn += 1
         rows = placed.df.select("bucket", "node")
         if unsettled:  # a bucket of one class stays so
@@ -515,6 +515,8 @@ def links_of(nodes: DataFrame, stored: DataFrame, text: Column, least: float) ->
         unsettled = Written(bounds.where("l0 < l1").select("bucket", "reps"), "unsettled")
         for table in past:
             table.drop()
+        if not paid:  # what is left is tried completely
+            break
         # Another member speaks for its class in each round.
         speakers = placed.df.groupBy("bucket", "label").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node")).alias("one"))
         others = F.transform(F.filter("reps", lambda rep: F.col("label") != rep["label"]), lambda rep: rep["node"])

@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanscore.schema import PROFILE_COLUMNS
+from loanscore.schema import PROFILE_COLUMNS, USED_COLUMNS
+
+# The fingerprint of a whole raw row, made where the key is made.
+ROW = "_row"
 
 
 def member_key(bits: int = 512) -> Column:
@@ -20,8 +23,13 @@ def member_key(bits: int = 512) -> Column:
 
 
 def with_member_key(raw: DataFrame, bits: int = 512) -> DataFrame:
-    """Add (or replace) ``member_id`` with the derived member key."""
-    return raw.withColumn("member_id", member_key(bits))
+    """Add (or replace) ``member_id`` with the derived member key, and the row's fingerprint ``ROW``.
+
+    The fingerprint hashes every used column in schema order, so all subjects
+    tell rows of one month and id apart in the same way.
+    """
+    used = [F.col(c) for c in USED_COLUMNS if c in raw.columns]
+    return raw.withColumns({"member_id": member_key(bits), ROW: F.xxhash64(F.lit(0), *used)})
 
 
 def empty_profile_key(bits: int = 512) -> Column:

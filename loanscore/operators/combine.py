@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
-from loanscore.functions.keys import RANK, drop_empty_profiles
+from loanscore.functions.keys import RANK, ROW, drop_empty_profiles
 from loanscore.levels import DEFAULT_LEVELS, DEFAULT_WEIGHTS, Levels, Weights
 from loanscore.operators import defaults, inquiries, loan, payment, personal
 from loanscore.operators.common import cap, fill_zero, latest_per_member, rank_column
@@ -72,11 +72,9 @@ def member_rows(
     """``member_id`` and the named cleaned columns of each member's latest row: one exchange.
 
     Only the named columns cross the shuffle, the key as its binary digest.
-    Rows of one month and id are told apart by these columns only (rows alike
-    in them give the same result), so that others need not be read.
     """
     columns = list(columns)
-    rows = prepared_rows(keyed, bits, tie=[c for c in columns if c in keyed.columns]).withColumn("_key", F.unhex("member_id"))
+    rows = prepared_rows(keyed, bits).withColumn("_key", F.unhex("member_id"))
     out = latest_per_member(rows, "_key", columns, extra_aggs)
     return out.select(F.lower(F.hex("_key")).alias("member_id"), *[c for c in out.columns if c != "_key"])
 
@@ -133,7 +131,7 @@ def member_points(
     return scored.withColumn("total_points", weighted_total(weights))
 
 
-def prepared_rows(keyed: DataFrame, bits: int = 512, tie: Iterable[str] | None = None) -> DataFrame:
+def prepared_rows(keyed: DataFrame, bits: int = 512) -> DataFrame:
     """One row per kept loan with every subject's typed, filled, row-cleaned columns.
 
     Loan installment would be filled with 0 but no loan rule reads it, and the
@@ -142,7 +140,7 @@ def prepared_rows(keyed: DataFrame, bits: int = 512, tie: Iterable[str] | None =
     df = drop_empty_profiles(keyed, "member_id", bits)
     df = df.withColumns(
         {
-            RANK: rank_column(df, tie),
+            RANK: rank_column(df),
             **personal.type_columns(df),
             **payment.type_columns(df),
             **defaults.type_columns(df),
@@ -164,7 +162,7 @@ def prepared_rows(keyed: DataFrame, bits: int = 512, tie: Iterable[str] | None =
         "inq_last_12m": cap("inq_last_12m", inquiries.CAPS["inq_last_12m"]),
         "inq_fi": cap("inq_fi", inquiries.CAPS["inq_fi"]),
     }
-    return df.withColumns(row_rules)
+    return df.withColumns(row_rules).drop(ROW)
 
 
 def member_scores(

@@ -20,7 +20,7 @@ from pyspark.sql.types import (
 )
 
 from loanscore.functions.casts import to_long_trunc, to_month_date
-from loanscore.functions.keys import RANK, drop_empty_profiles, recency
+from loanscore.functions.keys import RANK, ROW, drop_empty_profiles, recency
 
 
 def rename_key(df: DataFrame, key: str) -> DataFrame:
@@ -40,20 +40,26 @@ def unstamped(df: DataFrame) -> DataFrame:
     return df.drop("ingestion_date")
 
 
-def rank_column(raw: DataFrame, tie: Iterable[str] | None = None) -> Column:
+def subject_columns(keyed: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """A subject's raw columns, and the rows' fingerprint where they have one."""
+    return keyed.select(*columns, *[c for c in (ROW,) if c in keyed.columns])
+
+
+def rank_column(raw: DataFrame) -> Column:
     """The rank of each raw row (``id`` and ``issue_d`` as read) within its member.
 
-    Rows of one member with the same month and id are told apart by a hash of
-    their ``tie`` columns (all by default), so the latest row does not depend
-    on the order of the input.
+    Rows of one member with the same month and id are told apart by their
+    fingerprint, so the latest row depends neither on the order of the input
+    nor on the columns a consumer reads. Frames without fingerprints are told
+    apart by all their columns.
     """
     types = {f.name: f.dataType for f in raw.schema.fields}
-    row = F.xxhash64(F.lit(0), *[F.col(c) for c in (raw.columns if tie is None else tie)])
+    row = F.col(ROW) if ROW in raw.columns else F.xxhash64(F.lit(0), *[F.col(c) for c in raw.columns])
     return recency(to_month_date("issue_d"), to_long_trunc("id", types["id"]), row)
 
 
 def unranked(df: DataFrame) -> DataFrame:
-    return df.drop(RANK)
+    return df.drop(RANK, ROW)
 
 
 def fill_zero(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loanscore.functions import ladders as L
 from loanscore.functions.casts import to_int_trunc, to_month_date
-from loanscore.functions.keys import RANK
+from loanscore.functions.keys import RANK, ROW
 from loanscore.levels import DEFAULT_LEVELS, Levels
 from loanscore.operators.common import (
     cap,
@@ -15,6 +15,7 @@ from loanscore.operators.common import (
     keep_profiles,
     latest_per_member,
     rank_column,
+    subject_columns,
     rename_key,
     stamp,
 )
@@ -29,7 +30,7 @@ CAPS = {"pub_rec_bankruptcies": 10, "delinq_2yrs": 24, "acc_now_delinq": 5, "mor
 
 
 def details(keyed: DataFrame) -> DataFrame:
-    return keyed.select(*DETAILS)
+    return subject_columns(keyed, DETAILS)
 
 
 def type_columns(df: DataFrame) -> dict[str, Column]:
@@ -46,7 +47,7 @@ def typed(details_df: DataFrame, bits: int = 512, kept: bool = False) -> DataFra
     kept: rows without a profile are gone already, so their key is not compared again.
     """
     df = rename_key(details_df, KEY) if kept else keep_profiles(rename_key(details_df, KEY), KEY, bits)
-    return df.withColumns({RANK: rank_column(df), **type_columns(df)})
+    return df.withColumns({RANK: rank_column(df), **type_columns(df)}).drop(ROW)
 
 
 def filled(typed_df: DataFrame) -> DataFrame:

@@ -78,11 +78,11 @@ def golden_frame(spark: SparkSession) -> DataFrame:
 
 
 def golden_differences(spark: SparkSession, domains: DataFrame) -> DataFrame:
-    """(domain, value, status): values missing from the data or not expected."""
-    gold = golden_frame(spark)
-    unexpected = domains.exceptAll(gold).withColumn("status", F.lit("unexpected"))
-    missing = gold.exceptAll(domains).withColumn("status", F.lit("missing"))
-    return unexpected.unionByName(missing)
+    """(domain, value, status): values missing from the data or not expected, from one aggregate of both."""
+    flagged = domains.withColumn("found", F.lit(True)).unionByName(golden_frame(spark).withColumn("found", F.lit(False)))
+    sides = flagged.groupBy("domain", "value").agg(F.bool_or("found").alias("found"), F.bool_or(~F.col("found")).alias("expected"))
+    one_sided = sides.where("found <> expected")
+    return one_sided.select("domain", "value", F.when(F.col("found"), "unexpected").otherwise("missing").alias("status"))
 
 
 # ---------------------------------------------------------------- maxima

@@ -20,7 +20,7 @@ def test_entry_runs(spark):
 def test_keys_match():
     assert set(registry()) == set(scoring_sql())
     assert set(registry()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
-    assert len(registry()) == 60
+    assert len(registry()) == 61
 
 
 @pytest.fixture(scope="module")

@@ -39,10 +39,19 @@ def test_row_order_does_not_matter_for_ids_beyond_int(spark, big):
     assert want == rows(combine.final_points_joined(big, 256))
 
 
-def test_rows_equal_in_month_and_id_are_repeatable(spark, big):
-    same = big.withColumn("id", F.lit("7"))
+@pytest.mark.parametrize("ident", ["7", None])
+def test_rows_equal_in_month_and_id_give_one_row_to_every_consumer(spark, ident):
+    raw = applications_from_star(spark, SMOKE, BIG_ID_CHANGES).withColumn("id", F.lit(ident).cast("string"))
+    same = with_member_key(raw, 256)
     want = rows(combine.member_scores(same, 256))
-    assert rows(combine.member_scores(same.orderBy(F.rand(1)).repartition(5), 256)) == want
+    shuffled = with_member_key(raw.orderBy(F.rand(1)).repartition(5).select(*reversed(raw.columns)), 256)
+    assert rows(combine.member_scores(shuffled, 256)) == want
+    assert rows(combine.final_points_joined(same, 256)) == want
+    points = combine.member_points(same, 256).withColumnRenamed("member_id", "personal_member_id")
+    assert rows(points.select(*combine.FINAL_COLUMNS)) == want
+    # two consumers that read different columns take them from the same row
+    both = combine.member_rows(same, ("loan_amnt", "total_rec_prncp"), 256).select("member_id", "loan_amnt")
+    assert rows(both) == rows(combine.member_rows(same, ("loan_amnt",), 256))
 
 
 def test_rank_stays_in_a_hash_aggregate(big):

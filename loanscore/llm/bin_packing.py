@@ -4,11 +4,14 @@ Groups (here: equal texts) are taken by falling size and enter the bin with
 the tightest remaining capacity that still holds them; bins are kept in a
 balanced search tree by remaining capacity. The capacity is the smallest one
 (to one part in ``TOLERANCE``) for which no more than the wanted number of
-shards is needed, so shards come out nearly equal in bytes.
-
-At scale the same packing is done on two levels. With unit = total bytes /
-(shards * ``UNITS``), at most shards * UNITS groups are as large as a unit;
-they stay single. Smaller groups are packed best-fit-decreasing into pallets
+shards is needed, so shards come out nearly equal in bytes. A group larger than
+an even share of what it and smaller ones hold (an oversized group) cannot be
+made even by any packing: it gets a shard of its own and leaves the search, and
+the others share the remaining shards evenly.
+
+At scale the same packing is done on two levels. With unit = bytes of the
+groups that are not oversized / (their shards * ``UNITS``), at most shards * UNITS
+of them are as large as a unit; they and the oversized ones stay single. Smaller groups are packed best-fit-decreasing into pallets
 of one unit inside Spark tasks, which leaves at most 2 * shards * UNITS
 pallets and one more for each task. Only these bounded lists (large groups
 and pallets, with their sizes) reach the driver, where they are packed into
@@ -19,8 +22,7 @@ Slots: rows of a shard are spread over buckets of about ``BUCKET_ROWS``,
 numbered inside each bucket and shifted by the rows of the buckets before it,
 so no task numbers a whole shard.
 
-Defined results: a null text is empty and equal to an empty text; a group
-larger than all others together fills a shard of its own; repeated rows each
+Defined results: a null text is empty and equal to an empty text; repeated rows each
 get a slot; with fewer groups than shards some shards stay empty; an empty
 table gives an empty result. Other columns pass through and give way to
 results of their name.
@@ -108,8 +110,26 @@ class Packer:
         return bin_
 
 
+def oversized(sizes: list[int], total: int, bins: int) -> int:
+    """How many of the largest groups (sizes falling, ``total`` of all) are each above an even share of what they leave."""
+    own = 0
+    while own < min(bins - 1, len(sizes)) and sizes[own] * (bins - own) > total:
+        total -= sizes[own]
+        own += 1
+    return own
+
+
 def pack(sizes: list[int], bins: int) -> list[int]:
-    """The bin (from 0) of each size, sizes falling: about the least capacity that needs no more than ``bins``."""
+    """The bin (from 0) of each size, sizes falling.
+
+    Oversized groups get a bin of their own and leave the search; the others
+    share the remaining bins at about the least capacity that needs no more.
+    """
+    own = oversized(sizes, sum(sizes), bins)
+    return [*range(own), *[own + bin_ for bin_ in _pack_evenly(sizes[own:], bins - own)]]
+
+
+def _pack_evenly(sizes: list[int], bins: int) -> list[int]:
 
     def packed_with(capacity: int) -> tuple[list[int], int]:
         packer = Packer(capacity)
@@ -151,7 +171,9 @@ def group_shards(groups: DataFrame, shards: int) -> DataFrame:
     """(key, shard) for the groups (key, size); sizes are at least 1."""
     spark = groups.sparkSession
     total = groups.agg(F.sum("size")).first()[0] or 0
-    unit = max(1, total // (shards * UNITS))
+    largest = [r.size for r in groups.orderBy(F.desc("size")).select("size").limit(shards).toLocalIterator()]
+    own = oversized(largest, total, shards)
+    unit = max(1, (total - sum(largest[:own])) // ((shards - own) * UNITS))
     light = groups.where(F.col("size") < unit).sortWithinPartitions(F.desc("size"), "key")
     pallets = Written(light.mapInArrow(_pallets(unit), "key binary, size long, item long"), "pallets").df
     heavy = Written(groups.where(F.col("size") >= unit).select("key", "size"), "heavy").df

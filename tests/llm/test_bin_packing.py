@@ -56,6 +56,22 @@ def test_pack_uses_no_more_bins_and_fills_evenly(sizes):
         assert max(load.values()) <= 1.02 * sum(sizes) / 8
 
 
+@pytest.mark.parametrize("large", [[2500], [4000], [9900], [3000, 2900], [5000, 2400, 1200], [600] * 3])
+def test_oversized_groups_stand_alone_and_the_others_are_even(large):
+    rng = random.Random(7)
+    rest, left = [], 10_000_000 - 1000 * sum(large)
+    while left:
+        rest.append(min(left, rng.randrange(1, 200)))
+        left -= rest[-1]
+    sizes = sorted([1000 * size for size in large] + rest, reverse=True)
+    load = collections.Counter()
+    for size, bin_ in zip(sizes, bp.pack(sizes, 16)):
+        load[bin_] += size
+    own = sum(size >= 1000 * 625 for size in (1000 * s for s in large))
+    even = sorted(load.values())[: 16 - own]
+    assert len(load) == 16 and max(even) <= 1.02 * min(even)
+
+
 def check(rows, shards):
     by_shard, groups = collections.defaultdict(list), collections.defaultdict(set)
     for r in rows:
@@ -80,6 +96,17 @@ def test_shards_are_even_and_groups_whole(spark, monkeypatch):
     assert max(load.values()) <= 1.02 * sum(load.values()) / 4
 
 
+@pytest.mark.parametrize("percent", [25, 40, 90])
+def test_a_frequent_text_leaves_no_shard_empty(spark, percent):
+    rng = random.Random(percent)
+    rows = [(i, f"{i} " + "y" * rng.randrange(10, 120)) for i in range(4000)]
+    copies = sum(len(t) + 1 for _, t in rows) * percent // (100 - percent) // 101
+    rows += [(10_000 + i, "z" * 100) for i in range(copies)]
+    load = check(bp.shard_documents(documents(spark, rows), shards=16).collect(), 16)
+    even = sorted(load.values())[:15]
+    assert len(load) == 16 and max(even) <= 1.02 * min(even)
+
+
 def test_awkward_documents(spark):
     out = bp.shard_documents(documents(spark), shards=3).collect()
     assert len(out) == len(awkward_texts())

@@ -298,9 +298,10 @@ def alignment_similarity(a: str, b: str, least: float = SIMILARITY) -> float | N
     if not longer:
         return 1.0 if a == b else None
     limit = int((1 - least) * longer + 1e-9)
-    if longer - (Counter(first) & Counter(second)).total() > limit:
+    least_distance = longer - (Counter(first) & Counter(second)).total()
+    if least_distance > limit:
         return None
-    band = min(16, limit)
+    band = min(max(16, least_distance), limit)
     while (distance := banded_distance(first, second, band)) is None and band < limit:
         band = min(4 * band, limit)  # most near copies lie well inside the band that the limit allows
     return None if distance is None else 1 - distance / longer
@@ -336,7 +337,7 @@ def _fetched(pairs: DataFrame, stored: DataFrame, columns: dict[str, Column]) ->
 
     Only what the pairs need is taken from ``stored`` (dealt by uid), so only that is moved.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    ends = pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid"))).distinct()
     needed = Written(stored.join(ends, "uid").select("uid", *[c.alias(name) for name, c in columns.items()]), "fetched")
     for end in ("a", "b"):
         pairs = pairs.join(needed.df.select(F.col("uid").alias(end), *[F.col(name).alias(f"{name}_{end}") for name in columns]), end)
@@ -369,8 +370,9 @@ def block_pairs(block: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
     """
     part, node, label, words = (block[c].to_numpy() for c in ("part", "node", "label", "n_words"))
     bins = [np.frombuffer(b, np.uint8) for b in block["bins"].to_pylist()]
-    coarse = np.stack([folded_bins(b, COARSE_BINS) for b in bins])
-    sums = coarse.sum(axis=1, dtype=np.int32)
+    levels = [np.stack([folded_bins(b, size) for b in bins]) for size in (COARSE_BINS, FEWEST_BINS)]
+    sums = [level.sum(axis=1, dtype=np.int32) for level in levels]
+    finer = np.array([len(b) > FEWEST_BINS for b in bins])
     low, high = block["low"][0].as_py(), block["high"][0].as_py()
     right = np.flatnonzero(part == high)
     lefts, rights = [], []
@@ -379,9 +381,14 @@ def block_pairs(block: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
         longer = np.maximum(words[others], words[at])
         fits = (label[others] != label[at]) & (np.minimum(words[others], words[at]) >= longer * least - 1e-6)
         others, longer = others[fits], longer[fits]
-        common = np.minimum(coarse[others], coarse[at]).sum(axis=1, dtype=np.int32)
-        fits = np.maximum(sums[others], sums[at]) - common <= allowed(longer, least)
-        found = [other for other, n in zip(others[fits], longer[fits]) if bins_fit(bins[at], bins[other], n, least)]
+        for level, total in zip(levels, sums):
+            common = np.minimum(level[others], level[at]).sum(axis=1, dtype=np.int32)
+            fits = np.maximum(total[others], total[at]) - common <= allowed(longer, least)
+            others, longer = others[fits], longer[fits]
+        if finer[at]:  # pairs of longer texts have more bins to tell them apart
+            fits = [not finer[o] or bins_fit(bins[at], bins[o], n, least) for o, n in zip(others, longer)]
+            others = others[np.array(fits, dtype=bool)]
+        found = others
         lefts += [node[at]] * len(found)
         rights += node[found].tolist()
     left, other = np.array(lefts, dtype=np.int64), np.array(rights, dtype=np.int64)

@@ -16,8 +16,10 @@ the least density on the path from the body to the core. The core is searched
 on the whole page, whatever elements it declares. ``article`` and ``main`` only
 add to what density chose: if the core lies in such an element, the climb starts
 from the whole (outermost) element, and the page's other outermost ones are
-taken too unless all their text is links. A page whose ``article`` and ``main``
-elements are all without text declares that it has none.
+taken too unless all their text is links. Elements without text decide nothing:
+text outside an empty ``article`` is found as on any other page.
+
+Time and memory grow with the page's length, however deeply it is nested.
 
 The text is those subtrees' blocks in page order, joined by one line feed.
 Character references are decoded; white space inside a block becomes one
@@ -32,7 +34,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -136,34 +139,68 @@ def _dropped(tag: str, source: str, inside_text: bool) -> bool:
     return bool(words & DROPPED_WORDS)
 
 
+class _Open:
+    """The elements that are open, the page's own first, and where those of each tag stand.
+
+    Every question about what encloses the present place is answered from the
+    places of a few tags, so parsing takes no walk to the root.
+    """
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {root.tag: [0]}
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element with one of the tags; -1 for none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
+    def first_after(self, tags: Iterable[str], place: int) -> int:
+        """The place of the outermost such element beyond a place; -1 for none."""
+        after = []
+        for tag in tags:
+            places = self.places.get(tag, [])
+            at = bisect_right(places, place)
+            after += places[at : at + 1]
+        return min(after, default=-1)
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Ends the element at a place and all in it; the page's own stays open."""
+        while len(self.nodes) > max(place, 1):
+            self.places[self.nodes.pop().tag].pop()
+
+
 def parse(html: str) -> Node:
     """The page's tree without dropped elements' text."""
-    root = node = Node("html", None)
+    root = Node("html", None)
+    opened = _Open(root)
     at, raw = 0, ""  # raw: the open element whose content is not markup
     while at < len(html):
         if raw:
             end = re.compile(rf"</{raw}(?=[\s/>]|$)", re.I).search(html, at)
-            stop = end.start() if end else len(html)
-            node, at, raw = node.parent or root, stop, ""
+            at, raw = end.start() if end else len(html), ""
+            opened.close(len(opened.nodes) - 1)
             continue
         start = html.find("<", at)
         if start < 0:
-            _add_text(node, html[at:])
+            _add_text(opened.nodes[-1], html[at:])
             break
         if start > at:
-            _add_text(node, html[at:start])
+            _add_text(opened.nodes[-1], html[at:start])
         token = _TOKEN.match(html, start)
         if not token:
-            _add_text(node, "<")
+            _add_text(opened.nodes[-1], "<")
             at = start + 1
             continue
         at = token.end()
         if end_tag := token[1]:
-            node = _end(node, end_tag.lower())
+            if (place := opened.last([end_tag.lower()])) > 0:
+                opened.close(place)
         elif token[2]:
-            tag, source = token[2].lower(), token[3] or ""
-            node = _start(node, tag, source)
-            if tag in RAW_TEXT and node.tag == tag:
+            tag = token[2].lower()
+            if _start(opened, tag, token[3] or "") and tag in RAW_TEXT:
                 raw = tag
     return root
 
@@ -173,37 +210,23 @@ def _add_text(node: Node, text: str) -> None:
         node.children.append(unescape(text) if "&" in text else text)
 
 
-def _start(node: Node, tag: str, source: str) -> Node:
+def _start(opened: _Open, tag: str, source: str) -> bool:
+    """Adds the element of a start tag. True if it is open then."""
     if tag in CLOSES:
         closed, limit = CLOSES[tag]
-        found, top = node, None
-        while found is not None and found.tag not in limit:
-            if found.tag in closed:
-                top = found
-            found = found.parent
-        if top is not None and top.parent is not None:
-            node = top.parent
-    elif tag in ENDS_P:
-        found = node
-        while found is not None and found.tag != "p" and found.tag not in P_SCOPE:
-            found = found.parent
-        if found is not None and found.tag == "p" and found.parent is not None:
-            node = found.parent
+        if (place := opened.first_after(closed, opened.last(limit))) > 0:
+            opened.close(place)
+    elif tag in ENDS_P and (place := opened.last(("p",))) > 0 and place > opened.last(P_SCOPE):
+        opened.close(place)
     if tag == "html":
-        return node
-    inside, up = False, node
-    while up is not None and not inside:
-        inside, up = up.tag in ("article", "main"), up.parent
-    child = Node(tag, node, node.dropped or _dropped(tag, source, inside))
+        return False
+    node = opened.nodes[-1]
+    child = Node(tag, node, node.dropped or _dropped(tag, source, opened.last(("article", "main")) >= 0))
     node.children.append(child)
-    return node if tag in VOID or source.rstrip().endswith("/") and tag not in BLOCK | RAW_TEXT else child
-
-
-def _end(node: Node, tag: str) -> Node:
-    found: Node | None = node
-    while found is not None and found.tag != tag:
-        found = found.parent
-    return found.parent if found is not None and found.parent is not None else node
+    if tag in VOID or source.rstrip().endswith("/") and tag not in BLOCK | RAW_TEXT:
+        return False
+    opened.push(child)
+    return True
 
 
 def _postorder(root: Node) -> list[Node]:
@@ -217,17 +240,6 @@ def _postorder(root: Node) -> list[Node]:
     return order[::-1]
 
 
-def _preorder(root: Node) -> list[Node]:
-    """The elements that are kept, in page order."""
-    order, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        if not node.dropped:
-            order.append(node)
-            stack.extend(child for child in reversed(node.children) if isinstance(child, Node))
-    return order
-
-
 def _measure(order: list[Node]) -> None:
     """Counts of every subtree, then every density."""
     for node in order:
@@ -258,24 +270,23 @@ def main_nodes(root: Node) -> list[Node]:
     """The subtrees that hold the main text, in page order; none without text."""
     order = _postorder(root)
     _measure(order)
-    declared = [n for n in order if n.tag in ("article", "main")]
-    outer = [n for n in declared if not _within(n, declared)]
-    if not root.chars or outer and not any(n.chars for n in outer):
+    if not root.chars:
         return []
+    outer = _outermost(root, lambda n: n.tag in ("article", "main"))
+    declared = {id(n) for n in outer}
     core = max(order, key=lambda n: (_density_sum(n), n.density))
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    held = next((at for at, n in enumerate(path) if any(n is o for o in outer)), 0)
+    held = next((at for at, n in enumerate(path) if id(n) in declared), 0)
     at = held
     while at + 1 < len(path) and all(_own_text(child, threshold) for child in path[at + 1].children if child is not path[at]):
         at += 1
-    top = path[at]
-    tops = [top]
-    if any(path[held] is o for o in outer):
-        tops += [o for o in outer if o is not top and not _within(o, [top]) and o.chars > o.link_chars]
-    return tops if len(tops) == 1 else [n for n in _preorder(root) if any(n is t for t in tops)]
+    tops = {id(path[at])}
+    if id(path[held]) in declared:
+        tops |= {id(o) for o in outer if o.chars > o.link_chars}
+    return _outermost(root, lambda n: id(n) in tops)
 
 
 def _own_text(child: Node | str, threshold: float) -> bool:
@@ -284,13 +295,16 @@ def _own_text(child: Node | str, threshold: float) -> bool:
     return child.dropped or not child.chars or child.tag in HEADINGS or child.density >= threshold
 
 
-def _within(node: Node, tops: list[Node]) -> bool:
-    up = node.parent
-    while up is not None:
-        if any(up is t for t in tops):
-            return True
-        up = up.parent
-    return False
+def _outermost(root: Node, wanted: Callable[[Node], bool]) -> list[Node]:
+    """The kept elements that are wanted and lie in no other such element, in page order."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if wanted(node):
+            found.append(node)
+        else:
+            stack.extend(child for child in reversed(node.children) if isinstance(child, Node) and not child.dropped)
+    return found
 
 
 def blocks(top: Node) -> list[str]:

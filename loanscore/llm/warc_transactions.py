@@ -7,8 +7,10 @@ the capture with the smallest id is the response, the others are revisit
 records that refer to it. Records are built in DataFrame functions and
 written by Spark's text sink with the record end as line separator, so every
 part file is an archive of whole records and a lost task is simply written
-again. ``FILE_BYTES`` bounds the size of a part file before compression (a
-larger record stands alone), since a reader takes a whole file.
+again. ``FILE_BYTES`` bounds the size of a file before compression, since a
+reader takes a whole file: every task adds up its records' bytes as it goes
+and a record that would pass the bound starts the next file (a larger record
+stands alone).
 
 Reading. Files are read by Spark's binary source, so any store that Spark
 reads will do; records are cut by their ``Content-Length`` alone, whatever
@@ -35,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanscore.llm.common import Written
+
 FILE_BYTES = 16_000_000
 PIECE_BYTES = 65_536  # of a cut archive, unzipped at once
 RECORD_END = "\r\n\r\n"
@@ -57,24 +61,28 @@ def sha1_base32(data: Column) -> Column:
     return F.translate(F.concat(*quads), CONV32, BASE32)
 
 
-def mark_revisits(captures: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(capture_id, url, payload) with payload_digest, payload_bytes and refers_to (null for a response).
-
-    The smallest id of every payload is a partial aggregate over digests
-    only; payloads that occur once never take part in the join.
-    """
-    keyed = captures.select(
+def keyed_captures(captures: DataFrame) -> DataFrame:
+    """(capture_id, url, payload) without nulls in url and payload, with payload_bytes and payload_digest."""
+    return captures.select(
         "capture_id",
         F.coalesce("url", F.lit("")).alias("url"),
         F.coalesce(F.col("payload").cast("string"), F.lit("")).alias("payload"),
     ).select("*", F.octet_length("payload").cast("long").alias("payload_bytes"), sha1_base32(F.col("payload")).alias("payload_digest"))
-    shared = (
-        keyed.where(F.col("payload_bytes") >= min_bytes)
-        .groupBy(F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("bytes"))
-        .agg(F.min("capture_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("digest", "bytes", "first")
-    )
+
+
+def shared_payloads(keyed: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(digest, bytes, first) of every payload that occurs more than once: a partial aggregate over digests only."""
+    same = keyed.where(F.col("payload_bytes") >= min_bytes).groupBy(F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("bytes"))
+    return same.agg(F.min("capture_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "bytes", "first")
+
+
+def mark_revisits(keyed: DataFrame, shared: DataFrame) -> DataFrame:
+    """The captures with refers_to (null for a response).
+
+    Give ``shared`` as a written table: its size is known then, so Spark
+    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and else joins two
+    plain shuffles, of which it splits the captures of a frequent payload.
+    """
     same = (F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("bytes"))
     later = F.col("capture_id").isNull() | (F.col("capture_id") > F.col("first"))
     return keyed.join(shared, same, "left").select(
@@ -158,12 +166,33 @@ def records(marked: DataFrame, warc_date: str) -> DataFrame:
     return rows.select(F.explode(F.array(request, main, metadata)).alias("record"))
 
 
+def _file_numbers(limit: int):
+    """A Spark function bytes of a record -> number of the record's file within its task."""
+
+    @F.arrow_udf("int")
+    def numbers(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        number = size = 0
+        for batch in batches:
+            found = []
+            for length in batch.to_pylist():
+                if size and size + length > limit:
+                    number, size = number + 1, 0
+                size += length
+                found.append(number)
+            yield pa.array(found, pa.int32())
+
+    return numbers.asNondeterministic()
+
+
 def write_archives(captures: DataFrame, path: str, warc_date: str = "2026-01-01T00:00:00Z", min_bytes: int = 0, bytes_per_file: int = FILE_BYTES) -> None:
-    """Writes (capture_id, url, payload) as gzipped archives under ``path``."""
-    mean = captures.agg(F.avg(F.octet_length(F.coalesce(F.col("payload").cast("string"), F.lit(""))))).first()[0] or 0
-    per_file = 3 * max(1, int(bytes_per_file / (mean + 2000)))  # three records for each capture, with their heads
-    lines = records(mark_revisits(captures, min_bytes), warc_date)
-    lines.write.options(lineSep=RECORD_END, compression="gzip", maxRecordsPerFile=per_file).text(path)
+    """Writes (capture_id, url, payload) as gzipped archives in folders by file number under ``path``."""
+    keyed = keyed_captures(captures)
+    shared = Written(shared_payloads(keyed, min_bytes), "shared_payloads")
+    lines = records(mark_revisits(keyed, shared.df), warc_date)
+    size = F.octet_length("record").cast("long") + len(RECORD_END)
+    dealt = lines.select("record", _file_numbers(bytes_per_file)(size).alias("file"))
+    dealt.write.partitionBy("file").options(lineSep=RECORD_END, compression="gzip").text(path)
+    shared.drop()
 
 
 def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:

@@ -1,13 +1,18 @@
 """URL equivalence, HTML extraction and WARC transactions."""
 
 import base64
+import glob
 import gzip
 import hashlib
+import math
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from loanscore.llm import html_density, url_equivalence, warc_transactions
+from loanscore.llm.common import Written
 from loanscore.llm.queries import URL_RULES
 
 # URL equivalence
@@ -89,7 +94,7 @@ PAGES = [
     ("<article><p>unclosed <b>bold<br><p>next &am", "unclosed bold\nnext &am"),
     ('<article><script>var t="</p><p>no";</script><style>p{}</style><!-- <p>no</p> --><p>yes 1 < 2</article>', "yes 1 < 2"),
     ("<article><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></article>", "one\ntwo\nc1\nc2"),
-    ("<article></article><p>other words outside</p>", ""),
+    ("<article></article><p>other words outside</p>", "other words outside"),
     ("<p>Only one paragraph of text here.</p>", "Only one paragraph of text here."),
     ("plain words", "plain words"),
     ("", ""),
@@ -116,7 +121,8 @@ DECLARED = [
     (f"<body><article><a href=/t>Teaser of it</a></article><div>{ARTICLE}</div></body>", EXPECTED),  # the text stands outside
     (f"<body><article></article><article>{ARTICLE}</article></body>", EXPECTED),
     (f"<body><article><section>{ARTICLE}</section><section>{SHORT}</section></article><div>{NOISE}</div></body>", EXPECTED + "\n" + SHORT_TEXT),
-    ("<body><article></article><p>words</p></body>", ""),
+    ("<body><article></article><p>words</p></body>", "words"),
+    (f"<body><main></main><div>{NOISE}</div><div class=post>{ARTICLE}</div></body>", EXPECTED),
 ]
 
 
@@ -125,6 +131,76 @@ def test_density_decides_on_pages_with_articles(html, text):
     assert html_density.main_text(html) == text
 
 
+NESTED = ["<div>", "<li>", "<article>", "<div><li>", "<p><b>", "<td>", "</div>", "<header>"]
+
+
+@pytest.mark.parametrize("tags", NESTED)
+def test_time_grows_with_length_however_deep(tags):
+    def seconds(n):
+        start = time.process_time()
+        text = html_density.main_text(tags * n + "<p>some words")
+        assert text == ("" if tags == "<header>" else "some words")
+        return time.process_time() - start
+
+    short, long = seconds(5_000), seconds(50_000)
+    assert long < 30 * max(short, 0.05)  # 100 times if it grew with the square
+
+
+def slow_densities(node):
+    """(chars, tags, link chars, links) of a subtree counted anew for every element, and the kept elements in it."""
+    text, tags, linked, links, kept = "", 0, "", 0, [node]
+
+    def walk(at, in_link):
+        nonlocal text, tags, linked, links
+        for child in at.children:
+            if isinstance(child, str):
+                text += "".join(child.split())
+                linked += "".join(child.split()) if in_link else ""
+            elif not child.dropped:
+                tags += 1
+                links += child.tag == "a"
+                kept.append(child)
+                walk(child, in_link or child.tag == "a")
+
+    links += node.tag == "a"
+    walk(node, node.tag == "a")
+    return (len(text), tags, len(linked), links), kept
+
+
+def slow_core(root):
+    """The element of the largest density sum, every count and density made from its own walk."""
+    (body_chars, _, body_linked, _), kept = slow_densities(root)
+
+    def density(node):
+        (chars, tags, linked, links), _ = slow_densities(node)
+        if not chars:
+            return 0.0
+        tags, linked, links = max(tags, 1), max(linked, 1), max(links, 1)
+        base = math.log(linked * chars / max(chars - linked, 1) + body_linked / max(body_chars, 1) * chars + math.e)
+        return chars / tags * max(math.log(chars * tags / (linked * links)), 0.0) / math.log(base)
+
+    def total(node):
+        return sum(density(c) for c in node.children if not isinstance(c, str) and not c.dropped)
+
+    sums = {id(n): (total(n), density(n)) for n in kept}
+    return max(sums.values()), sums
+
+
+def test_densities_equal_a_second_computation():
+    pages = [h for h, _ in PAGES + DECLARED if h and len(h) < 10_000]
+    pages += [row["html"] or "" for row in pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist()]
+    for html in pages:
+        root = html_density.parse(html)
+        order = html_density._postorder(root)
+        html_density._measure(order)
+        best, sums = slow_core(root)
+        assert len(sums) == len(order)
+        for node in order:
+            assert (html_density._density_sum(node), node.density) == pytest.approx(sums[id(node)])
+        core = max(order, key=lambda n: (html_density._density_sum(n), n.density))
+        assert sums[id(core)] == pytest.approx(best)
+
+
 def test_extract(spark):
     rows = [(n, None if n == 2 else f"u{n}", h, "old", "t") for n, (h, _) in enumerate(PAGES)] * 2
     out = html_density.extract(spark.createDataFrame(rows, "page_id long, url string, html string, TEXT string, row string"))
@@ -196,6 +272,51 @@ def test_least_bytes_and_small_files(spark, tmp_path):
     assert ("3", "response") in kinds and ("5", "response") in kinds and len(out) == len(CAPTURES)
 
 
+def test_files_are_bounded_with_uneven_sizes(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"{i} " + "x" * (60_000 if i > 180 else 100)) for i in range(200)] + [(500, "u", "y" * 500_000)]
+    out = round_trip(spark, tmp_path, rows, bytes_per_file=200_000).collect()
+    assert len(out) == len(rows)
+    sizes = []
+    for file in glob.glob(str(tmp_path / "archives" / "**" / "*.gz"), recursive=True):
+        with gzip.open(file) as data:
+            found = data.read()
+        sizes.append((len(found), len(list(warc_transactions.parse_records(found)))))
+    assert sum(n for _, n in sizes) == 3 * len(rows)
+    assert all(size <= 200_000 or n == 1 for size, n in sizes)
+    assert max(size for size, _ in sizes) > 500_000 and len(sizes) < 40
+
+
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+def test_captures_of_a_frequent_payload_are_split(spark):
+    old = {key: spark.conf.get(key, None) for key in SKEWED}
+    shared = None
+    try:
+        for key, value in SKEWED.items():
+            spark.conf.set(key, value)
+        digits = F.sha2(F.col("id").cast("string"), 512)
+        payload = F.when(F.col("id") % 2 == 0, F.lit("error page")).otherwise(digits)
+        captures = spark.range(0, 8000, 1, 16).select(F.col("id").alias("capture_id"), digits.alias("url"), payload.alias("payload"))
+        keyed = warc_transactions.keyed_captures(captures)
+        shared = Written(warc_transactions.shared_payloads(keyed), "shared_payloads")
+        marked = warc_transactions.mark_revisits(keyed, shared.df)
+        rows = marked.collect()
+        assert {(r.capture_id % 2, r.refers_to) for r in rows if r.capture_id} == {(0, 0), (1, None)} and len(rows) == 8000
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        if shared:
+            shared.drop()
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_no_captures(spark, tmp_path):
     assert round_trip(spark, tmp_path, []).collect() == []
 

@@ -5,8 +5,10 @@ of text). Its words are numbered by the benchmark's vocabulary, its suffixes
 sorted into a suffix array, and every suffix of the benchmark is looked up in
 it by binary search (all suffixes at once, column by column). The interval
 found holds the places of all verbatim matches of the suffix's first
-``window`` words; matches that go on are joined along their diagonal into
-the longest verbatim match and its location. Shards need no exchange: a
+``window`` words. Matches go on from word to word at every place of an item
+that still fits; ``matches`` holds, for each benchmark row, the longest verbatim
+matches (those within no longer one of that row) with their place in the document
+and the first such place in the item. Shards need no exchange: a
 document's words all lie in one shard, so the job is a map over documents
 and a lost task is simply run again.
 
@@ -57,18 +59,19 @@ class Block:
     numbers: dict[bytes, int]
     probes: np.ndarray  # (n, window): the distinct windows, 0 beyond a short one's end
     lengths: np.ndarray  # words of each window
-    places: list[list[tuple[str, int]]]  # (item, word) of each window
+    items: list[str]  # of each benchmark row
+    places: list[dict[int, list[int]]]  # the words where each window starts, by benchmark row
     pairs: np.ndarray  # the first two words of the windows, packed and sorted
     singles: np.ndarray  # words that are a window alone
 
     @classmethod
     def of(cls, items: list[tuple[str, str]], window: int) -> Block:
         numbers: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], list[tuple[str, int]]] = {}
-        for item, text in items:
+        found: dict[tuple[int, ...], dict[int, list[int]]] = {}
+        for row, (_, text) in enumerate(items):
             ids = [numbers.setdefault(w, len(numbers) + 1) for part in folded_words(text) for w in part]
             for at in range(max(len(ids) - window + 1, 1) if ids else 0):
-                found.setdefault(tuple(ids[at : at + window]), []).append((item, at))
+                found.setdefault(tuple(ids[at : at + window]), {}).setdefault(row, []).append(at)
         probes = np.zeros((len(found), window), dtype=np.int64)
         lengths = np.zeros(len(found), dtype=np.int64)
         for i, ids in enumerate(found):
@@ -76,7 +79,7 @@ class Block:
             lengths[i] = len(ids)
         several = lengths > 1
         pairs = np.unique(probes[several, 0] << 32 | probes[several, 1]) if window > 1 else np.empty(0, np.int64)
-        return cls(window, numbers, probes, lengths, list(found.values()), pairs, np.unique(probes[~several, 0]))
+        return cls(window, numbers, probes, lengths, [item for item, _ in items], list(found.values()), pairs, np.unique(probes[~several, 0]))
 
 
 def _member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -163,28 +166,39 @@ def _document(places: np.ndarray, which: np.ndarray, block: Block) -> dict:
     spans: list[list[int]] = []
     items: set[str] = set()
     for window in np.unique(which).tolist():
-        items.update(item for item, _ in block.places[window])
-    #: matches that are still running: by item word minus document word of the window's first place
-    running: dict[tuple[str, int], list[int]] = {}
-    matches: list[tuple[str, list[int]]] = []
+        items.update(block.items[row] for row in block.places[window])
+    #: by benchmark row: the last place that fits, the window's length, and by its word in the item where the match started
+    running: dict[int, tuple[int, int, dict[int, int]]] = {}
+    matches: set[tuple[str, int, int, int]] = set()
+
+    def close(row: int) -> None:
+        last, length, starts = running[row]
+        start = min(starts.values())
+        word = min(w for w, begun in starts.items() if begun == start)
+        matches.add((block.items[row], word - (last - start), start, last - start + length))
+
     for place, window in zip(places.tolist(), which.tolist()):
-        end = place + int(block.lengths[window])
+        length = int(block.lengths[window])
         if spans and place <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], end)
-        else:
-            spans.append([place, end])
-        item, word = block.places[window][0]
-        match = running.get((item, word - place))
-        if match and place <= match[1] + match[2]:
-            match[2] = max(match[2], end - match[1])
+            spans[-1][1] = max(spans[-1][1], place + length)
         else:
-            match = [word, place, end - place]
-            running[item, word - place] = match
-            matches.append((item, match))
+            spans.append([place, place + length])
+        for row, at in block.places[window].items():
+            last, _, before = running.get(row, (-1, 0, {}))
+            going = before if last == place - 1 else {}
+            starts = {word: going.get(word - 1, place) for word in at}
+            if before and (not going or min(starts.values()) > min(before.values())):
+                close(row)
+            running[row] = place, length, starts
+    for row in running:
+        close(row)
     return {
         "spans": [{"start": a, "end": b} for a, b in spans],
         "items": sorted(items),
-        "matches": [{"item": item, "item_word": m[0], "doc_word": m[1], "length": m[2]} for item, m in matches],
+        "matches": [
+            {"item": item, "item_word": word, "doc_word": start, "length": length}
+            for item, word, start, length in sorted(matches, key=lambda m: (m[2], m))
+        ],
     }
 
 

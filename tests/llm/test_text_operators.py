@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import public_tokenizers
@@ -187,6 +188,53 @@ def test_longest_match_and_its_place(spark):
     assert [(m.item, m.item_word, m.doc_word, m.length) for m in out.matches] == [("1", 3, 2, 17)]
 
 
+def brute_matches(text, items, window):
+    """Every longest run of words shared with an item row, by comparing all places of both."""
+    own, found = words(text), set()
+    for item, item_text in items:
+        theirs = words(item_text)
+        least = min(window, len(theirs))
+        runs = {}
+        for d in range(len(own) if theirs else 0):
+            for w in range(len(theirs)):
+                n = 0
+                while d + n < len(own) and w + n < len(theirs) and own[d + n] == theirs[w + n]:
+                    n += 1
+                if n >= least and (d not in runs or n > runs[d][0]):
+                    runs[d] = n, w
+        reach = -1
+        for d, (n, w) in sorted(runs.items()):
+            if d + n > reach:
+                found.add((str(item), w, d, n))
+                reach = d + n
+    return found
+
+
+REPEATED = [
+    (1, "a b c d e f g h"),
+    (2, "c d e"),  # inside another item
+    (3, "x a b c d y a b c d e z"),  # windows that stand twice
+    (3, "b c d q a b c w"),  # a further row of the item
+    (4, "r r r r r r"),
+    (4, "r r r r r r"),
+    (5, "s t"),
+]
+
+
+@pytest.mark.parametrize("block_chars", [10, 1_000_000])
+def test_matches_equal_brute_force_with_repeated_and_nested_items(spark, block_chars):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefghxyzqw", k=rng.randint(0, 12)) + REPEATED[rng.randrange(7)][1].split()[rng.randint(0, 3) :]) for _ in range(60)]
+    texts += ["r " * 9, "r r s t r r r s t", "a b c d e f g h a b c d e z", "q a b c d e", "s t s t", None]
+    benchmark = spark.createDataFrame(REPEATED, "item_id long, text string")
+    frame = documents(spark, list(enumerate(texts)))
+    out = suffix_decontam.search_documents(frame, benchmark, window=3, block_chars=block_chars).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        got = [(m.item, m.item_word, m.doc_word, m.length) for m in r.matches]
+        assert set(got) == brute_matches(r.text, REPEATED, 3), r.text
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     out = suffix_decontam.search_documents(documents(spark), none).collect()

@@ -29,6 +29,8 @@ anew by their rarest words: of n words the floor(n * (1 - ``SIMILARITY``)) + 1 r
 ones hold at least one word (labelled by occurrence) of every text that is
 similar enough, so only nodes with such a word in common are compared, and a
 passage that many texts share brings no two of them together by itself.
+Nodes whose bucket holds no other class that word counts allow (with the place of the
+bucket's word among the rarest) leave it.
 Buckets of equal nodes are one bucket here. No bucket is capped.
 
 Verification. A pair that its bins do not rule out is a link if the word edit
@@ -55,6 +57,7 @@ results of their name.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -75,6 +78,7 @@ SIMILARITY = 0.8
 HEADS = 4  # classes of a bucket that others may meet in a round, and new partners that one member meets
 PAYING = 10  # a further round is worth it if more than one of so many pairs of the last was a link
 LARGE_BUCKET = 512  # nodes of a larger bucket are dealt by their rarest words before they are compared
+LENGTH_STEPS = 8  # of word counts, for the ratio that the similarity allows
 BLOCK_NODES = 1024  # nodes that are compared with each other, or with as many others, at once
 FEWEST_BINS, MOST_BINS = 256, 1 << 16  # of a text's words, by their hash
 COARSE_BINS = 64  # that nodes of a block are compared by first
@@ -444,15 +448,35 @@ def _rare_words(counts: np.ndarray, least: float):
 
 
 def _by_rare_words(held: DataFrame, stored: DataFrame, text: Column, least: float) -> DataFrame:
-    """(bucket, node, label): the nodes of ``held`` dealt by their rarest words, those that several classes hold."""
-    nodes = held.select("node", "label").distinct()
+    """(bucket, node, label, n_words, rarer): the nodes of ``held`` dealt by their rarest words, with the number of rarer ones."""
+    nodes = held.select("node", "label", "n_words").distinct()
     texts = stored.select(F.col("uid").alias("node"), text.alias("text")).join(nodes, "node")
     found = texts.select("text").mapInArrow(_words_counted, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(RARITY, np.int64)  # at most so many rows were collected
     counts[found["counter"].to_numpy()] = found["n"].to_numpy()
-    dealt = Written(texts.select("node", "label", F.explode(_rare_words(counts, least)("text")).alias("bucket")), "dealt").df
-    several = dealt.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
-    return dealt.join(several.select("bucket"), "bucket").select("bucket", "node", "label")
+    words = F.posexplode(_rare_words(counts, least)("text")).alias("rarer", "bucket")
+    return Written(texts.select("node", "label", "n_words", words), "dealt").df.select("bucket", "node", "label", "n_words", "rarer")
+
+
+def _comparable(rows: DataFrame, least: float) -> DataFrame:
+    """The rows (bucket, node, label, n_words, rarer) whose bucket holds a node of another class that word counts allow.
+
+    If a pair's first common word has ``rarer`` words before it in one text, the two have at
+    most n_words - rarer in common, so the other text has at most that many / ``least`` words.
+    Two rows are therefore compared only if their ranges from n_words to that bound meet.
+    Range ends are told apart in ``LENGTH_STEPS`` steps for each ratio that the similarity
+    allows, so the ranges of a bucket are bounded however many nodes it holds.
+    """
+    least = max(least, 1e-9)
+    size = LENGTH_STEPS / max(-math.log(least), 1e-9)
+    step = lambda n: F.floor(F.log(F.greatest(n, F.lit(1.0))) * size)
+    low, high = step(F.col("n_words").cast("double")), step((F.col("n_words") - F.col("rarer")) / F.lit(least)) + 1
+    ranged = rows.withColumn("low", low).withColumn("high", high)
+    ranges = ranged.groupBy("bucket", "low", "high").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+    ranges = ranges.groupBy("bucket").agg(F.collect_list(F.struct("low", "high", "l0", "l1")).alias("ranges"))
+    other = lambda r: (r["l0"] != F.col("label")) | (r["l1"] != F.col("label"))
+    meets = F.exists("ranges", lambda r: (r["low"] <= F.col("high")) & (r["high"] >= F.col("low")) & other(r))
+    return ranged.join(ranges.where("size(ranges) > 1 OR ranges[0].l0 < ranges[0].l1"), "bucket").where(meets).select(rows.columns)
 
 
 def _rest_pairs(placed: DataFrame, unsettled: DataFrame, stored: DataFrame, text: Column, least: float) -> Written:
@@ -462,10 +486,13 @@ def _rest_pairs(placed: DataFrame, unsettled: DataFrame, stored: DataFrame, text
     """
     sizes = placed.join(unsettled, "bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     sizes = Written(sizes, "sizes").df
-    held = Written(placed.select("bucket", "node", "label").join(sizes, "bucket"), "held").df
+    lengths = stored.select(F.col("uid").alias("node"), "n_words")
+    held = Written(placed.select("bucket", "node", "label").join(sizes, "bucket").join(lengths, "node"), "held").df
+    held = held.select("bucket", "node", "label", "n_words", F.lit(0).alias("rarer"), "n")
     rows, large = held.where(F.col("n") <= LARGE_BUCKET).drop("n"), held.where(F.col("n") > LARGE_BUCKET)
     if not large.isEmpty():
-        rows = Written(rows.union(_by_rare_words(large, stored, text, least)), "rest").df
+        rows = rows.union(_by_rare_words(large, stored, text, least))
+    rows = Written(_comparable(rows, least).select("bucket", "node", "label"), "rest").df
     mark = F.xxhash64("node")
     sets = rows.groupBy("bucket").agg(F.bit_xor(mark).alias("s1"), F.bit_xor(F.xxhash64(mark, "node")).alias("s2"), F.count(F.lit(1)).alias("n"))
     one = sets.groupBy("s1", "s2", "n").agg(F.min("bucket").alias("bucket"))  # buckets of equal nodes give equal pairs

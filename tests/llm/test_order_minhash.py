@@ -251,3 +251,44 @@ def test_components(spark, edges):
     n = 1 + max((max(e) for e in edges), default=0)
     expected = roots(n, edges)
     assert got == {x: expected[x] for e in edges for x in e}
+
+
+def test_word_counts_and_ranks_lose_no_pair_of_a_bucket(spark):
+    """Rows leave a bucket only if no row of another class can be similar enough to theirs."""
+    draw = random.Random(5)
+    rows = [
+        (bucket, node, draw.randrange(4) if bucket % 3 else 7, n, draw.randrange(n // 5 + 1))
+        for bucket in range(40)
+        for node, n in enumerate(draw.choices(range(1, 2000), k=draw.randrange(1, 12)))
+    ]
+    frame = spark.createDataFrame(rows, "bucket long, node long, label long, n_words long, rarer int")
+    left = {(r.bucket, r.node) for r in om._comparable(frame, 0.8).collect()}
+    for bucket, node, label, n, rarer in rows:
+        others = [r for r in rows if r[0] == bucket and r[2] != label]
+        if any(m <= (n - rarer) / 0.8 and n <= (m - rare) / 0.8 for _, _, _, m, rare in others):
+            assert (bucket, node) in left
+        if not others:
+            assert (bucket, node) not in left
+    assert len(left) < len(rows) / 2
+    assert om._comparable(frame.limit(0), 0.8).isEmpty()
+
+
+def test_similar_texts_meet_at_a_rare_word_that_their_lengths_allow():
+    """The first common rare word of two similar texts stands where the ranges of both meet."""
+    draw = random.Random(6)
+    for _ in range(300):
+        words = [f"w{draw.randrange(60)}" for _ in range(draw.randrange(5, 120))]
+        other = list(words)
+        for _ in range(draw.randrange(len(words) // 5 + 2)):
+            at = draw.randrange(len(other))
+            other[at : at + 1] = draw.choice([[], [f"x{draw.random()}"], [other[at], "y"]])
+            if not other:
+                break
+        a, b = " ".join(words), " ".join(other)
+        if om.alignment_similarity(a, b, 0.8) is None:
+            continue
+        counts = np.random.default_rng(len(words)).integers(1, 50, om.RARITY)
+        first, second = (om.rarest_words(om.text_hashes(t), counts, 0.8).tolist() for t in (a, b))
+        meeting = next(i for i, w in enumerate(first) if w in second)
+        i, j = meeting, second.index(first[meeting])
+        assert len(other) <= (len(words) - i) / 0.8 + 1e-6 and len(words) <= (len(other) - j) / 0.8 + 1e-6

@@ -30,6 +30,7 @@ from loanscore.functions.keys import RANK, ROW, drop_empty_profiles
 from loanscore.levels import DEFAULT_LEVELS, DEFAULT_WEIGHTS, Levels, Weights
 from loanscore.operators import defaults, inquiries, loan, payment, personal
 from loanscore.operators.common import cap, fill_zero, latest_per_member, rank_column
+from loanscore.schema import USED_COLUMNS
 
 FINAL_COLUMNS = (
     "personal_member_id",
@@ -92,15 +93,41 @@ def loan_points(keyed: DataFrame, bits: int = 512, levels: Levels = DEFAULT_LEVE
     return loan.points(rows.withColumn(personal.KEY, F.col(loan.KEY)), levels)
 
 
+def latest_raw_rows(keyed: DataFrame, bits: int = 512) -> DataFrame:
+    """The latest raw row of each member, all used columns and the fingerprint: one exchange.
+
+    Every consumer asks for the whole row (one struct), so several consumers
+    in one plan share that exchange and the raw rows are derived once.
+    """
+    df = drop_empty_profiles(keyed, "member_id", bits)
+    columns = [c for c in (*USED_COLUMNS, ROW) if c in df.columns]
+    df = df.withColumns({RANK: rank_column(df), "_key": F.unhex("member_id")})
+    out = df.groupBy("_key").agg(F.max_by(F.struct(*columns), F.col(RANK)).alias("_latest"))
+    return out.select(_never_null(F.lower(F.hex("_key"))).alias("member_id"), *[F.col("_latest")[c].alias(c) for c in columns])
+
+
+def _never_null(key: Column) -> Column:
+    """A derived key (it hashes a text that is never null) as Spark can tell: joins on it
+    then push no null test below the shared exchange."""
+    return F.coalesce(key, F.lit(""))
+
+
 def subject_points(keyed: DataFrame, bits: int = 512, levels: Levels = DEFAULT_LEVELS) -> dict[str, DataFrame]:
-    """The five points tables, each built by its own subject pipeline."""
-    return {
-        "personal": personal.points(personal.clean(personal.details(keyed), bits), levels),
-        "payments": payment_points(keyed, bits, levels),
-        "inquiries": inquiries.points(inquiries.clean(inquiries.details(keyed), bits), levels),
-        "defaults": defaults.points(defaults.clean(defaults.details(keyed), bits), levels),
-        "loan": loan_points(keyed, bits, levels),
+    """The five points tables, each built by its own subject pipeline.
+
+    The inquiries roll up all rows of a member. The others score its latest
+    row only, and take it from one shared aggregate.
+    """
+    latest = latest_raw_rows(keyed, bits)
+    rows = drop_empty_profiles(keyed, "member_id", bits)
+    tables = {
+        "personal": personal.points(personal.clean(personal.details(latest), bits, kept=True), levels),
+        "payments": payment_points(latest, bits, levels),
+        "inquiries": inquiries.points(inquiries.clean(inquiries.details(rows), bits, kept=True), levels),
+        "defaults": defaults.points(defaults.clean(defaults.details(latest), bits, kept=True), levels),
+        "loan": loan_points(latest, bits, levels),
     }
+    return {name: df.withColumn(SUBJECT_TOTALS[name][0], _never_null(F.col(SUBJECT_TOTALS[name][0]))) for name, df in tables.items()}
 
 
 def final_points_joined(

@@ -216,7 +216,10 @@ def q_mdm_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_mdm_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = kept(spark, sf_dir)
-    cleaned = {name: unstamped(mod.clean(mod.details(k), ORACLE_BITS, kept=True)) for name, mod in _SUBJECTS.items()}
+    # personal and defaults are cleaned from the latest rows alone, which both take from one shared aggregate
+    latest = combine.latest_raw_rows(k, ORACLE_BITS)
+    rows = {**dict.fromkeys(_SUBJECTS, k), "personal": latest, "defaults": latest}
+    cleaned = {name: unstamped(mod.clean(mod.details(rows[name]), ORACLE_BITS, kept=True)) for name, mod in _SUBJECTS.items()}
     mdm.register_subject_views(*[cleaned[name] for name in ("loan", "personal", "payment", "defaults", "inquiries")])
     return mdm.create_mdm_sql_view(spark)
 

@@ -14,7 +14,7 @@ Plan (each numbered step is one Spark job):
 8. Points: the fused scorer (one shuffle) writes the member totals.
 
 Every write is distributed (one file per task) unless ``single_file`` is set.
-Run it in a session with ``spark.sql.codegen.hugeMethodLimit=8000`` (README).
+The run sets ``spark.sql.codegen.hugeMethodLimit`` to 8000 in its session (README).
 The two intermediate tables are deleted once every output is committed
 (``keep_intermediate=True`` keeps them), so repeated runs do not leave
 copies of the raw data in the checkpoint folder.
@@ -32,7 +32,7 @@ from loanscore.levels import DEFAULT_LEVELS, DEFAULT_WEIGHTS, Levels, Weights
 from loanscore.operators import combine, loan, mdm, payment
 from loanscore.operators.common import stamp
 from loanscore.schema import USED_COLUMNS
-from loanscore.session import delete_path, scratch_path
+from loanscore.session import delete_path, keep_code_compiled, scratch_path
 from loanscore.sources import sinks
 
 # Output folder names of the cleaned subjects, one per subject.
@@ -69,6 +69,7 @@ def run(
     fmt: str = "csv",
     keep_intermediate: bool = False,
 ) -> JobOutputs:
+    keep_code_compiled(spark)
     base_path = stage_base(raw, bits)
     base = spark.read.parquet(base_path)
 

@@ -15,6 +15,21 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# HotSpot never compiles a method above this many bytes of bytecode.
+COMPILED_METHOD_BYTES = 8000
+
+
+def keep_code_compiled(spark: SparkSession) -> None:
+    """Have the session split generated code the JVM would only interpret; a lower limit stays.
+
+    A loan's rules and ladders make one whole-stage method of tens of kilobytes,
+    and Spark's own limit (65535 bytes) lets it run uncompiled.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > COMPILED_METHOD_BYTES:
+        spark.conf.set(name, str(COMPILED_METHOD_BYTES))
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "loanscore") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -27,9 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        # HotSpot does not JIT-compile methods above 8000 bytes of bytecode;
-        # a larger whole-stage method would run interpreted, so split instead.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", str(COMPILED_METHOD_BYTES))
         # Plans are built from many small Column calls; skip the per-call
         # Python stack capture (only used to decorate error messages).
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

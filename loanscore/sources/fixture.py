@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscore.schema import RAW_TYPES
+from loanscore.session import keep_code_compiled
 
 # Inner projection: keys, junk flag and helper values.
 INNER = (
@@ -194,6 +195,7 @@ def applications_from_tables(orders: DataFrame, customer: DataFrame, changes: di
 
 def applications_from_star(spark: SparkSession, sf_dir: str, changes: dict[str, str] | None = None) -> DataFrame:
     """The raw application table for the tables under ``sf_dir``."""
+    keep_code_compiled(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return applications_from_tables(orders, customer, changes)

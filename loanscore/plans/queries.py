@@ -232,6 +232,13 @@ def q_big_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.join(latest.withColumnRenamed("member_id", personal.KEY), personal.KEY)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared checkpoint folder and read back: its rows are derived once for all readers."""
+    path = delete_on_exit(df.sparkSession, scratch_path(df.sparkSession, name))
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def q_tied_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores where a member's loans share month and id (or have no id), in three forms that must agree.
 
@@ -241,7 +248,7 @@ def q_tied_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = applications_from_star(spark, sf_dir, BIG_ID_CHANGES)
     out = []
     for tie, ident in (("same id", F.lit("7")), ("no id", F.lit(None).cast("string"))):
-        k = with_member_key(raw.withColumn("id", ident), ORACLE_BITS)
+        k = _written(with_member_key(raw.withColumn("id", ident), ORACLE_BITS), "tied")  # read by four aggregates
         forms = {
             "fused": combine.member_scores(k, ORACLE_BITS),
             "joined": combine.final_points_joined(k, ORACLE_BITS),

@@ -42,3 +42,16 @@ def test_queries_lower_the_limit_of_compiled_methods(spark):
         assert spark.conf.get(LIMIT) == "4000"
     finally:
         spark.conf.set(LIMIT, kept)
+
+
+def test_tied_rows_derives_the_raw_rows_once_for_each_tie(spark, tmp_path):
+    orders = spark.range(1, 61).selectExpr(
+        "id AS o_orderkey", "id % 5 + 1 AS o_custkey", "id * 1000D AS o_totalprice", "date_add(DATE'1995-01-01', int(id)) AS o_orderdate"
+    )
+    customer = spark.range(1, 6).selectExpr("id AS c_custkey", "concat('c', id) AS c_name", "id AS c_nationkey", "id * 10D AS c_acctbal")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    customer.write.parquet(f"{tmp_path}/customer.parquet")
+    df = queries.q_tied_rows(spark, str(tmp_path))
+    assert not any("orders.parquet" in path for path in df.inputFiles())
+    rows = {r.tie: (r.members, r.joined_differ, r.rows_differ) for r in df.collect()}
+    assert rows == {"same id": (5, 0, 0), "no id": (5, 0, 0)}

@@ -261,9 +261,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def payload_of(block: Column) -> Column:
     """What follows the HTTP head of a record's block."""
-    near = F.instr(F.decode(F.substr(block, F.lit(1), F.lit(65536)), "ISO-8859-1"), "\r\n\r\n")
-    at = F.when(near > 0, near).otherwise(F.instr(F.decode(block, "ISO-8859-1"), "\r\n\r\n"))
-    return F.when(at > 0, F.substr(block, at + F.lit(4))).otherwise(F.lit(b""))
+    # Compared byte by byte, whatever they say in UTF-8; without an end the head is the whole block.
+    head = F.substring_index(block.cast("string"), "\r\n\r\n", 1)
+    return F.coalesce(F.substr(block, F.octet_length(head) + F.lit(5)), F.lit(b""))
 
 
 def field_of(block: Column, name: str) -> Column:

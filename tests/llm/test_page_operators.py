@@ -350,3 +350,11 @@ def test_payload_after_a_long_head(spark):
     frame = spark.createDataFrame([(i, bytearray(h + b"body\r\n\r\nmore")) for i, h in enumerate(heads)] + [(3, bytearray(b"no head"))], "i int, block binary")
     got = {r.i: bytes(r.p) for r in frame.select("i", warc_transactions.payload_of(F.col("block")).alias("p")).collect()}
     assert got == {0: b"body\r\n\r\nmore", 1: b"body\r\n\r\nmore", 2: b"body\r\n\r\nmore", 3: b""}
+
+
+def test_payload_is_cut_by_bytes_without_decoding_the_block(spark):
+    blocks = [b"\r\n\r\nfirst", b"X: \xe4\xbd\r\n\r\n\xff\r\n\r\nx", b"ends\r\n\r\n", "Ä: ü\r\n\r\nö".encode(), b"\r\n\r", b""]
+    frame = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(blocks)], "i int, block binary")
+    cut = frame.select("i", warc_transactions.payload_of(F.col("block")).alias("p"))
+    assert "decode" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert [bytes(r.p) for r in cut.orderBy("i").collect()] == [b.partition(b"\r\n\r\n")[2] for b in blocks]

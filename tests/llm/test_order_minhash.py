@@ -292,3 +292,18 @@ def test_similar_texts_meet_at_a_rare_word_that_their_lengths_allow():
         meeting = next(i for i, w in enumerate(first) if w in second)
         i, j = meeting, second.index(first[meeting])
         assert len(other) <= (len(words) - i) / 0.8 + 1e-6 and len(words) <= (len(other) - j) / 0.8 + 1e-6
+
+
+def test_a_filter_on_kept_moves_no_row(spark):
+    """Rows stay where they were dealt; a second join key would have them dealt anew."""
+    docs = table(spark, SMOKE, "documents")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = om.near_duplicates(docs)
+        plan = found.where("kept").select(docs.columns)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan, plan
+    rows = found.collect()
+    assert sum(r.kept for r in rows) == len({r.class_id for r in rows})

@@ -464,15 +464,17 @@ def _comparable(rows: DataFrame, least: float) -> DataFrame:
     If a pair's first common word has ``rarer`` words before it in one text, the two have at
     most n_words - rarer in common, so the other text has at most that many / ``least`` words.
     Two rows are therefore compared only if their ranges from n_words to that bound meet.
-    Range ends are told apart in ``LENGTH_STEPS`` steps for each ratio that the similarity
-    allows, so the ranges of a bucket are bounded however many nodes it holds.
+    Ranges whose ends are alike in ``LENGTH_STEPS`` steps for each ratio that the similarity
+    allows are one, from the least of their ends to the largest, so the ranges of a bucket are
+    bounded however many nodes it holds. A bucket has one row of ranges, so no row is doubled.
     """
     least = max(least, 1e-9)
     size = LENGTH_STEPS / max(-math.log(least), 1e-9)
     step = lambda n: F.floor(F.log(F.greatest(n, F.lit(1.0))) * size)
-    low, high = step(F.col("n_words").cast("double")), step((F.col("n_words") - F.col("rarer")) / F.lit(least)) + 1
+    low, high = F.col("n_words").cast("double"), (F.col("n_words") - F.col("rarer")) / F.lit(least) + F.lit(1e-6)
     ranged = rows.withColumn("low", low).withColumn("high", high)
-    ranges = ranged.groupBy("bucket", "low", "high").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+    ends = [F.min("low").alias("low"), F.max("high").alias("high"), F.min("label").alias("l0"), F.max("label").alias("l1")]
+    ranges = ranged.groupBy("bucket", step(F.col("low")).alias("from"), step(F.col("high")).alias("to")).agg(*ends)
     ranges = ranges.groupBy("bucket").agg(F.collect_list(F.struct("low", "high", "l0", "l1")).alias("ranges"))
     other = lambda r: (r["l0"] != F.col("label")) | (r["l1"] != F.col("label"))
     meets = F.exists("ranges", lambda r: (r["low"] <= F.col("high")) & (r["high"] >= F.col("low")) & other(r))
@@ -564,10 +566,11 @@ def links_of(nodes: DataFrame, stored: DataFrame, text: Column, least: float) ->
         pairs = Written(first.select(F.explode("best").alias("p")).select("p.a", "p.b").distinct(), "pairs")
         tried = tried.union(pairs.df)
     rest = _rest_pairs(placed.df, unsettled.df.select("bucket"), stored, text, least)
-    links = _verified(rest.df.join(tried, ["a", "b"], "left_anti"), stored, text, least)
+    untried = Written(rest.df.join(tried, ["a", "b"], "left_anti"), "untried")
+    links = _verified(untried.df, stored, text, least)
     if not links.df.isEmpty():
         labels = _joined(labels, links.df)
-    for table in (placed, unsettled):
+    for table in (placed, unsettled, rest, untried):
         table.drop()
     return found.union(links.df), labels
 

@@ -307,3 +307,18 @@ def test_a_filter_on_kept_moves_no_row(spark):
     assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan, plan
     rows = found.collect()
     assert sum(r.kept for r in rows) == len({r.class_id for r in rows})
+
+
+@pytest.mark.parametrize("size", [100, 200])
+def test_rows_of_a_large_bucket_are_compared_in_proportion_to_its_nodes(spark, size):
+    """A row meets its bucket's ranges once, however many nodes and classes the bucket holds."""
+    rows = [(1, node, node % 7, 100 + node % 20, 0) for node in range(size)]
+    frame = spark.createDataFrame(rows, "bucket long, node long, label long, n_words long, rarer int")
+    assert sorted(r.node for r in om._comparable(frame, 0.8).collect()) == list(range(size))
+
+
+def test_ranges_of_a_bucket_end_where_word_counts_do(spark):
+    """Two rows of a bucket whose word counts rule them out by one word leave it."""
+    rows = [(1, 1, 1, 800, 0), (1, 2, 2, 1001, 0), (2, 1, 1, 800, 0), (2, 2, 2, 1000, 0), (3, 1, 1, 100, 1), (3, 2, 2, 124, 0)]
+    frame = spark.createDataFrame(rows, "bucket long, node long, label long, n_words long, rarer int")
+    assert {(r.bucket, r.node) for r in om._comparable(frame, 0.8).collect()} == {(2, 1), (2, 2)}
